@@ -7,6 +7,8 @@ searched for the member name.
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Signatures and member names that decide the type.
@@ -26,17 +28,9 @@ def _latin1(content: Column) -> Column:
     return F.call_function("decode", content, F.lit("ISO-8859-1"))
 
 
-def _tail(content: Column) -> Column:
-    return _latin1(F.substring(content, -_TAIL, _TAIL))
-
-
-def _end_record(content: Column) -> Column:
-    """The last end record (to the end of the file) as latin-1 text; NULL where there is none."""
-    tail = _tail(content)
-    from_end = F.instr(F.reverse(tail), _END_MARK[::-1]) + F.lit(len(_END_MARK) - 1)
-    record = F.right(tail, from_end)
-    found = F.instr(tail, _END_MARK) > 0
-    return F.when(found & (F.length(record) >= _END_SIZE), record)
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _little_endian(text: Column, start: int, width: int) -> Column:
@@ -49,12 +43,21 @@ def _little_endian(text: Column, start: int, width: int) -> Column:
 
 def _member_list(content: Column) -> Column:
     """The zip member list as latin-1 text; NULL where the container cannot be read."""
-    record = _end_record(content)
-    size = _little_endian(record, 13, 4)
-    start = F.length(content) - F.length(record) - size
-    members = _latin1(F.substring(content, (start + 1).cast("int"), size.cast("int")))
-    readable = (start >= 0) & ((size == 0) | F.startswith(members, F.lit("PK\x01\x02")))
-    return F.when(readable, members)
+
+    def from_record(record: Column) -> Column:
+        size = _little_endian(record, 13, 4)
+        start = F.length(content) - F.length(record) - size
+        members = _latin1(F.substring(content, (start + 1).cast("int"), size.cast("int")))
+        whole = (F.length(record) >= _END_SIZE) & (start >= 0)
+        return F.when(whole, members)
+
+    def from_tail(tail: Column) -> Column:
+        # The last end mark, looked for backwards; from there to the end of the file.
+        to_mark = F.instr(F.reverse(tail), _END_MARK[::-1])
+        return F.when(to_mark > 0, bind(F.right(tail, to_mark + F.lit(len(_END_MARK) - 1)), from_record))
+
+    members = bind(_latin1(F.substring(content, -_TAIL, _TAIL)), from_tail)
+    return bind(members, lambda m: F.when((m == "") | F.startswith(m, F.lit("PK\x01\x02")), m))
 
 
 def _has_member(members: Column, name: str) -> Column:
@@ -87,19 +90,22 @@ def detect(content: Column) -> Column:
         status = F.lit(status) if isinstance(status, str) else status
         return F.struct(F.lit(file_type).alias("file_type"), status.alias("processing_status"))
 
-    is_zip = F.startswith(content, F.lit(ZIP_MAGIC))
-    members = _member_list(F.when(is_zip, content))
+    def container(members: Column) -> Column:
+        return (
+            F.when(members.isNull(), verdict("zip_based_unknown", "corrupt_zip"))
+            .when(_has_member(members, DOCX_MEMBER), verdict("docx", "valid"))
+            .when(_has_member(members, XLSX_MEMBER), verdict("xlsx", "valid"))
+            .otherwise(verdict("zip_based_unknown", "unsupported_file_type"))
+        )
+
     return (
         F.when(content.isNull() | (F.length(content) < 4), verdict("unknown", "empty_or_truncated"))
         .when(
             F.startswith(content, F.lit(PDF_MAGIC)),
             verdict("pdf", F.when(pdf_is_sound(content), "valid").otherwise("corrupt_pdf")),
         )
-        .when(~is_zip, verdict("unknown", "unsupported_file_type"))
-        .when(members.isNull(), verdict("zip_based_unknown", "corrupt_zip"))
-        .when(_has_member(members, DOCX_MEMBER), verdict("docx", "valid"))
-        .when(_has_member(members, XLSX_MEMBER), verdict("xlsx", "valid"))
-        .otherwise(verdict("zip_based_unknown", "unsupported_file_type"))
+        .when(F.startswith(content, F.lit(ZIP_MAGIC)), bind(_member_list(content), container))
+        .otherwise(verdict("unknown", "unsupported_file_type"))
     )
 
 
