@@ -7,10 +7,10 @@ searched for the member name.
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import Column, functions as F
 
+from .binding import bind
+
 # Signatures and member names that decide the type.
 PDF_MAGIC = b"%PDF"
 ZIP_MAGIC = b"PK\x03\x04"
@@ -28,11 +28,6 @@ def _latin1(content: Column) -> Column:
     return F.call_function("decode", content, F.lit("ISO-8859-1"))
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _little_endian(text: Column, start: int, width: int) -> Column:
     parts = [F.ascii(F.substring(text, start + i, 1)).cast("long") * F.lit(256**i) for i in range(width)]
     total = parts[0]

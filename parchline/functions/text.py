@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .binding import bind
+
 # Fixed value: characters counted as one token.
 CHARS_PER_TOKEN = 4
 
@@ -49,11 +51,14 @@ def fixed_pieces(text: Column, size: int, overlap: int) -> Column:
         raise ValueError("overlap must be smaller than chunk size")
     step = window - lap
     span = 1 + -(-lap // step)
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    cut = F.transform(
-        F.sequence(F.lit(1), F.size(blocks)),
-        lambda i: F.substring(F.array_join(F.slice(blocks, i, F.lit(span)), ""), 1, window),
-    )
+
+    def windows(blocks: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(blocks)),
+            lambda i: F.substring(F.array_join(F.slice(blocks, i, F.lit(span)), ""), 1, window),
+        )
+
+    cut = bind(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0)), windows)
     return F.when(F.length(text) <= window, F.array(text)).otherwise(cut)
 
 

@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import bind, explode_rows
 from ..functions.identity import chunk_id
 from ..functions.text import CHARS_PER_TOKEN, approx_tokens, fixed_pieces, sentences, structured_pieces
 from ..functions.vector import adjacent_cosine
@@ -37,7 +38,7 @@ def joined_text(sections: Column) -> Column:
 
 
 def fixed_chunks(sections: Column, size: int, overlap: int) -> Column:
-    return _indexed(_with_heading(fixed_pieces(joined_text(sections), size, overlap), F.lit(None).cast("string")))
+    return _indexed(_with_heading(bind(joined_text(sections), lambda t: fixed_pieces(t, size, overlap)), F.lit(None).cast("string")))
 
 
 def structured_chunks(sections: Column, size: int, overlap: int) -> Column:
@@ -63,17 +64,18 @@ def semantic_chunks(sentence_array: Column, similarity: Column, size: int, overl
 
     A chunk longer than the window is cut further by fixed windows.
     """
-    n = F.size(sentence_array)
-    # The first similarity is 1 by definition, so the opening boundary is added by hand.
-    turns = F.filter(
-        F.transform(similarity, lambda s, i: F.when((i > 0) & (s < threshold), i + 1)), lambda i: i.isNotNull()
-    )
-    starts = F.concat(F.array(F.lit(1)), turns)
-    ends = F.concat(turns, F.array(n + 1))
-    texts = F.zip_with(starts, ends, lambda a, b: F.array_join(F.slice(sentence_array, a, b - a), " "))
+    places = F.transform(similarity, lambda s, i: F.when((i > 0) & (s < threshold), i + 1))
+
+    def topics(turns: Column) -> Column:
+        starts = F.concat(F.array(F.lit(1)), turns)
+        ends = F.concat(turns, F.array(F.size(sentence_array) + 1))
+        return F.zip_with(starts, ends, lambda a, b: F.array_join(F.slice(sentence_array, a, b - a), " "))
+
+    texts = bind(F.filter(places, lambda i: i.isNotNull()), topics)
     pieces = F.flatten(F.transform(texts, lambda t: fixed_pieces(t, size, overlap)))
     none = F.array().cast("array<string>")
-    return _indexed(_with_heading(F.when(n > 0, pieces).otherwise(none), F.lit(None).cast("string")))
+    chosen = F.when(F.size(sentence_array) > 0, pieces).otherwise(none)
+    return _indexed(_with_heading(chosen, F.lit(None).cast("string")))
 
 
 def _distinct_decisions(config: dict[str, Any]) -> list[tuple[str, int | None, int | None]]:
@@ -89,8 +91,10 @@ def chunk(
 ) -> DataFrame:
     """Successfully extracted documents to chunk rows, by each one's resolved method."""
     decisions = _distinct_decisions(config)
-    ready = extracted.filter(F.col("extraction_status") == "success").withColumn(
-        "_rule", chunking_decision(F.col("file_type"), F.col("extraction_method_used"), config)
+    # Not a filter: pushed below a freshly computed extraction it would compute that twice.
+    success = F.col("extraction_status") == "success"
+    ready = extracted.withColumn(
+        "_rule", F.when(success, chunking_decision(F.col("file_type"), F.col("extraction_method_used"), config))
     )
     method, sections = F.col("_rule.method"), F.col("sections")
 
@@ -125,7 +129,7 @@ def chunk(
 def chunk_rows(df: DataFrame) -> DataFrame:
     """Explode ``_pieces`` into the chunk schema."""
     kept = [c for c in ("chunking_method_used", "extraction_method_used") if c in df.columns]
-    return df.select("content_hash", *kept, F.explode("_pieces").alias("p")).select(
+    return explode_rows(df, "_pieces", "content_hash", *kept, value="p").select(
         chunk_id(F.col("content_hash"), F.col("p.index")).alias("chunk_id"),
         "content_hash",
         F.col("p.index").alias("chunk_index"),
@@ -157,7 +161,7 @@ def structured_table(sections: DataFrame, doc: str, size: int, overlap: int) ->
     placed = running(
         cut.select(doc, "position", "heading", "_pieces"), [doc], "position", sums={"_first": F.size("_pieces")}
     )
-    return placed.select(doc, "heading", "_first", F.posexplode("_pieces").alias("_i", "chunk_text")).select(
+    return explode_rows(placed, "_pieces", doc, "heading", "_first", index="_i", value="chunk_text").select(
         doc,
         (F.col("_first") + F.col("_i")).cast("int").alias("chunk_index"),
         "chunk_text",

@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import bind
 from ..functions.text import is_blank, strip
 from .ordered import concat_ordered, running
 from .rules import EXTRACTION_RULES, extraction_decision
@@ -60,20 +61,27 @@ def _kept_paragraphs(paragraphs: Column) -> Column:
 
 def heading_sections(paragraphs: Column) -> Column:
     """Paragraphs grouped under the latest heading; a heading without body yields nothing."""
-    kept = _kept_paragraphs(paragraphs)
-    headings = F.filter(
-        F.transform(kept, lambda p, i: F.when(p["is_heading"], i + 1)), lambda i: i.isNotNull()
-    )
-    starts = F.concat(F.array(F.lit(0)), headings)
-    ends = F.concat(headings, F.array(F.size(kept) + 1))
-    groups = F.zip_with(
-        starts,
-        ends,
-        lambda start, end: F.struct(
-            F.when(start > 0, F.get(kept, start - 1)["text"]).alias("heading"),
-            F.array_join(F.transform(F.slice(kept, start + 1, end - start - 1), lambda p: p["text"]), "\n").alias("text"),
-        ),
-    )
+
+    def group(kept: Column, headings: Column) -> Column:
+        # A section runs from its heading (or the start, 0) to the next heading or the end.
+        starts = F.concat(F.array(F.lit(0)), headings)
+        ends = F.concat(headings, F.array(F.size(kept) + 1))
+        return F.zip_with(
+            starts,
+            ends,
+            lambda start, end: F.struct(
+                F.when(start > 0, F.get(kept, start - 1)["text"]).alias("heading"),
+                F.array_join(
+                    F.transform(F.slice(kept, start + 1, end - start - 1), lambda p: p["text"]), "\n"
+                ).alias("text"),
+            ),
+        )
+
+    def of_kept(kept: Column) -> Column:
+        places = F.transform(kept, lambda p, i: F.when(p["is_heading"], i + 1))
+        return bind(F.filter(places, lambda i: i.isNotNull()), lambda headings: group(kept, headings))
+
+    groups = bind(_kept_paragraphs(paragraphs), of_kept)
     return _positions(F.filter(groups, lambda g: g["text"] != ""))
 
 
@@ -91,15 +99,15 @@ def row_sections(sheets: Column) -> Column:
     def blanks(cells: Column) -> Column:
         return F.transform(cells, lambda c: F.coalesce(c, F.lit("")))
 
-    def of_sheet(sheet: Column) -> Column:
-        rows = F.transform(sheet["rows"], blanks)
+    def of_rows(title: Column, rows: Column) -> Column:
         return F.transform(
             F.slice(rows, F.lit(2), F.greatest(F.size(rows), F.lit(1))),
-            lambda row: F.struct(
-                sheet["title"].alias("heading"), labelled(F.get(rows, F.lit(0)), row).alias("text")
-            ),
+            lambda row: F.struct(title.alias("heading"), labelled(F.get(rows, F.lit(0)), row).alias("text")),
         )
 
+    def of_sheet(sheet: Column) -> Column:
+        return bind(F.transform(sheet["rows"], blanks), lambda rows: of_rows(sheet["title"], rows))
+
     return _positions(F.filter(F.flatten(F.transform(sheets, of_sheet)), lambda s: s["text"] != ""))
 
 
@@ -123,34 +131,37 @@ def _result(status: Column, full_text: Column, sections: Column, error: Column)
 
 
 def _assembled(sections: Column, full_text: Column, error: Column) -> Column:
+    def filled(text: Column) -> Column:
+        status = F.when(text == "", F.lit("empty")).otherwise(F.lit("success"))
+        return _result(status, F.coalesce(text, F.lit("")), sections, F.lit(None))
+
     corrupt = _result(F.lit("corrupt"), F.lit(""), _no_sections(), error)
-    status = F.when(full_text == "", F.lit("empty")).otherwise(F.lit("success"))
-    return F.when(error.isNotNull(), corrupt).otherwise(_result(status, full_text, sections, F.lit(None)))
+    return F.when(error.isNotNull(), corrupt).otherwise(bind(full_text, filled))
 
 
 def decode_text(content: Column) -> Column:
     """UTF-8 content to ``struct<status, full_text, sections, error>``."""
-    valid = F.is_valid_utf8(content.cast("string"))
-    text = F.when(valid, strip(content.cast("string")))
-    error = F.when(~valid, F.lit("content is not valid UTF-8"))
-    return _assembled(text_sections(text), text, error)
+    text = content.cast("string")
+    error = F.when(~F.is_valid_utf8(text), F.lit("content is not valid UTF-8"))
+    return bind(F.when(F.is_valid_utf8(text), strip(text)), lambda t: _assembled(text_sections(t), t, error))
 
 
 def method_result(method: str, parts: Column, content: Column) -> Column:
     """What one extraction method makes of a file's parts."""
     error = parts["error"]
+
+    def joined(separator: str):
+        return lambda sections: _assembled(sections, strip(F.array_join(_texts(sections), separator)), error)
+
     if method == "pymupdf_standard":
-        sections = page_sections(parts["pages"])
-        return _assembled(sections, strip(F.array_join(_texts(sections), "\n\n")), error)
+        return bind(page_sections(parts["pages"]), joined("\n\n"))
     if method == "azure_document_intelligence_ocr":
-        sections = line_page_sections(parts["ocr_pages"])
-        return _assembled(sections, strip(F.array_join(_texts(sections), "\n\n")), error)
-    if method == "python_docx_standard":
-        kept = _kept_paragraphs(parts["paragraphs"])
-        return _assembled(heading_sections(parts["paragraphs"]), F.array_join(_texts(kept), "\n\n"), error)
+        return bind(line_page_sections(parts["ocr_pages"]), joined("\n\n"))
     if method == "openpyxl_standard":
-        sections = row_sections(parts["sheets"])
-        return _assembled(sections, strip(F.array_join(_texts(sections), "\n")), error)
+        return bind(row_sections(parts["sheets"]), joined("\n"))
+    if method == "python_docx_standard":
+        full_text = F.array_join(_texts(_kept_paragraphs(parts["paragraphs"])), "\n\n")
+        return _assembled(heading_sections(parts["paragraphs"]), full_text, error)
     if method == "plain_text_decode":
         return decode_text(content)
     raise ValueError(f"no such extraction method: {method}")
