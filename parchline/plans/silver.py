@@ -339,7 +339,9 @@ def sql_structured(sections: str, doc: str, size: int, overlap: int) -> str:
 )
 def chunk_recursive(spark: SparkSession, folder: str) -> DataFrame:
     text = F.replace("text", F.lit("\n"), F.lit("\n\n"))
-    cut = table(spark, folder, "documents").withColumn("pieces", structured_pieces(text, 512, 50))
+    cut = table(spark, folder, "documents").withColumn("t", text).withColumn(
+        "pieces", structured_pieces(F.col("t"), 512, 50)
+    )
     pieces = explode_rows(cut, "pieces", "doc_id", index="chunk_index", value="chunk_text")
     return pieces.withColumn("token_count", approx_tokens(F.col("chunk_text")))
 
