@@ -24,3 +24,9 @@ def explode_rows(df: DataFrame, array: str, *keep: str, index: str | None = None
     if index is None:
         return df.select(*keep, F.explode_outer(array).alias(value)).filter(F.col(value).isNotNull())
     return df.select(*keep, F.posexplode_outer(array).alias(index, value)).filter(F.col(index).isNotNull())
+
+
+def with_single(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Every row of ``df`` with the columns of a global aggregate, which is exactly one row."""
+    keyed = one.withColumn("_k", F.lit(1))
+    return df.withColumn("_k", F.lit(1)).join(F.broadcast(keyed), "_k").drop("_k")

@@ -6,6 +6,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import with_single
+
 
 def chargeback(usage: DataFrame, dims: list[str]) -> DataFrame:
     """Cost by the dimensions and all their prefixes (a roll-up)."""
@@ -35,8 +37,7 @@ def cost_by_endpoint(requests: DataFrame, rates: dict[str, float]) -> DataFrame:
 
 def shared_serving_cost(by_endpoint: DataFrame, hours: float, hourly_rate: float) -> DataFrame:
     """Split an index's serving hours over its endpoints by their share of requests."""
-    total = by_endpoint.agg(F.sum("requests").alias("_total")).withColumn("_k", F.lit(1))
-    joined = by_endpoint.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
+    joined = with_single(by_endpoint, by_endpoint.agg(F.sum("requests").alias("_total")))
     return joined.select(
         "endpoint_name",
         "requests",

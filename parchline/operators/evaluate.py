@@ -6,6 +6,7 @@ from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.binding import with_single
 from ..functions.identity import hash_number
 from ..functions.vector import cosine
 from .monitor import quartile_fences
@@ -16,11 +17,6 @@ GROUND_TRUTH_SCORERS = ("context_sufficiency", "correctness")
 THRESHOLDS = {"correctness": 0.85, "groundedness": 0.90, "safety": 1.0}
 
 
-def with_single(df: DataFrame, one: DataFrame) -> DataFrame:
-    """Every row of ``df`` with the columns of a global aggregate, which is one row."""
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(one.withColumn("_k", F.lit(1))), "_k").drop("_k")
-
-
 def scorer_plan(golden: DataFrame, custom: Iterable[str] = ()) -> DataFrame:
     """One row per golden question and scorer that applies to it."""
     always = F.array(*[F.lit(s) for s in (*DEFAULT_SCORERS, *custom)])

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.binding import with_single
 from ..functions.text import tokens
 from ..functions.vector import cosine
 from .rules import resolve_retrieval
@@ -325,20 +326,17 @@ def rerank(candidates: DataFrame, corpus: DataFrame, queries: DataFrame, k: int
     )
 
 
-def guard_model(gold: DataFrame, query_model: str | Column) -> DataFrame:
-    """Model check of a gold table, one row; ``allowed`` is false on any other or mixed model."""
-    expected = F.lit(query_model) if isinstance(query_model, str) else query_model
-    low, high = F.min("embedding_model"), F.max("embedding_model")
-    return gold.agg(low.alias("lowest"), high.alias("highest")).select(
-        F.col("lowest").alias("index_model"),
-        expected.alias("query_model"),
-        ((F.col("lowest") == F.col("highest")) & (F.col("lowest") == expected)).alias("allowed"),
-    )
+def guard_model(gold: DataFrame, asked: DataFrame) -> DataFrame:
+    """Per ``query_model``: may it search this table? Never if the table holds another or mixed models."""
+    held = gold.agg(F.min("embedding_model").alias("index_model"), F.max("embedding_model").alias("_high"))
+    only = (F.col("index_model") == F.col("_high")) & (F.col("index_model") == F.col("query_model"))
+    return with_single(asked.select("query_model"), held).select("query_model", "index_model", only.alias("allowed"))
 
 
 def require_model(gold: DataFrame, query_model: str) -> None:
-    """Stop before searching when the index holds vectors of another model."""
-    row = guard_model(gold, query_model).first()
+    """Stop before searching when the table holds vectors of another model."""
+    asked = gold.sparkSession.createDataFrame([(query_model,)], "query_model string")
+    row = guard_model(gold, asked).first()
     if not row["allowed"]:
         raise ValueError(f"index holds vectors of {row['index_model']!r}, query uses {query_model!r}")
 

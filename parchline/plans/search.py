@@ -244,14 +244,7 @@ def model_guard(spark: SparkSession, folder: str) -> DataFrame:
     """An index over the French documents, asked by a model per language."""
     documents = table(spark, folder, "documents")
     index = documents.filter("lang = 'fr'").select(F.col("lang").alias("embedding_model"))
-    bounds = index.agg(F.min("embedding_model").alias("low"), F.max("embedding_model").alias("high"))
-    asked = documents.groupBy(F.col("lang").alias("query_model")).agg(F.lit(1).alias("_k"))
-    checked = asked.join(bounds.withColumn("_k", F.lit(1)), "_k")
-    return checked.select(
-        "query_model",
-        F.col("low").alias("index_model"),
-        ((F.col("low") == F.col("high")) & (F.col("low") == F.col("query_model"))).alias("allowed"),
-    )
+    return search.guard_model(index, documents.select(F.col("lang").alias("query_model")).distinct())
 
 
 def asking_view(spark: SparkSession, folder: str) -> DataFrame:
