@@ -9,13 +9,16 @@ from .binding import bind
 # Fixed value: characters counted as one token.
 CHARS_PER_TOKEN = 4
 
-# Unicode white space plus the four ASCII separators that Python's str.strip also removes.
-_EDGE = r"[\s\x1c-\x1f]+"
+# Fixed value: the characters Python's str.strip removes.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    """Remove white space at both ends (``trim`` would only remove blanks)."""
-    return F.regexp_replace(text, rf"(?U)\A{_EDGE}|{_EDGE}\z", "")
+    """Remove white space of any kind at both ends (a plain ``trim`` only removes blanks)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def is_blank(text: Column) -> Column:
@@ -29,13 +32,13 @@ def approx_tokens(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of ASCII letters and digits."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
 
 def sentences(text: Column) -> Column:
     """Sentences: cut after ``.``, ``!`` or ``?`` followed by white space, or at line ends."""
     parts = F.split(text, r"(?<=[.!?])\s+|\n+")
-    return F.filter(F.transform(parts, strip), lambda s: s != "")
+    return F.array_remove(F.transform(parts, strip), "")
 
 
 def fixed_pieces(text: Column, size: int, overlap: int) -> Column:

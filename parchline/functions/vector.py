@@ -1,6 +1,6 @@
 """Feature-hashed text vectors and vector arithmetic.
 
-Tokens become signed bucket numbers in the JVM; only those integers travel to Python, where whole
+Tokens become bucket numbers in the JVM; only those integers travel to Python, where whole
 Arrow batches are summed with numpy. No shuffle: a vector depends on its own row only.
 """
 
@@ -16,16 +16,9 @@ from .text import tokens
 DIM = 64
 
 
-def signed_buckets(words: Column, dim: int = DIM) -> Column:
-    """Each token as ``bucket + 1``, negative where its sign bit is set."""
-
-    def code(word: Column) -> Column:
-        number = hash_number(word)
-        bucket = (F.pmod(number, F.lit(dim)) + 1).cast("int")
-        negative = F.pmod(F.floor(number / F.lit(dim)), F.lit(2)) == 1
-        return F.when(negative, -bucket).otherwise(bucket)
-
-    return F.transform(words, code)
+def token_codes(words: Column, dim: int = DIM) -> Column:
+    """Each token as a number below ``2 * dim``: its bucket, plus ``dim`` where its sign is negative."""
+    return F.transform(words, lambda w: F.pmod(hash_number(w), F.lit(2 * dim)).cast("int"))
 
 
 def bucket_counts(codes: pd.Series, dim: int) -> np.ndarray:
@@ -34,8 +27,9 @@ def bucket_counts(codes: pd.Series, dim: int) -> np.ndarray:
     if not sizes.sum():
         return np.zeros((len(codes), dim))
     flat = np.concatenate([c for c in codes if c is not None and len(c)]).astype(np.int64)
-    cell = np.repeat(np.arange(len(codes)), sizes) * dim + np.abs(flat) - 1
-    return np.bincount(cell, weights=np.sign(flat), minlength=len(codes) * dim).reshape(-1, dim)
+    cell = np.repeat(np.arange(len(codes)), sizes) * dim + flat % dim
+    sign = np.where(flat < dim, 1.0, -1.0)
+    return np.bincount(cell, weights=sign, minlength=len(codes) * dim).reshape(-1, dim)
 
 
 def _unit_vectors(dim: int):
@@ -51,7 +45,7 @@ def _unit_vectors(dim: int):
 
 def hash_embedding(text: Column, dim: int = DIM) -> Column:
     """Unit-length feature-hashed vector of a text; zeros for a text without tokens."""
-    return _unit_vectors(dim)(signed_buckets(tokens(text), dim))
+    return _unit_vectors(dim)(token_codes(tokens(text), dim))
 
 
 def adjacent_cosine(sentence_array: Column, dim: int = DIM) -> Column:
@@ -74,7 +68,7 @@ def adjacent_cosine(sentence_array: Column, dim: int = DIM) -> Column:
             out.append(values)
         return pd.Series(out)
 
-    return similarity(F.transform(sentence_array, lambda s: signed_buckets(tokens(s), dim)))
+    return similarity(F.transform(sentence_array, lambda s: token_codes(tokens(s), dim)))
 
 
 def dot(a: Column, b: Column) -> Column:

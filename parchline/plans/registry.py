@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from . import capture, cost, evaluate, gold, lifecycle, monitor, search, silver  # noqa: F401
+    from . import capture, cost, evaluate, gold, lifecycle, monitor, search, silver, streams  # noqa: F401

@@ -212,17 +212,17 @@ decided AS (
 def line_parts(method, content):
     """Parts of a text: its lines as pages, paragraphs (short lines are headings) or sheet rows."""
     lines = F.split(content.cast("string"), "\n", -1)
+    paragraphs = F.transform(lines, lambda l: F.struct(l.alias("text"), (F.length(l) < 60).alias("is_heading")))
+    rows = F.transform(lines, lambda l: F.split(l, ", ", -1))
     return F.when(
         content.isNotNull(),
         F.struct(
             F.lit(None).cast("string").alias("error"),
-            lines.alias("pages"),
-            F.array(lines).alias("ocr_pages"),
-            F.transform(lines, lambda l: F.struct(l.alias("text"), (F.length(l) < 60).alias("is_heading"))).alias(
-                "paragraphs"
-            ),
-            F.array(
-                F.struct(F.lit("Sheet1").alias("title"), F.transform(lines, lambda l: F.split(l, ", ", -1)).alias("rows"))
+            F.when(method == "pymupdf_standard", lines).alias("pages"),
+            F.when(method == "azure_document_intelligence_ocr", F.array(lines)).alias("ocr_pages"),
+            F.when(method == "python_docx_standard", paragraphs).alias("paragraphs"),
+            F.when(
+                method == "openpyxl_standard", F.array(F.struct(F.lit("Sheet1").alias("title"), rows.alias("rows")))
             ).alias("sheets"),
         ),
     )
