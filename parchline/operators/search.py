@@ -189,25 +189,23 @@ def bm25_topk(
     Queries beyond ``max_shipped`` (or the size of that matrix) go through the join form.
     """
     filtered = "acl_group" in corpus.columns and "groups" in queries.columns
-    words = corpus.select(
-        "item_id", tokens(F.col("text")).alias("words"), *(["acl_group"] if filtered else [])
-    )
-    size, mean_length = words.agg(F.count("*"), F.avg(F.size("words"))).first()
-    if not size:
-        empty = words.sparkSession.createDataFrame([], HITS)
-        return rank_hits(empty, k)
+    words = corpus.select("item_id", tokens(F.col("text")).alias("words"), *(["acl_group"] if filtered else []))
     asked = queries.select(
         "query_id", F.array_distinct(tokens(F.col("text"))).alias("terms"), *(["groups"] if filtered else [])
     )
     rows = shipped(asked, max_shipped)
     vocabulary = sorted({t for r in rows for t in r["terms"]}) if rows is not None else []
     if rows is None or len(vocabulary) * len(rows) * 8 > MAX_SHIPPED_BYTES:
-        return rank_hits(_bm25_by_join(words, asked, size, mean_length, filtered), k)
+        return rank_hits(_bm25_by_join(words, asked, filtered), k)
+    if not vocabulary:
+        return rank_hits(words.sparkSession.createDataFrame([], HITS), k)
 
     place = {term: i for i, term in enumerate(vocabulary)}
-    frequency = np.zeros(len(vocabulary))
-    for row in _document_frequency(words, vocabulary).collect():  # at most one row per query term
-        frequency[place[row["term"]]] = row["df"]
+    # At most one row per query term, and one with the corpus totals.
+    counts = {r["code"]: (r["documents"], r["words"]) for r in _corpus_statistics(words, vocabulary).collect()}
+    size, total = counts.get(-1, (0, 0))
+    mean_length = total / size if size else 1.0
+    frequency = np.array([counts.get(i, (0, 0))[0] for i in range(len(vocabulary))], dtype=np.float64)
     idf = np.log(1 + (size - frequency + 0.5) / (frequency + 0.5))
     ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
     weight = np.zeros((len(vocabulary), len(rows)))
@@ -223,12 +221,7 @@ def bm25_topk(
         for whole in batches:
             for at in range(0, whole.num_rows, slice_rows):
                 batch = whole.slice(at, slice_rows)
-                lists = batch.column("words")
-                lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.float64)
-                code = pc.index_in(lists.flatten(), value_set=known)
-                owner = np.repeat(np.arange(batch.num_rows), lengths.astype(np.int64))
-                hit = pc.is_valid(code).to_numpy(zero_copy_only=False)
-                cell = owner[hit] * n_terms + pc.drop_null(code).to_numpy(zero_copy_only=False)
+                cell, lengths = _term_cells(batch.column("words"), known)
                 tf = np.bincount(cell, minlength=batch.num_rows * n_terms).reshape(batch.num_rows, n_terms)
                 norm = BM25_K1 * (1 - BM25_B + BM25_B * lengths / mean_length)
                 part = tf * (BM25_K1 + 1) / (tf + norm[:, None] + (tf == 0))
@@ -240,32 +233,59 @@ def bm25_topk(
                 best.add(np.array(batch.column("item_id").to_pylist(), dtype=object), value)
         yield pa.RecordBatch.from_pandas(best.frame(), schema=_HITS_ARROW, preserve_index=False)
 
-    if not n_terms:
-        return rank_hits(words.sparkSession.createDataFrame([], HITS), k)
     return rank_hits(words.mapInArrow(score, HITS), k)
 
 
-def _document_frequency(words: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Documents per query term; each row first drops the tokens no query asks for."""
-    asked = F.array(*[F.lit(t) for t in vocabulary]) if vocabulary else F.array().cast("array<string>")
-    return words.select(F.explode(F.array_intersect("words", asked)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def _term_cells(lists: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``row * len(known) + term`` for every known token, and the token count of every row."""
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    code = pc.index_in(lists.flatten(), value_set=known)
+    owner = np.repeat(np.arange(len(lists)), lengths)
+    hit = pc.is_valid(code).to_numpy(zero_copy_only=False)
+    return owner[hit] * len(known) + pc.drop_null(code).to_numpy(zero_copy_only=False), lengths
 
 
-def _bm25_by_join(
-    words: DataFrame, asked: DataFrame, size: int, mean_length: float, filtered: bool
-) -> DataFrame:
+def _corpus_statistics(words: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Document frequency per query term (``code``), and documents and words in all (code -1).
+
+    Each task counts its own batches and hands on one row per term.
+    """
+    known = pa.array(vocabulary, type=pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents, total, held = 0, 0, np.zeros(len(known), dtype=np.int64)
+        for batch in batches:
+            cell, lengths = _term_cells(batch.column("words"), known)
+            documents, total = documents + batch.num_rows, total + int(lengths.sum())
+            held += np.bincount(np.unique(cell) % len(known), minlength=len(known))
+        code = np.append(np.flatnonzero(held), -1)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(code, pa.int64()),
+                pa.array(np.append(held[held > 0], documents), pa.int64()),
+                pa.array(np.append(np.zeros(len(code) - 1, np.int64), total), pa.int64()),
+            ],
+            names=["code", "documents", "words"],
+        )
+
+    counted = words.select("words").mapInArrow(count, "code bigint, documents bigint, words bigint")
+    return counted.groupBy("code").agg(F.sum("documents").alias("documents"), F.sum("words").alias("words"))
+
+
+def _bm25_by_join(words: DataFrame, asked: DataFrame, filtered: bool) -> DataFrame:
     """Scores from an equi join on terms, for query sets too large to ship.
 
-    A document's terms are counted in its own task; a term that every document and every query
-    has is split by a salt so that one join key never lands in one task.
+    A document's terms are counted in its own row's task; a term that every document and every
+    query has is split by a salt so that one join key never lands in one task.
     """
     salts = 32
+    size, mean_length = words.agg(F.count("*"), F.avg(F.size("words"))).first()
+    group = ["acl_group"] if filtered else []
     asked_terms = asked.select("query_id", F.explode("terms").alias("term"), *(["groups"] if filtered else []))
     counted = (
-        words.withColumn("len", F.size("words"))
-        .select("item_id", "len", *(["acl_group"] if filtered else []), F.explode("words").alias("term"))
+        words.select("item_id", F.size("words").alias("len"), *group, F.explode("words").alias("term"))
         .join(asked_terms.select("term").distinct(), "term", "left_semi")
-        .groupBy("item_id", "len", *(["acl_group"] if filtered else []), "term")
+        .groupBy("item_id", "len", *group, "term")
         .agg(F.count("*").alias("tf"))
     )
     frequency = counted.groupBy("term").agg(F.count("*").alias("df"))

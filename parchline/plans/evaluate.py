@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.binding import explode_rows
 from ..functions.text import sentences
 from ..operators import evaluate, search
-from ..sources.tables import table
+from ..sources.tables import stored, table
 from .registry import query
 from .silver import REQUESTS
 from .views import FIXED_CHUNKS, sql_hash_number, sql_strip, sql_time, time_text, typed_view, with_ctes
-from .search import corpus_view, requests_view, sql_bm25
+from .search import requests_view, sql_bm25
 
 
 def judged_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,8 +120,10 @@ def retrieval_grade(spark: SparkSession, folder: str) -> DataFrame:
     """Keyword search graded on documents: a document ranks where its best chunk does."""
     from .views import chunks_view
 
-    hits = search.bm25_topk(corpus_view(spark, folder), requests_view(spark, folder), 50)
-    owner = chunks_view(spark, folder).select(F.col("chunk_id").alias("item_id"), "content_hash")
+    corpus = chunks_view(spark, folder).select(F.col("chunk_id").alias("item_id"), "content_hash", F.col("chunk_text").alias("text"))
+    corpus = stored(corpus, "corpus")
+    hits = search.bm25_topk(corpus.select("item_id", "text"), requests_view(spark, folder), 50)
+    owner = corpus.select("item_id", "content_hash")
     best = hits.join(owner, "item_id").groupBy("query_id", "content_hash").agg(F.min("rank").alias("first"))
     ranked = search.rank_hits(best.select("query_id", F.col("content_hash").alias("item_id"), (-F.col("first")).alias("score")), 10)
     expected = planted_view(spark, folder).select("query_id", F.col("content_hash").alias("item_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.vector import hash_embedding as embed
 from ..operators import gold
 from ..operators.lifecycle import reconcile
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .lifecycle import now
 from .registry import query
 from .views import (
@@ -173,7 +173,7 @@ def vector_text(vector: str):
     ),
 )
 def hash_embedding(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = table(spark, folder, "documents").select("doc_id", embed(F.col("text")).alias("v"))
+    vectors = spread(table(spark, folder, "documents")).select("doc_id", embed(F.col("text")).alias("v"))
     return vectors.select(
         "doc_id",
         vector_text("v").alias("magnitudes"),

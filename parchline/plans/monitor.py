@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import monitor
-from ..sources.tables import table
+from ..sources.tables import stored, table
 from .registry import query
 from .silver import DISPATCHED
 from .views import (
@@ -160,7 +160,7 @@ def method_usage(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def token_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    found = monitor.token_outliers(dispatched_view(spark, folder))
+    found = monitor.token_outliers(stored(dispatched_view(spark, folder), "chunks"))
     return found.select(
         "content_hash",
         "chunk_index",

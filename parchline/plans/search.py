@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.vector import hash_embedding
 from ..operators import search
 from ..operators.rules import RETRIEVAL_RULES
-from ..session import fresh_dir
-from ..sources.tables import table
+from ..sources.tables import stored, table
 from .gold import CONTENT_ACL, MODEL, VECTORS, gold_view
 from .registry import query
 from .silver import REQUESTS, requests_view
@@ -74,7 +73,8 @@ def corpus_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embedded_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus_view(spark, folder).withColumn("vector", hash_embedding(F.col("text")))
+    """The chunk table with vectors, stored: every search below reads it more than once."""
+    return stored(corpus_view(spark, folder).withColumn("vector", hash_embedding(F.col("text"))), "corpus")
 
 
 def embedded_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,7 +113,7 @@ def sql_bm25(name: str, k: int, where: str = "true") -> str:
     with_ctes(FIXED_CHUNKS, REQUESTS, sql_bm25("sparse", K), select="SELECT query_id, item_id, round(score, 4) AS score, rank FROM sparse"),
 )
 def bm25_topk(spark: SparkSession, folder: str) -> DataFrame:
-    hits = search.bm25_topk(corpus_view(spark, folder), requests_view(spark, folder), K)
+    hits = search.bm25_topk(stored(corpus_view(spark, folder), "corpus"), requests_view(spark, folder), K)
     return hits.withColumn("score", F.round("score", 4))
 
 
@@ -299,9 +299,7 @@ def retrieve_batch(spark: SparkSession, folder: str) -> DataFrame:
     from .views import instances_view
 
     # Gold is a table: both searches, the rerank and the citation join read it, none recomputes it.
-    target = fresh_dir(spark, "gold")
-    gold_view(spark, folder).write.parquet(target)
-    gold = spark.read.parquet(target)
+    gold = stored(gold_view(spark, folder), "gold")
     hits = search.retrieve(gold, asking_view(spark, folder), RETRIEVAL_RULES, MODEL)
     cited = search.with_citations(hits, gold, citations(instances_view(spark, folder)))
     return cited.select("query_id", "item_id", "rank", F.round("score", 4).alias("score"), "source_path", "file_name")

@@ -10,8 +10,7 @@ from ..functions.vector import adjacent_cosine
 from ..operators import chunks as chunking
 from ..operators import sections as sec
 from ..operators.rules import CHUNKING_RULES, resolve_chunking, resolve_extraction, resolve_retrieval
-from ..session import fresh_dir
-from ..sources.tables import table, write_batch
+from ..sources.tables import spread, stored, table
 from .registry import query
 from .views import (
     EXTRACTED,
@@ -286,7 +285,7 @@ def token_estimate(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def chunk_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    cut = table(spark, folder, "documents").withColumn("pieces", fixed_pieces(F.col("text"), 512, 50))
+    cut = spread(table(spark, folder, "documents")).withColumn("pieces", fixed_pieces(F.col("text"), 512, 50))
     pieces = explode_rows(cut, "pieces", "doc_id", index="chunk_index", value="chunk_text")
     return pieces.withColumn("token_count", approx_tokens(F.col("chunk_text")))
 
@@ -339,7 +338,7 @@ def sql_structured(sections: str, doc: str, size: int, overlap: int) -> str:
 )
 def chunk_recursive(spark: SparkSession, folder: str) -> DataFrame:
     text = F.replace("text", F.lit("\n"), F.lit("\n\n"))
-    cut = table(spark, folder, "documents").withColumn("t", text).withColumn(
+    cut = spread(table(spark, folder, "documents")).withColumn("t", text).withColumn(
         "pieces", structured_pieces(F.col("t"), 512, 50)
     )
     pieces = explode_rows(cut, "pieces", "doc_id", index="chunk_index", value="chunk_text")
@@ -412,7 +411,7 @@ def sql_semantic(source: str, doc: str, size: int = 256, overlap: int = 25, thre
     ),
 )
 def chunk_semantic(spark: SparkSession, folder: str) -> DataFrame:
-    split = table(spark, folder, "documents").select("doc_id", sentences(F.col("text")).alias("s"))
+    split = spread(table(spark, folder, "documents")).select("doc_id", sentences(F.col("text")).alias("s"))
     scored = split.withColumn("similarity", adjacent_cosine(F.col("s")))
     pieces = chunking.semantic_chunks(F.col("s"), F.col("similarity"), 256, 25, chunking.SEMANTIC_THRESHOLD)
     rows = explode_rows(scored.withColumn("pieces", pieces), "pieces", "doc_id", value="p")
@@ -494,12 +493,9 @@ def chunk_dispatch(spark: SparkSession, folder: str) -> DataFrame:
 )
 def rechunk(spark: SparkSession, folder: str) -> DataFrame:
     """Another chunking over the stored extraction table: no file is read or extracted again."""
-    root = fresh_dir(spark, "rechunk")
-    write_batch(extracted_view(spark, folder), root, 0)
     rule = {"method": "fixed_size_with_overlap", "chunk_size": 128, "overlap": 16}
     again = {"chunking": {"defaults": dict.fromkeys(("pdf", "docx", "xlsx", "text"), rule)}}
-    stored = spark.read.parquet(f"{root}/batch_id=0")
-    return chunking.chunk(stored, again).select(
+    return chunking.chunk(stored(extracted_view(spark, folder), "extracted"), again).select(
         "chunk_id", "content_hash", "chunk_index", F.md5("chunk_text").alias("text_md5")
     )
 
@@ -518,6 +514,6 @@ def chunkless_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Under rules whose OCR override names no known method, its documents yield no chunk."""
     body = CHUNKING_RULES["chunking"]
     override = {"extraction_method_used": "azure_document_intelligence_ocr", "method": "not_there"}
-    extracted = extracted_view(spark, folder)
+    extracted = stored(extracted_view(spark, folder), "extracted")
     produced = chunking.chunk(extracted, {"chunking": {"defaults": body["defaults"], "overrides": [override]}})
     return chunking.chunkless(extracted, produced)

@@ -11,7 +11,7 @@ from ..functions.identity import content_hash
 from ..operators.capture import enrich
 from ..operators.chunks import chunk, chunk_rows, fixed_chunks
 from ..operators.sections import extract, text_sections
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 SIZE, OVERLAP = 512, 50
 WINDOW, STEP = SIZE * 4, (SIZE - OVERLAP) * 4
@@ -67,7 +67,7 @@ _ZIP_HEAD = b"PK\x03\x04"
 
 def files_view(spark: SparkSession, folder: str) -> DataFrame:
     """``path, modificationTime, length, content`` with every branch of type detection."""
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents"))
     text = F.col("text").cast("binary")
     kind = F.length("text") % 10
 
@@ -148,7 +148,7 @@ bronze AS (
 def typed_view(spark: SparkSession, folder: str) -> DataFrame:
     """Valid bronze rows with the plain text as content and a type by length."""
     kind = F.length("text") % 10
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         F.col("text").cast("binary").alias("content"),
         F.concat(F.lit("file:/vol/"), "source", F.lit("/"), "doc_id", F.lit(".txt")).alias("source_path"),
         F.concat("doc_id", F.lit(".txt")).alias("file_name"),

@@ -4,11 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import fresh_dir
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one split per core; leave any other alone.
+
+    For input in few unsplittable pieces that feeds costly per-row work. A table of many files has
+    more splits than cores, so nothing is shuffled there.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result to the shared folder and read it back: the hand-over between two stages.
+
+    What several consumers read is computed once, and lost executors cost no recomputation of it.
+    """
+    folder = fresh_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     """Write one micro-batch so that writing it again replaces it.
 
