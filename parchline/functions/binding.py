@@ -28,5 +28,5 @@ def explode_rows(df: DataFrame, array: str, *keep: str, index: str | None = None
 
 def with_single(df: DataFrame, one: DataFrame) -> DataFrame:
     """Every row of ``df`` with the columns of a global aggregate, which is exactly one row."""
-    keyed = one.withColumn("_k", F.lit(1))
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(keyed), "_k").drop("_k")
+    row = one.select(F.struct(*one.columns).alias("one")).scalar()
+    return df.withColumn("_one", row).select(*df.columns, "_one.*")

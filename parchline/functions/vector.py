@@ -40,7 +40,8 @@ def _unit_vectors(dim: int):
         vectors = np.divide(counts, norm, out=np.zeros_like(counts), where=norm > 0)
         return pd.Series(list(vectors.astype(np.float32)))
 
-    return unit
+    # Declared nondeterministic so that the optimizer neither repeats nor moves the call.
+    return unit.asNondeterministic()
 
 
 def hash_embedding(text: Column, dim: int = DIM) -> Column:
@@ -68,7 +69,7 @@ def adjacent_cosine(sentence_array: Column, dim: int = DIM) -> Column:
             out.append(values)
         return pd.Series(out)
 
-    return similarity(F.transform(sentence_array, lambda s: token_codes(tokens(s), dim)))
+    return similarity.asNondeterministic()(F.transform(sentence_array, lambda s: token_codes(tokens(s), dim)))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -125,4 +125,5 @@ def file_parts(method: Column, content: Column) -> Column:
             out.append(parts)
         return pd.DataFrame(out, columns=list(_PARTS))
 
-    return read(method, content)
+    # Declared nondeterministic so that the optimizer neither repeats nor moves the call.
+    return read.asNondeterministic()(method, content)
