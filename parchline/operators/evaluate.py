@@ -10,6 +10,7 @@ from ..functions.binding import with_single
 from ..functions.identity import hash_number
 from ..functions.vector import cosine
 from .monitor import quartile_fences
+from .ordered import running
 
 # The judges, those that need an expected answer, and the gate thresholds.
 DEFAULT_SCORERS = ("chunk_relevance", "groundedness", "relevance_to_query", "safety", "guideline_adherence")
@@ -125,14 +126,15 @@ def breach_windows(events: DataFrame, time: str, breached: Column, width: str =
 
 
 def golden_versions(approvals: DataFrame, key: str, approved: Column, at: str) -> DataFrame:
-    """Approved candidates as versions with validity intervals; others never enter."""
-    history = Window.partitionBy(key).orderBy(at)
-    return approvals.filter(approved).select(
-        "*",
-        F.row_number().over(history).alias("version"),
-        F.col(at).alias("valid_from"),
-        F.lead(at).over(history).alias("valid_to"),
-    )
+    """Approved candidates as versions with validity intervals; others never enter.
+
+    ``at`` is a non-negative integer moment, unique per key. Versions are counted blockwise and a
+    version ends where the next number begins, an equi join: no key is ordered in one task.
+    """
+    numbered = running(approvals.filter(approved), [key], at, sums={"version": F.lit(1)})
+    versions = numbered.withColumn("version", (F.col("version") + 1).cast("int")).withColumn("valid_from", F.col(at))
+    following = versions.select(key, (F.col("version") - 1).alias("version"), F.col(at).alias("valid_to"))
+    return versions.join(following, [key, "version"], "left")
 
 
 def golden_as_of(versions: DataFrame, moment: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.identity import content_hash
 from ..operators import lifecycle
 from ..session import fresh_dir
-from ..sources.tables import table, write_batch
+from ..sources.tables import read_mirror, stored, sync_mirror, table, write_batch
 from ..streaming import flows
 from .registry import query
 from .views import (
@@ -230,6 +230,29 @@ def orphan_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return lost.select("chunk_id", "content_hash", "chunk_index")
 
 
+SERVED = """
+before_rows AS (SELECT chunk_id, chunk_text, acl FROM chunks
+  JOIN (SELECT content_hash, max(resolved_acl_group) AS acl FROM instances GROUP BY 1) USING (content_hash)
+  WHERE content_hash IN (SELECT content_hash FROM typed WHERE file_type <> 'docx')),
+after_rows AS (SELECT chunk_id, chunk_text, acl FROM chunks
+  JOIN (SELECT content_hash, max(resolved_acl_group) AS acl FROM instances JOIN live ON path = source_path GROUP BY 1)
+    USING (content_hash))
+"""
+
+
+def served_views(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """An index without docx content, and one without the contents of deleted files."""
+    chunks = chunks_view(spark, folder).select("chunk_id", "content_hash", "chunk_text")
+
+    def served(current: DataFrame) -> DataFrame:
+        groups = current.filter("is_active").groupBy("content_hash").agg(F.max("resolved_acl_group").alias("acl"))
+        return chunks.join(groups, "content_hash")
+
+    known = typed_view(spark, folder).filter("file_type <> 'docx'").select("content_hash").distinct()
+    before = served(instances_view(spark, folder)).join(known, "content_hash", "left_semi")
+    return before, served(reconciled(spark, folder))
+
+
 @query(
     "serving_sync_changes",
     with_ctes(
@@ -237,13 +260,7 @@ def orphan_chunks(spark: SparkSession, folder: str) -> DataFrame:
         LIVE,
         ACL_MAP,
         INSTANCES,
-        """
-        before_rows AS (SELECT chunk_id, chunk_text, acl FROM chunks
-          JOIN (SELECT content_hash, max(resolved_acl_group) AS acl FROM instances GROUP BY 1) USING (content_hash)
-          WHERE content_hash IN (SELECT content_hash FROM typed WHERE file_type <> 'docx')),
-        after_rows AS (SELECT chunk_id, chunk_text, acl FROM chunks
-          JOIN (SELECT content_hash, max(resolved_acl_group) AS acl FROM instances JOIN live ON path = source_path GROUP BY 1)
-            USING (content_hash))""",
+        SERVED,
         select="""
         SELECT * FROM (
           SELECT coalesce(b.chunk_id, a.chunk_id) AS chunk_id,
@@ -253,18 +270,28 @@ def orphan_chunks(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def serving_sync_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """From an index without docx content to one without the contents of deleted files."""
-    chunks = chunks_view(spark, folder)
-    typed = typed_view(spark, folder)
+    before, after = served_views(spark, folder)
+    return lifecycle.snapshot_changes(before, after, "chunk_id", ["chunk_text", "acl"])
 
-    def served(current: DataFrame) -> DataFrame:
-        groups = current.filter("is_active").groupBy("content_hash").agg(F.max("resolved_acl_group").alias("acl"))
-        return chunks.join(groups, "content_hash")
 
-    known = typed.filter("file_type <> 'docx'").select("content_hash").distinct()
-    before = served(instances_view(spark, folder)).join(known, "content_hash", "left_semi")
-    after = served(reconciled(spark, folder))
-    return lifecycle.snapshot_changes(before, after, "chunk_id", ["chunk_text", "acl"])
+@query(
+    "serving_mirror",
+    with_ctes(
+        FIXED_CHUNKS,
+        LIVE,
+        ACL_MAP,
+        INSTANCES,
+        SERVED,
+        select="SELECT chunk_id, md5(chunk_text) AS text_md5, acl FROM after_rows",
+    ),
+)
+def serving_mirror(spark: SparkSession, folder: str) -> DataFrame:
+    """A mirror filled from the first table, then brought to the second by its changes alone."""
+    before, after = (stored(view, "served") for view in served_views(spark, folder))
+    mirror = fresh_dir(spark, "mirror")
+    sync_mirror(mirror, before, before, "chunk_id")
+    sync_mirror(mirror, after, lifecycle.snapshot_changes(before, after, "chunk_id", ["chunk_text", "acl"]), "chunk_id")
+    return read_mirror(spark, mirror, "chunk_id").select("chunk_id", F.md5("chunk_text").alias("text_md5"), "acl")
 
 
 @query("stream_rerun_idempotent", with_ctes(TYPED, UNIQUE, select="SELECT content_hash, source_path IS NOT NULL AS present FROM uniq"))

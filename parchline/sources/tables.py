@@ -60,3 +60,23 @@ def stream_table(spark: SparkSession, folder: str, schema: str, max_files: int |
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(folder).drop("batch_id")
+
+
+def sync_mirror(folder: str, after: DataFrame, changes: DataFrame, key: str, buckets: int = 64) -> None:
+    """Bring a mirror of a table up to date by rewriting only the buckets that have changes.
+
+    ``changes`` lists changed keys, deletions included; other buckets keep their files. Each
+    rewritten bucket gets one row without key, so that one left empty is overwritten too. Choose
+    ``buckets`` so that one of them is a few files; it must not change for a given folder.
+    """
+
+    def bucket(df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+    touched = bucket(changes.select(key)).select("bucket").distinct()
+    rows = bucket(after).join(touched, "bucket", "left_semi").unionByName(touched, allowMissingColumns=True)
+    rows.write.partitionBy("bucket").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
+
+
+def read_mirror(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    return spark.read.parquet(folder).filter(F.col(key).isNotNull()).drop("bucket")

@@ -84,3 +84,29 @@ def test_snapshot_changes(spark):
     after = spark.createDataFrame([(2, "c"), (3, None), (4, "d")], "k int, v string")
     found = {r["k"]: r["change"] for r in snapshot_changes(before, after, "k", ["v"]).collect()}
     assert found == {1: "delete", 2: "update", 4: "insert"}
+
+
+def test_mirror_follows_deletions_to_the_last_row(spark, tmp_path):
+    from parchline.sources.tables import read_mirror, sync_mirror
+
+    folder = str(tmp_path / "mirror")
+    before = spark.createDataFrame([(i, f"v{i}") for i in range(30)], "k int, v string")
+    after = spark.createDataFrame([(3, "new"), (40, "v40")], "k int, v string")
+    sync_mirror(folder, before, before, "k", buckets=4)
+    sync_mirror(folder, after, snapshot_changes(before, after, "k", ["v"]), "k", buckets=4)
+    assert sorted(tuple(r) for r in read_mirror(spark, folder, "k").collect()) == [(3, "new"), (40, "v40")]
+    sync_mirror(folder, after.limit(0), after, "k", buckets=4)
+    assert read_mirror(spark, folder, "k").count() == 0
+
+
+def test_golden_versions_by_blocks(spark):
+    from parchline.operators.evaluate import golden_as_of, golden_versions
+
+    rows = [("q", t, t % 3 == 0) for t in range(0, 20000, 500)] + [("r", 7, True)]
+    frame = spark.createDataFrame(rows, "question string, at bigint, ok boolean")
+    versions = golden_versions(frame, "question", F.col("ok"), "at")
+    found = sorted((r["question"], r["version"], r["valid_from"], r["valid_to"]) for r in versions.collect())
+    times = [t for q, t, ok in rows if q == "q" and ok]
+    expected = [("q", i + 1, t, n) for i, (t, n) in enumerate(zip(times, [*times[1:], None]))]
+    assert found == [*expected, ("r", 1, 7, None)]
+    assert golden_as_of(versions, F.lit(times[2])).filter("question = 'q'").first()["version"] == 3
