@@ -28,6 +28,8 @@ from .rules import resolve_retrieval
 MAX_SHIPPED_QUERIES = 4096
 MAX_SHIPPED_BYTES = 64 * 1024 * 1024
 SHARD_ROWS = 20_000
+BLOCK_QUERIES = 256
+SLICE_CELLS = 4_000_000
 DIGITS = 6
 
 # BM25 saturation and length weight, and the rank constant of reciprocal rank fusion.
@@ -138,6 +140,19 @@ def dense_topk(
 _HITS_ARROW = pa.schema([("query_id", pa.int64()), ("item_id", pa.string()), ("score", pa.float64())])
 
 
+def _cells(rows: int, per_cell: int) -> int:
+    return max(1, -(-rows // per_cell))
+
+
+def _in_cells(items: DataFrame, asked: DataFrame, n_shards: int, n_blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides hashed into cells; every shard of items meets every block of queries once."""
+    shard = F.pmod(F.xxhash64("item_id"), F.lit(n_shards)).cast("int")
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int")
+    left = items.select("*", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+    right = asked.select("*", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
+    return left, right
+
+
 def _dense_by_blocks(
     corpus: DataFrame, queries: DataFrame, k: int, filtered: bool, block: int, shard_rows: int
 ) -> DataFrame:
@@ -147,18 +162,7 @@ def _dense_by_blocks(
     one group. That repeats the corpus once per query block, as any exact comparison of two large
     sides must, but no group exceeds one shard and one block.
     """
-    n_blocks = max(1, -(-queries.count() // block) * 2)
-    n_shards = max(1, -(-corpus.count() // shard_rows))
-    left = corpus.select(
-        "*",
-        F.pmod(F.xxhash64("item_id"), F.lit(n_shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-    )
-    right = queries.select(
-        "*",
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_shards - 1).cast("bigint"))).alias("shard"),
-    )
+    left, right = _in_cells(corpus, queries, _cells(corpus.count(), shard_rows), _cells(queries.count(), block))
 
     def score(items: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         best = _Best(asked["query_id"].to_numpy(dtype=np.int64), k)
@@ -180,13 +184,17 @@ def _dense_by_blocks(
 
 
 def bm25_topk(
-    corpus: DataFrame, queries: DataFrame, k: int, max_shipped: int = MAX_SHIPPED_QUERIES
+    corpus: DataFrame,
+    queries: DataFrame,
+    k: int,
+    max_shipped: int = MAX_SHIPPED_QUERIES,
+    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """BM25 top-k over ``item_id, text`` for queries ``query_id, text``.
 
     Two passes over the corpus. The first gives its size, mean length and the document frequency
     of the query terms; the second scores whole batches against a terms x queries weight matrix.
-    Queries beyond ``max_shipped`` (or the size of that matrix) go through the join form.
+    Queries beyond ``max_shipped`` (or the size of that matrix) are scored in blocks.
     """
     filtered = "acl_group" in corpus.columns and "groups" in queries.columns
     words = corpus.select("item_id", tokens(F.col("text")).alias("words"), *(["acl_group"] if filtered else []))
@@ -196,7 +204,7 @@ def bm25_topk(
     rows = shipped(asked, max_shipped)
     vocabulary = sorted({t for r in rows for t in r["terms"]}) if rows is not None else []
     if rows is None or len(vocabulary) * len(rows) * 8 > MAX_SHIPPED_BYTES:
-        return rank_hits(_bm25_by_join(words, asked, filtered), k)
+        return rank_hits(_bm25_by_blocks(words, asked, k, filtered, min(max_shipped, BLOCK_QUERIES), shard_rows), k)
     if not vocabulary:
         return rank_hits(words.sparkSession.createDataFrame([], HITS), k)
 
@@ -214,19 +222,15 @@ def bm25_topk(
             weight[place[term], column] = idf[place[term]]
     groups = [set(r["groups"] or ()) for r in rows] if filtered else None
     known = pa.array(vocabulary, type=pa.string())
-    n_terms, slice_rows = len(vocabulary), 512
+
+    step = _slice_rows(len(vocabulary))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(ids, k)
         for whole in batches:
-            for at in range(0, whole.num_rows, slice_rows):
-                batch = whole.slice(at, slice_rows)
-                cell, lengths = _term_cells(batch.column("words"), known)
-                tf = np.bincount(cell, minlength=batch.num_rows * n_terms).reshape(batch.num_rows, n_terms)
-                norm = BM25_K1 * (1 - BM25_B + BM25_B * lengths / mean_length)
-                part = tf * (BM25_K1 + 1) / (tf + norm[:, None] + (tf == 0))
-                value = (part @ weight).T
-                value = np.where(value > 0, value, -np.inf)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                value = _bm25_scores(batch.column("words"), known, weight, mean_length)
                 if groups is not None:
                     names = np.array(batch.column("acl_group").to_pylist(), dtype=object)
                     value = np.where(_allowed(names, groups), value, -np.inf)
@@ -245,6 +249,20 @@ def _term_cells(lists: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarra
     return owner[hit] * len(known) + pc.drop_null(code).to_numpy(zero_copy_only=False), lengths
 
 
+def _slice_rows(n_terms: int) -> int:
+    """Rows scored at once, so that the rows x terms counts stay within a fixed size."""
+    return max(1, min(512, SLICE_CELLS // n_terms))
+
+
+def _bm25_scores(lists: pa.Array, known: pa.Array, weight: np.ndarray, mean_length: float) -> np.ndarray:
+    """queries x rows; rows without any query term are ``-inf``."""
+    cell, lengths = _term_cells(lists, known)
+    tf = np.bincount(cell, minlength=len(lists) * len(known)).reshape(len(lists), len(known))
+    norm = BM25_K1 * (1 - BM25_B + BM25_B * lengths / mean_length)
+    value = ((tf * (BM25_K1 + 1) / (tf + norm[:, None] + (tf == 0))) @ weight).T
+    return np.where(value > 0, value, -np.inf)
+
+
 def _corpus_statistics(words: DataFrame, vocabulary: list[str]) -> DataFrame:
     """Document frequency per query term (``code``), and documents and words in all (code -1).
 
@@ -272,34 +290,42 @@ def _corpus_statistics(words: DataFrame, vocabulary: list[str]) -> DataFrame:
     return counted.groupBy("code").agg(F.sum("documents").alias("documents"), F.sum("words").alias("words"))
 
 
-def _bm25_by_join(words: DataFrame, asked: DataFrame, filtered: bool) -> DataFrame:
-    """Scores from an equi join on terms, for query sets too large to ship.
+def _bm25_by_blocks(words: DataFrame, asked: DataFrame, k: int, filtered: bool, block: int, shard_rows: int) -> DataFrame:
+    """Top-k per corpus shard and query block, for query sets too large to ship.
 
-    A document's terms are counted in its own row's task; a term that every document and every
-    query has is split by a salt so that one join key never lands in one task.
+    As in the dense form: the cells are bounded on both sides and no scored pair leaves its task.
     """
-    salts = 32
     size, mean_length = words.agg(F.count("*"), F.avg(F.size("words"))).first()
-    group = ["acl_group"] if filtered else []
-    asked_terms = asked.select("query_id", F.explode("terms").alias("term"), *(["groups"] if filtered else []))
-    counted = (
-        words.select("item_id", F.size("words").alias("len"), *group, F.explode("words").alias("term"))
-        .join(asked_terms.select("term").distinct(), "term", "left_semi")
-        .groupBy("item_id", "len", *group, "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
-    weighted = asked_terms.join(frequency, "term").withColumn(
-        "idf", F.log(1 + (F.lit(size) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    )
-    left = counted.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int"))
-    right = weighted.drop("df").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    pairs = left.join(right, ["term", "salt"])
-    if filtered:
-        pairs = pairs.filter(F.array_contains("groups", F.col("acl_group")))
-    norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("len") / F.lit(mean_length))
-    value = F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + norm)
-    return pairs.groupBy("query_id", "item_id").agg(F.round(F.sum(value), DIGITS).alias("score"))
+    terms = asked.select("query_id", F.explode("terms").alias("term"), *(["groups"] if filtered else []))
+    # Counted before the join, so a word every document has is one row per task, not per document.
+    frequency = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (F.lit(size) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = terms.join(frequency, "term").withColumn("idf", idf).drop("df")
+    n_blocks, n_shards = _cells(asked.count(), block), _cells(size, shard_rows)
+    left, right = _in_cells(words, weighted, n_shards, n_blocks)
+
+    def score(items: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        ids, column = np.unique(wanted["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
+        vocabulary, row = np.unique(wanted["term"].to_numpy(dtype=str), return_inverse=True)
+        best = _Best(ids, k)
+        if len(items) and len(ids):
+            weight = np.zeros((len(vocabulary), len(ids)))
+            weight[row, column] = wanted["idf"].to_numpy()
+            known = pa.array(vocabulary.tolist(), type=pa.string())
+            firsts = wanted.drop_duplicates("query_id").set_index("query_id")
+            groups = [set(firsts.at[q, "groups"]) for q in ids] if filtered else None
+            step = _slice_rows(len(vocabulary))
+            for at in range(0, len(items), step):
+                part = items.iloc[at : at + step]
+                lists = pa.array([list(w) for w in part["words"]], type=pa.list_(pa.string()))
+                value = _bm25_scores(lists, known, weight, mean_length)
+                if groups is not None:
+                    value = np.where(_allowed(part["acl_group"].to_numpy(), groups), value, -np.inf)
+                best.add(part["item_id"].to_numpy(dtype=object), value)
+        return best.frame()
+
+    grouped = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
+    return grouped.applyInPandas(score, HITS)
 
 
 # --- fusion, rerank, citations ------------------------------------------------------------------

@@ -77,7 +77,7 @@ def test_bm25_routes_agree_with_brute_force(spark):
             expected[q] = [i for _, i in sorted(scores)[:5]]
     plain = corpus.drop("acl_group")
     assert ranked(search.bm25_topk(plain, queries, 5)) == expected
-    assert ranked(search.bm25_topk(plain, queries, 5, max_shipped=2)) == expected
+    assert ranked(search.bm25_topk(plain, queries, 5, max_shipped=2, shard_rows=50)) == expected
     mine = queries.withColumn("groups", F.array(F.lit("a")))
     shipped = ranked(search.bm25_topk(corpus, mine, 5))
     assert shipped == ranked(search.bm25_topk(corpus, mine, 5, max_shipped=2))
