@@ -56,11 +56,10 @@ def sql_dense(name: str, items: str, queries: str, k: int, where: str = "true")
 
 @query(
     "dense_topk",
-    with_ctes(PROBES, sql_dense("dense", "items", "probes", K), select="SELECT query_id, item_id, round(score, 4) AS score, rank FROM dense"),
+    with_ctes(PROBES, sql_dense("dense", "items", "probes", K), select="SELECT query_id, item_id, score, rank FROM dense"),
 )
 def dense_topk(spark: SparkSession, folder: str) -> DataFrame:
-    hits = search.dense_topk(vectors_view(spark, folder), probes_view(spark, folder), K)
-    return hits.withColumn("score", F.round("score", 4))
+    return search.dense_topk(vectors_view(spark, folder), probes_view(spark, folder), K)
 
 
 # --- text search over chunks ----------------------------------------------------------------------
@@ -110,11 +109,10 @@ def sql_bm25(name: str, k: int, where: str = "true") -> str:
 
 @query(
     "bm25_topk",
-    with_ctes(FIXED_CHUNKS, REQUESTS, sql_bm25("sparse", K), select="SELECT query_id, item_id, round(score, 4) AS score, rank FROM sparse"),
+    with_ctes(FIXED_CHUNKS, REQUESTS, sql_bm25("sparse", K), select="SELECT query_id, item_id, score, rank FROM sparse"),
 )
 def bm25_topk(spark: SparkSession, folder: str) -> DataFrame:
-    hits = search.bm25_topk(stored(corpus_view(spark, folder), "corpus"), requests_view(spark, folder), K)
-    return hits.withColumn("score", F.round("score", 4))
+    return search.bm25_topk(stored(corpus_view(spark, folder), "corpus"), requests_view(spark, folder), K)
 
 
 def sql_fuse(name: str, dense: str, sparse: str, k: int) -> str:
@@ -147,9 +145,9 @@ def hybrid_hits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     return search.fuse(dense, sparse, K), corpus, requests
 
 
-@query("hybrid_topk", with_ctes(*HYBRID, select="SELECT query_id, item_id, round(score, 6) AS score, rank FROM fused"))
+@query("hybrid_topk", with_ctes(*HYBRID, select="SELECT query_id, item_id, score, rank FROM fused"))
 def hybrid_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return hybrid_hits(spark, folder)[0].withColumn("score", F.round("score", 6))
+    return hybrid_hits(spark, folder)[0]
 
 
 def sql_rerank(name: str, candidates: str, k: str) -> str:
@@ -170,11 +168,11 @@ def sql_rerank(name: str, candidates: str, k: str) -> str:
 
 @query(
     "rerank",
-    with_ctes(*HYBRID, sql_rerank("better", "fused", "5"), select="SELECT query_id, item_id, first_rank, round(score, 4) AS score, rank FROM better"),
+    with_ctes(*HYBRID, sql_rerank("better", "fused", "5"), select="SELECT query_id, item_id, first_rank, score, rank FROM better"),
 )
 def rerank(spark: SparkSession, folder: str) -> DataFrame:
     fused, corpus, requests = hybrid_hits(spark, folder)
-    return search.rerank(fused, corpus, requests, 5).withColumn("score", F.round("score", 4))
+    return search.rerank(fused, corpus, requests, 5)
 
 
 @query(
@@ -288,7 +286,7 @@ RETRIEVED = [
     with_ctes(
         *RETRIEVED,
         select="""
-        SELECT b.query_id, b.item_id, b.rank, round(b.score, 4) AS score, source_path, file_name
+        SELECT b.query_id, b.item_id, b.rank, b.score, source_path, file_name
         FROM better b JOIN limits USING (query_id) JOIN chunks ON chunk_id = item_id JOIN instances USING (content_hash)
         WHERE b.rank <= narrow""",
     ),
@@ -302,7 +300,7 @@ def retrieve_batch(spark: SparkSession, folder: str) -> DataFrame:
     gold = stored(gold_view(spark, folder), "gold")
     hits = search.retrieve(gold, asking_view(spark, folder), RETRIEVAL_RULES, MODEL)
     cited = search.with_citations(hits, gold, citations(instances_view(spark, folder)))
-    return cited.select("query_id", "item_id", "rank", F.round("score", 4).alias("score"), "source_path", "file_name")
+    return cited.select("query_id", "item_id", "rank", "score", "source_path", "file_name")
 
 
 @query(
