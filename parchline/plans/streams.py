@@ -31,12 +31,16 @@ from .views import (
     with_ctes,
 )
 
-# The labelled documents come first, so a copy among them wins over an earlier path that comes later.
+# The labelled documents come first, so a copy among them wins over an earlier path that comes
+# later. If its method is unknown the extraction failed, and a later copy is tried again.
 _STREAM_UNIQUE = """
 uniq AS (
   SELECT t.* FROM typed t
-  JOIN (SELECT content_hash, arg_min(source_path, (CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN '0' ELSE '1' END) || source_path) AS source_path
-        FROM typed GROUP BY content_hash) w USING (content_hash, source_path))
+  JOIN (SELECT content_hash, CASE WHEN first IS NULL OR (later IS NOT NULL AND file_type = 'docx' AND contains(first, '/src2/'))
+                             THEN later ELSE first END AS source_path
+        FROM (SELECT content_hash, file_type, min(source_path) FILTER (doc_id IN (SELECT doc_id FROM labels)) AS first,
+                     min(source_path) FILTER (doc_id NOT IN (SELECT doc_id FROM labels)) AS later
+              FROM typed GROUP BY content_hash, file_type)) w USING (content_hash, source_path))
 """
 
 
