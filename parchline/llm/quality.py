@@ -6,7 +6,7 @@ of squares gives all pairwise interactions in time linear in the number of featu
 Features of a text: its words (lower case, hashed to ``WORD_SLOTS`` slots, weighted by the square
 root of their counts, each text scaled to length one), and structure and metadata slots that hold
 each one of ten steps of a share or size (shares of upper-case, digit, symbol, repeated words and
-lines, line length, length in characters as stored with the row or counted). Language, source, ids
+lines, equal neighbours among both, line length, length in characters as stored with the row or counted). Language, source, ids
 and labels are never features.
 
 The model is fitted on at most ``MAX_SAMPLE`` labelled rows, chosen by a hash of the row's id, over the
@@ -21,6 +21,7 @@ row all scores are 0.5. Repeated labels of one id all count. Rows are scored one
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import words as W
 
 WORD_SLOTS = 1 << 15
-STATS = 9
+STATS = 11
 STEPS = 10
 SLOTS = WORD_SLOTS + STATS * STEPS
 FACTORS = 8
@@ -77,16 +78,21 @@ def structure(text: str, words: list[bytes], n_chars: int | None) -> list[int]:
     digits = size - len(data.translate(None, b"0123456789"))
     symbols = size - len(data.translate(None, _SYMBOL))
     stops = size - len(data.translate(None, b".,"))
+    again = sum(map(eq, words, words[1:]))
+    runs = sum(map(eq, lines, lines[1:]))
+    # Shares of short texts are drawn towards zero.
     steps = [
-        _step(upper / size * 2),
-        _step(digits / size * 5),
-        _step(symbols / size * 5),
-        _step(stops / count),
-        _step(1 - len(set(words)) / count),
-        _step(1 - len(set(lines)) / len(lines)),
+        _step(upper / (size + 40) * 2),
+        _step(digits / (size + 40) * 5),
+        _step(symbols / (size + 40) * 5),
+        _step(stops / (count + 10)),
+        _step((count - len(set(words))) / (count + 10)),
+        _step((len(lines) - len(set(lines))) / (len(lines) + 2)),
         _step(np.log2(1 + size / len(lines)) / 16),
-        _step(size / count / 20),
+        _step(size / (count + 2) / 20),
         _step(np.log2(1 + max(len(text) if n_chars is None else n_chars, 0)) / 24),
+        _step(again / (count + 5) * 2),
+        _step(runs / (len(lines) + 2) * 2),
     ]
     return [WORD_SLOTS + i * STEPS + s for i, s in enumerate(steps)]
 
@@ -107,15 +113,16 @@ def features(text: str | None, n_chars: int | None, known: Slots) -> tuple[np.nd
     )
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = 6, rate: float = 0.1, batch: int = 32) -> Machine:
-    """Adaptive gradient steps on the logistic loss; both classes weigh the same."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = 8, rate: float = 0.1, batch: int = 32) -> Machine:
+    """Adaptive gradient steps on the logistic loss; the rarer class weighs more, by the root of its share."""
     dice = np.random.default_rng(7)
     machine = Machine(0.0, np.zeros(SLOTS), dice.normal(0, 0.05, (SLOTS, FACTORS)))
     positive = sum(y for *_, y in rows)
     if not rows:
         machine.factors[:] = 0
         return machine
-    weight = {1: len(rows) / (2 * max(positive, 1)), 0: len(rows) / (2 * max(len(rows) - positive, 1))}
+    shares = {1: positive / len(rows), 0: 1 - positive / len(rows)}
+    weight = {y: (2 * max(share, 1e-3)) ** -0.5 for y, share in shares.items()}
     seen_bias, seen_linear, seen_factors = 1.0, np.ones(SLOTS), np.ones((SLOTS, FACTORS))
     for _ in range(passes):
         order = dice.permutation(len(rows))
