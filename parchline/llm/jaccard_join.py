@@ -11,13 +11,16 @@ Sets x and y link when 100 |x and y| >= 80 |x or y|. Runs are compared by 64-bit
    list is ordered by set size and then position and is passed block by block (a block is the
    entries of one size): blocks whose sizes cannot link are skipped, and within a block everything
    behind the last position from which enough codes can still follow. Entries without a possible partner leave
-   the index; the others get the first possible entry of the list as their leader.
-4. Sets are compared with their leaders, a number of pairs linear in the index. The links found
-   give first groups, so a group of thousands of similar sets never becomes pairs of its members.
-5. Lists are passed again, now only for pairs from different groups. A set takes its answers from
-   its leader's: with |leader and q| computed once, |x and q| lies between bounds that |x and leader| gives; only
-   pairs that the bounds leave open are compared themselves.
-6. Groups joined by all links are the result.
+   the index; each of the others names one possible partner, picked by hash.
+4. Every set has a parity bitmap of two to four bits per code. Two bitmaps differ in at most as many bits as the sets
+   do in codes, so bitmaps rule out most pairs before any set is read.
+5. Each set is compared with at most two of the partners named for it: a number of pairs linear in the sets. The
+   links found give first groups; this is done once more for partners in other groups. So a group of
+   thousands of similar sets never becomes all pairs of its members.
+6. Lists are passed for all pairs between different groups. A set takes its answers from
+   its closest compared set, its leader: with |leader and q| computed once, |x and q| lies between bounds that
+   |x and leader| gives; only pairs that the bounds leave open are compared themselves.
+7. Groups joined by all links are the result.
 
 No step drops an entry or stops at a count. Class and position need every set once, in its own task; lists are
 streamed in order, so a task holds one list at a time.
@@ -29,13 +32,12 @@ and each is answered. Extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.tables import stored
@@ -47,6 +49,8 @@ SIZE = 5
 BUCKET_BITS = 22
 _SLICES = 64
 _CLASSES = 255
+#: Bits of the filter that keeps unwanted texts from being shuffled: 8 MB, whatever the tables hold.
+FILTER_BITS = 1 << 26
 
 
 def shingles(words: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -85,7 +89,7 @@ def surveyed(docs: DataFrame, size: int = SIZE, bits: int = BUCKET_BITS) -> Data
                 digests.append(xxhash.xxh3_128_digest(codes.tobytes()))
             none = pa.nulls(len(sizes))
             yield _survey(batch.column("doc_id"), sizes, digests, none.cast(pa.int64()), none.cast(pa.binary()))
-        parts = [zlib.compress(x.astype("<u4").tobytes(), 1) for x in np.split(counts, _SLICES)]
+        parts = [_squeezed(x) for x in np.split(counts, _SLICES)]
         none = pa.nulls(_SLICES)
         yield _survey(none.cast(pa.int64()), [None] * _SLICES, [None] * _SLICES, range(_SLICES), parts)
 
@@ -98,6 +102,16 @@ def _survey(ids, sizes, digests, slices, counts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "slice", "counts"])
 
 
+def _squeezed(counts: np.ndarray) -> bytes:
+    """Width of a number in one byte, then the numbers in as few bytes each as the largest needs."""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max(initial=0)) < 1 << (8 * w - 1) or w == 8)
+    return bytes([width]) + zstandard.compress(counts.astype(f"<u{width}").tobytes(), 1)
+
+
+def _opened(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data[1:]), f"<u{data[0]}").astype(np.uint64)
+
+
 def classes(survey: DataFrame) -> np.ndarray:
     """The class of each counter, from 0 for counts that are usual up to 255.
 
@@ -106,21 +120,16 @@ def classes(survey: DataFrame) -> np.ndarray:
     """
 
     def add(table: pa.Table) -> pa.Table:
-        total = 0
-        for part in table.column("counts"):
-            raw = zlib.decompress(part.as_py())
-            total = total + np.frombuffer(raw, "<u4" if table.column("level")[0].as_py() == 0 else "<u8").astype(np.uint64)
-        key, level = table.column("slice")[0].as_py(), table.column("level")[0].as_py()
-        data = zlib.compress(total.astype("<u8").tobytes(), 1)
-        return pa.table({"slice": pa.array([key], pa.int64()), "level": pa.array([level + 1], pa.int64()), "counts": pa.array([data], pa.binary())})
-
-    kind = "slice bigint, level bigint, counts binary"
-    rows = survey.filter("slice is not null").select("slice", F.lit(0).cast("long").alias("level"), "counts")
+        total = sum(_opened(part.as_py()) for part in table.column("counts"))
+        return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([_squeezed(total)], pa.binary())})
+
+    kind = "slice bigint, counts binary"
+    rows = survey.filter("slice is not null").select("slice", "counts")
     rows = rows.groupBy("slice", F.spark_partition_id() % 32).applyInArrow(add, kind)
     parts = {r["slice"]: r["counts"] for r in rows.groupBy("slice").applyInArrow(add, kind).collect()}
     if not parts:
         return np.zeros(1 << BUCKET_BITS, np.uint8)
-    counts = np.concatenate([np.frombuffer(zlib.decompress(parts[i]), "<u8") for i in range(_SLICES)]).astype(np.float64)
+    counts = np.concatenate([_opened(parts[i]) for i in range(_SLICES)]).astype(np.float64)
     mean = counts.mean()
     usual = mean + 4 * np.sqrt(mean) + 1
     steps = np.ceil(8 * np.log2(np.maximum(counts, 1) / usual))
@@ -134,29 +143,48 @@ def ordered(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, table, size: int = SIZE) -> DataFrame:
-    """doc_id, n, digest and the first codes of each set that is not empty."""
+    """doc_id, n, digest, the first codes and the parity bitmap of each set that is not empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, own = W.Codes(), table.value
         for batch in batches:
-            out = ([], [], [], [])
+            out = ([], [], [], [], [])
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 codes = shingles(known.of(W.spaced_words(text.as_py())), size)
                 if doc is None or not len(codes):
                     continue
                 first = ordered(codes, own)[: len(codes) - least_overlap(len(codes)) + 1]
-                for column, value in zip(out, (doc, len(codes), xxhash.xxh3_128_digest(codes.tobytes()), first.tobytes())):
+                digest = xxhash.xxh3_128_digest(codes.tobytes())
+                for column, value in zip(out, (doc, len(codes), digest, first.tobytes(), bitmap(codes))):
                     column.append(value)
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["doc_id", "n", "digest", "prefix"])
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            names = ["doc_id", "n", "digest", "prefix", "bitmap"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+
+    return _documents(docs).mapInArrow(run, "doc_id bigint, n bigint, digest binary, prefix binary, bitmap binary")
 
-    return _documents(docs).mapInArrow(run, "doc_id bigint, n bigint, digest binary, prefix binary")
+
+def bitmap(codes: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of codes ends in i; two to four bits per code, a power of two."""
+    bits = max(64, 1 << (2 * len(codes) - 1).bit_length())
+    odd = np.bincount((codes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def fewest_differing(x: bytes, y: bytes) -> int:
+    """A lower bound of the codes in which two sets differ. The longer bitmap is folded to the shorter one's size."""
+    a, b = (x, y) if len(x) <= len(y) else (y, x)
+    first, second, size = int.from_bytes(a, "little"), int.from_bytes(b, "little"), len(b)
+    while size > len(a):
+        size //= 2
+        second = (second >> (8 * size)) ^ (second & ((1 << (8 * size)) - 1))
+    return (first ^ second).bit_count()
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per code of a prefix."""
     for batch in batches:
-        rows = zip(batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix"))
+        rows = zip(batch.column("id").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix"))
         held, size = [], 0
         for doc, n, prefix in rows:
             codes = np.frombuffer(prefix.as_py(), np.int64)
@@ -222,24 +250,63 @@ def block_pairs(n: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int,
                 yield starts[i], end_a, starts[j], end_b
 
 
-def _with_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries that have a possible partner, with the first of these in the list as leader."""
+def _picked(code: int, n: np.ndarray, pos: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
+    """For each entry of a list the place of one possible partner (in another group), or -1."""
+    partner = np.full(len(n), -1, np.int64)
+    dice = np.random.default_rng(code & 0xFFFFFFFF)
+    for a, a_end, b, b_end in block_pairs(n, pos):
+        sides = [(a, a_end, b, b_end)] + [(b, b_end, a, a_end)] * (a != b)
+        for start, end, other, other_end in sides:
+            here = np.arange(start, end)
+            there = dice.integers(other, other_end, end - start)
+            if group is None:
+                fits = there != here
+                if a == b:  # the next one instead of the entry itself
+                    there = np.where(fits, there, other + (here + 1 - other) % (other_end - other))
+                    fits = np.ones(end - start, bool)
+            else:
+                for _ in range(3):
+                    again = group[there] == group[here]
+                    there[again] = dice.integers(other, other_end, int(again.sum()))
+                fits = group[there] != group[here]
+            fits &= (partner[here] < 0) | (dice.random(end - start) < 0.5)
+            partner[here[fits]] = there[fits]
+    return partner
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries that have a possible partner, each with one of them."""
+    names = ["code", "n", "pos", "id", "partner"]
     out, size = [], 0
     for code, n, pos, ids in _lists(batches):
-        leader = np.full(len(n), -1, np.int64)
-        for a, a_end, b, b_end in block_pairs(n, pos):
-            for start, end in ((a, a_end), (b, b_end)):
-                part = leader[start:end]
-                part[part < 0] = a
-        kept = np.flatnonzero(leader >= 0)
+        partner = _picked(int(code[0]), n, pos)
+        kept = np.flatnonzero(partner >= 0)
+        if len(kept):
+            out.append((code[kept], n[kept], pos[kept], ids[kept], ids[partner[kept]]))
+            size += len(kept)
+        if size > 100_000:
+            yield _named(out, names)
+            out, size = [], 0
+    if out:
+        yield _named(out, names)
+
+
+def _partners_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, partner) of entries with a possible partner in another group."""
+    out, size = [], 0
+    for code, n, pos, ids, groups in _lists(batches):
+        if (groups == groups[0]).all():
+            continue
+        partner = _picked(int(code[0]), n, pos, groups)
+        kept = np.flatnonzero(partner >= 0)
         if len(kept):
-            out.append((code[kept], n[kept], pos[kept], ids[kept], ids[leader[kept]], n[leader[kept]]))
+            out.append((ids[kept], ids[partner[kept]]))
             size += len(kept)
         if size > 100_000:
-            yield _named(out, ["code", "n", "pos", "id", "leader", "leader_n"])
+            yield _named(out, ["id", "partner"])
             out, size = [], 0
     if out:
-        yield _named(out, ["code", "n", "pos", "id", "leader", "leader_n"])
+        yield _named(out, ["id", "partner"])
 
 
 def _named(out: list, names: list[str]) -> pa.RecordBatch:
@@ -269,8 +336,39 @@ def _between_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _named(out, ["a", "b"])
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A table of FILTER_BITS bits in which the slot of every id is set."""
+    part = 1 << 15
+    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("slot")).distinct()
+    parts = slots.groupBy((F.col("slot") / part).cast("int").alias("part")).agg(F.collect_set((F.col("slot") % part).cast("int")).alias("bits"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for bits in batch.column("bits"):
+                table = np.zeros(part, np.uint8)
+                table[bits.values.to_numpy()] = 1
+                packed.append(np.packbits(table).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(packed, pa.binary())], ["part", "packed"])
+
+    whole = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in parts.mapInArrow(pack, "part int, packed binary").toLocalIterator():
+        whole[row["part"] * part // 8 : (row["part"] + 1) * part // 8] = np.frombuffer(row["packed"], np.uint8)
+    return whole
+
+
 def fetched(docs: DataFrame, ids: DataFrame, size: int = SIZE) -> DataFrame:
-    """id and the whole set (as bytes) of the documents named."""
+    """id and the whole set (as bytes) of the documents named.
+
+    A filter of fixed size keeps most other texts out of the shuffle; the join decides.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            bits = sent.value[slot >> 3] >> (7 - (slot & 7)) & 1
+            yield batch.select(["id", "text"]).filter(pa.array(bits.astype(bool)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = W.Codes()
@@ -278,10 +376,55 @@ def fetched(docs: DataFrame, ids: DataFrame, size: int = SIZE) -> DataFrame:
             sets = [shingles(known.of(W.spaced_words(t.as_py())), size).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "codes"])
 
-    chosen = _documents(docs).withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+    named = _documents(docs).filter("doc_id is not null").withColumnRenamed("doc_id", "id")
+    named = named.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)))
+    chosen = named.mapInArrow(likely, "id bigint, text string").join(ids, "id", "left_semi")
     return chosen.mapInArrow(run, "id bigint, codes binary")
 
 
+class Sets:
+    """Whole sets that have been read so far; further ones are read when pairs need them."""
+
+    def __init__(self, docs: DataFrame, size: int):
+        self.docs, self.size, self.table = docs, size, None
+
+    def holding(self, pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        if self.table is not None:
+            ids = ids.join(self.table.select("id"), "id", "left_anti")
+        ids = stored(ids, "ids")
+        if self.table is None or not ids.isEmpty():
+            more = stored(fetched(self.docs, ids, self.size), "sets")
+            self.table = more if self.table is None else self.table.union(more)
+        return self.table
+
+
+def possible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs that their sizes and bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("bitmap_a").to_pylist(), batch.column("bitmap_b").to_pylist(), batch.column("n").to_pylist())
+            kept = [9 * fewest_differing(x, y) <= n for x, y, n in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    a = marks.select(F.col("id").alias("a"), F.col("bitmap").alias("bitmap_a"), F.col("n").alias("n_a"))
+    b = marks.select(F.col("id").alias("b"), F.col("bitmap").alias("bitmap_b"), F.col("n").alias("n_b"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "bitmap_a", "bitmap_b", (F.col("n_a") + F.col("n_b")).alias("n"))
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def at_most_two_each(named: DataFrame, marks: DataFrame) -> DataFrame:
+    """Of the (id, partner) pairs that may link, two for each id, picked by hash."""
+    pairs = named.select(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")).filter("a <> b").distinct()
+    left = possible(pairs, marks)
+    both = left.select(F.col("a").alias("id"), F.col("b").alias("partner")).union(left.select("b", "a"))
+    order = F.xxhash64("id", "partner")
+    picked = both.groupBy("id").agg(F.min_by("partner", order).alias("x"), F.max_by("partner", order).alias("y"))
+    chosen = picked.select("id", F.explode(F.array("x", "y")).alias("partner"))
+    return chosen.select(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")).distinct()
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, n_a, n_b and shared (exact) for each pair."""
 
@@ -305,13 +448,19 @@ def linked():
     return F.expr("180 * shared >= 80 * (n_a + n_b)")
 
 
-def links_between_groups(index: DataFrame, groups: DataFrame, led: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) of sets in different groups, answers taken from leaders where these decide."""
+def grouped_lists(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """The index with the group of each entry, dealt out and ordered by list."""
     grouped = index.join(groups, "id", "left").select("code", "n", "pos", "id", F.coalesce("component", "id").alias("group"))
-    lists = grouped.repartition("code").sortWithinPartitions("code", "n", "pos", "id")
-    pairs = stored(lists.mapInArrow(_between_groups, "a bigint, b bigint").distinct(), "pairs")
+    return grouped.repartition("code").sortWithinPartitions("code", "n", "pos", "id")
+
+
+def links_between_groups(index: DataFrame, groups: DataFrame, led: DataFrame, marks: DataFrame, sets: Sets) -> DataFrame:
+    """Links (a, b) of sets in different groups, answers taken from leaders where these decide."""
+    pairs = grouped_lists(index, groups).mapInArrow(_between_groups, "a bigint, b bigint").distinct()
+    pairs = stored(possible(pairs, marks), "pairs")
+    both = led.union(led.select("b", "a", "n_b", "n_a", "shared"))
     # The leader closest to each set, and what they share; a set without one leads itself.
-    best = led.filter(linked()).groupBy(F.col("a").alias("id")).agg(
+    best = both.filter(linked()).groupBy(F.col("a").alias("id")).agg(
         F.max(F.struct("shared", F.col("b").alias("leader"), F.col("n_a").alias("n"), F.col("n_b").alias("leader_n"))).alias("x")
     )
     best = best.select("id", "x.*")
@@ -328,9 +477,8 @@ def links_between_groups(index: DataFrame, groups: DataFrame, led: DataFrame, se
     )
     placed = stored(placed, "placed")
     leaders = placed.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b")).distinct()
-    answers = overlaps(leaders, sets).select(F.col("a").alias("first"), F.col("b").alias("second"), F.col("shared").alias("known"))
-    sizes = sets.select("id", (F.length("codes") / 8).cast("long").alias("n"))
-    n_a, n_b = sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a")), sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b"))
+    answers = overlaps(leaders, sets.holding(leaders)).select(F.col("a").alias("first"), F.col("b").alias("second"), F.col("shared").alias("known"))
+    n_a, n_b = marks.select(F.col("id").alias("a"), F.col("n").alias("n_a")), marks.select(F.col("id").alias("b"), F.col("n").alias("n_b"))
     bounded = (
         placed.withColumn("first", F.least("lead_a", "lead_b"))
         .withColumn("second", F.greatest("lead_a", "lead_b"))
@@ -339,9 +487,10 @@ def links_between_groups(index: DataFrame, groups: DataFrame, led: DataFrame, se
         .join(n_b, "b")
     )
     sure = F.expr("180 * (known - less) >= 80 * (n_a + n_b)")
-    possible = F.expr("180 * (known + more) >= 80 * (n_a + n_b)")
-    bounded = stored(bounded.select("a", "b", sure.alias("sure"), possible.alias("possible")), "bounded")
-    compared = overlaps(bounded.filter("possible and not sure").select("a", "b"), sets).filter(linked())
+    open_to = F.expr("180 * (known + more) >= 80 * (n_a + n_b)")
+    bounded = stored(bounded.select("a", "b", sure.alias("sure"), open_to.alias("possible")), "bounded")
+    open_pairs = bounded.filter("possible and not sure").select("a", "b")
+    compared = overlaps(open_pairs, sets.holding(open_pairs)).filter(linked())
     return bounded.filter("sure").select("a", "b").union(compared.select("a", "b"))
 
 
@@ -350,15 +499,23 @@ def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
     context = docs.sparkSession.sparkContext
     survey = stored(surveyed(docs, size), "survey")
     table = context.broadcast(classes(survey))
-    sets = prefixes(docs, table, size).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    entries = sets.select("doc_id", "n", "prefix").mapInArrow(_entries, "code bigint, n int, pos int, id bigint")
+    sets = prefixes(docs, table, size).groupBy("digest").agg(
+        F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "prefix", "bitmap")]
+    )
+    distinct = stored(sets.select("id", "n", "prefix", "bitmap"), "distinct")
+    marks = distinct.select("id", "n", "bitmap")
+    entries = distinct.select("id", "n", "prefix").mapInArrow(_entries, "code bigint, n int, pos int, id bigint")
     lists = entries.repartition("code").sortWithinPartitions("code", "n", "pos", "id")
-    index = stored(lists.mapInArrow(_with_leaders, "code bigint, n int, pos int, id bigint, leader bigint, leader_n int"), "index")
-    wanted = stored(fetched(docs, index.select("id").distinct(), size), "sets")
-    pairs = index.filter("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    led = stored(overlaps(pairs, wanted), "led")
+    index = stored(lists.mapInArrow(_with_partners, "code bigint, n int, pos int, id bigint, partner bigint"), "index")
+    wanted = Sets(docs, size)
+    pairs = stored(at_most_two_each(index.select("id", "partner"), marks), "pairs")
+    led = stored(overlaps(pairs, wanted.holding(pairs)), "led")
     groups = stored(components(led.filter(linked()).select("a", "b")), "groups")
-    further = components_of(groups, links_between_groups(index.select("code", "n", "pos", "id"), groups, led, wanted))
+    named = grouped_lists(index, groups).mapInArrow(_partners_between, "id bigint, partner bigint")
+    pairs = stored(at_most_two_each(named, marks), "pairs")
+    more = stored(overlaps(pairs, wanted.holding(pairs)), "led")
+    led, groups = led.union(more), stored(components_of(groups, more.filter(linked()).select("a", "b")), "groups")
+    further = components_of(groups, links_between_groups(index, groups, led, marks, wanted))
     rows = survey.filter("slice is null").select("doc_id", "n", "digest")
     smallest = rows.filter("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"))
     of_digest = smallest.join(further, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
