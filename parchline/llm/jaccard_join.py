@@ -15,7 +15,7 @@ Sets x and y link when 100 |x and y| >= 80 |x or y|. Runs are compared by 64-bit
 4. Every set has a parity bitmap of two to four bits per code. Two bitmaps differ in at most as many bits as the sets
    do in codes, so bitmaps rule out most pairs before any set is read.
 5. Each set is compared with at most two of the partners named for it: a number of pairs linear in the sets. The
-   links found give first groups; this is done once more for partners in other groups. So a group of
+   links found give first groups; this is done ``TURNS`` times more for partners in other groups. So a group of
    thousands of similar sets never becomes all pairs of its members.
 6. Lists are passed for all pairs between different groups. A set takes its answers from
    its closest compared set, its leader: with |leader and q| computed once, |x and q| lies between bounds that
@@ -51,6 +51,10 @@ _SLICES = 64
 _CLASSES = 255
 #: Bits of the filter that keeps unwanted texts from being shuffled: 8 MB, whatever the tables hold.
 FILTER_BITS = 1 << 26
+#: How often sets are compared with partners in other groups before all remaining pairs are.
+TURNS = 2
+#: Partners in other groups that an entry names in each turn.
+PICKS = 4
 
 
 def shingles(words: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -208,8 +212,12 @@ def _flat(held: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n", "pos", "id"])
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of each index list with at least two entries; rows come ordered by code."""
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[np.ndarray]]]:
+    """Index lists with at least two entries; rows come ordered by code.
+
+    Lists of exactly two, by far the most, come many at once: (True, columns of the first entries and
+    columns of the second ones). Others come one by one: (False, columns).
+    """
     held: list[np.ndarray] | None = None
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -221,11 +229,20 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         cuts = np.flatnonzero(code[1:] != code[:-1]) + 1
         starts = np.concatenate([[0], cuts])
         ends = np.concatenate([cuts, [len(code)]])
-        for a, b in zip(starts[:-1][(long := ends[:-1] - starts[:-1] > 1)].tolist(), ends[:-1][long].tolist()):
-            yield [c[a:b] for c in columns]
+        sizes = ends[:-1] - starts[:-1]
+        if len(two := starts[:-1][sizes == 2]):
+            yield True, [c[two] for c in columns] + [c[two + 1] for c in columns]
+        for a, b in zip(starts[:-1][sizes > 2].tolist(), ends[:-1][sizes > 2].tolist()):
+            yield False, [c[a:b] for c in columns]
         held = [c[starts[-1] :].copy() for c in columns]
     if held is not None and len(held[0]) > 1:
-        yield held
+        yield False, held
+
+
+def _two_may_link(n_a: np.ndarray, pos_a: np.ndarray, n_b: np.ndarray, pos_b: np.ndarray) -> np.ndarray:
+    """``block_pairs`` for many lists of two entries."""
+    shared = needed(n_a.astype(np.int64), n_b.astype(np.int64))
+    return (4 * n_b.astype(np.int64) <= 5 * n_a) & (n_a - pos_a >= shared) & (n_b - pos_b >= shared)
 
 
 def block_pairs(n: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -250,27 +267,23 @@ def block_pairs(n: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int,
                 yield starts[i], end_a, starts[j], end_b
 
 
-def _picked(code: int, n: np.ndarray, pos: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
-    """For each entry of a list the place of one possible partner (in another group), or -1."""
+def _picked(code: int, n: np.ndarray, pos: np.ndarray, group: np.ndarray | None = None, turn: int = 0) -> np.ndarray:
+    """For each entry of a list the place of one possible partner (in another group), or -1.
+
+    The code and the turn decide where in a block an entry looks.
+    """
     partner = np.full(len(n), -1, np.int64)
-    dice = np.random.default_rng(code & 0xFFFFFFFF)
-    for a, a_end, b, b_end in block_pairs(n, pos):
-        sides = [(a, a_end, b, b_end)] + [(b, b_end, a, a_end)] * (a != b)
-        for start, end, other, other_end in sides:
-            here = np.arange(start, end)
-            there = dice.integers(other, other_end, end - start)
-            if group is None:
-                fits = there != here
-                if a == b:  # the next one instead of the entry itself
-                    there = np.where(fits, there, other + (here + 1 - other) % (other_end - other))
-                    fits = np.ones(end - start, bool)
-            else:
-                for _ in range(3):
-                    again = group[there] == group[here]
-                    there[again] = dice.integers(other, other_end, int(again.sum()))
-                fits = group[there] != group[here]
-            fits &= (partner[here] < 0) | (dice.random(end - start) < 0.5)
-            partner[here[fits]] = there[fits]
+    step = (code ^ (turn * 0x9E3779B9)) & 0x7FFFFFFF
+    for number, (a, a_end, b, b_end) in enumerate(block_pairs(n, pos)):
+        for start, end, other, other_end in [(a, a_end, b, b_end)] + [(b, b_end, a, a_end)] * (a != b):
+            here, width = np.arange(start, end), other_end - other
+            for shift in range(1 if group is None else 3):
+                # Within one block a shift from 1 to width - 1 never leads back to the entry itself.
+                move = 1 + (step + 7 * shift) % max(width - 1, 1) if a == b else (step + here * 5 + 7 * shift) % width
+                there = other + (here - other + move) % width
+                fits = there != here if group is None else group[there] != group[here]
+                fits &= (partner[here] < 0) | ((step >> (number % 24)) & 1 == 1) & (shift == 0)
+                partner[here[fits]] = there[fits]
     return partner
 
 
@@ -278,12 +291,19 @@ def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Entries that have a possible partner, each with one of them."""
     names = ["code", "n", "pos", "id", "partner"]
     out, size = [], 0
-    for code, n, pos, ids in _lists(batches):
-        partner = _picked(int(code[0]), n, pos)
-        kept = np.flatnonzero(partner >= 0)
-        if len(kept):
-            out.append((code[kept], n[kept], pos[kept], ids[kept], ids[partner[kept]]))
-            size += len(kept)
+    for two, columns in _lists(batches):
+        if two:
+            code, n_a, pos_a, a, _, n_b, pos_b, b = columns
+            kept = _two_may_link(n_a, pos_a, n_b, pos_b)
+            code, n_a, pos_a, a, n_b, pos_b, b = (c[kept] for c in (code, n_a, pos_a, a, n_b, pos_b, b))
+            found = [(code, n_a, pos_a, a, b), (code, n_b, pos_b, b, a)] * bool(len(a))
+        else:
+            code, n, pos, ids = columns
+            partner = _picked(int(code[0]), n, pos)
+            kept = np.flatnonzero(partner >= 0)
+            found = [(code[kept], n[kept], pos[kept], ids[kept], ids[partner[kept]])] * bool(len(kept))
+        out += found
+        size += sum(len(f[0]) for f in found)
         if size > 100_000:
             yield _named(out, names)
             out, size = [], 0
@@ -291,22 +311,33 @@ def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield _named(out, names)
 
 
-def _partners_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def partners_between(turn: int):
     """(id, partner) of entries with a possible partner in another group."""
-    out, size = [], 0
-    for code, n, pos, ids, groups in _lists(batches):
-        if (groups == groups[0]).all():
-            continue
-        partner = _picked(int(code[0]), n, pos, groups)
-        kept = np.flatnonzero(partner >= 0)
-        if len(kept):
-            out.append((ids[kept], ids[partner[kept]]))
-            size += len(kept)
-        if size > 100_000:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for two, columns in _lists(batches):
+            if two:
+                _, n_a, pos_a, a, group_a, _, n_b, pos_b, b, group_b = columns
+                kept = _two_may_link(n_a, pos_a, n_b, pos_b) & (group_a != group_b)
+                found = (a[kept], b[kept])
+            else:
+                code, n, pos, ids, groups = columns
+                if (groups == groups[0]).all():
+                    continue
+                partner = np.concatenate([_picked(int(code[0]), n, pos, groups, PICKS * turn + i) for i in range(PICKS)])
+                kept = np.flatnonzero(partner >= 0)
+                found = (ids[kept % len(ids)], ids[partner[kept]])
+            if len(found[0]):
+                out.append(found)
+                size += len(found[0])
+            if size > 100_000:
+                yield _named(out, ["id", "partner"])
+                out, size = [], 0
+        if out:
             yield _named(out, ["id", "partner"])
-            out, size = [], 0
-    if out:
-        yield _named(out, ["id", "partner"])
+
+    return run
 
 
 def _named(out: list, names: list[str]) -> pa.RecordBatch:
@@ -316,26 +347,33 @@ def _named(out: list, names: list[str]) -> pa.RecordBatch:
 def _between_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible pairs of entries from different groups, a smaller than b."""
     out, size = [], 0
-    for code, n, pos, ids, groups in _lists(batches):
-        if (groups == groups[0]).all():
-            continue
-        for a, a_end, b, b_end in block_pairs(n, pos):
-            for i in range(a, a_end):
-                low = max(b, i + 1)
-                others = low + np.flatnonzero(groups[low:b_end] != groups[i])
-                if not len(others):
-                    continue
-                left = np.full(len(others), ids[i])
-                first, second = np.minimum(left, ids[others]), np.maximum(left, ids[others])
-                out.append((first, second))
-                size += len(others)
-                if size > 100_000:
-                    yield _named(out, ["a", "b"])
-                    out, size = [], 0
+    for two, columns in _lists(batches):
+        if two:
+            _, n_a, pos_a, a, group_a, _, n_b, pos_b, b, group_b = columns
+            kept = _two_may_link(n_a, pos_a, n_b, pos_b) & (group_a != group_b)
+            found = [(a[kept], b[kept])] * bool(kept.any())
+        else:
+            _, n, pos, ids, groups = columns
+            found = [] if (groups == groups[0]).all() else _pairs_between(n, pos, ids, groups)
+        for left, right in found:
+            out.append((np.minimum(left, right), np.maximum(left, right)))
+            size += len(left)
+            if size > 100_000:
+                yield _named(out, ["a", "b"])
+                out, size = [], 0
     if out:
         yield _named(out, ["a", "b"])
 
 
+def _pairs_between(n, pos, ids, groups) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for a, a_end, b, b_end in block_pairs(n, pos):
+        for i in range(a, a_end):
+            low = max(b, i + 1)
+            others = low + np.flatnonzero(groups[low:b_end] != groups[i])
+            if len(others):
+                yield np.full(len(others), ids[i]), ids[others]
+
+
 def id_filter(ids: DataFrame) -> np.ndarray:
     """A table of FILTER_BITS bits in which the slot of every id is set."""
     part = 1 << 15
@@ -511,10 +549,12 @@ def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
     pairs = stored(at_most_two_each(index.select("id", "partner"), marks), "pairs")
     led = stored(overlaps(pairs, wanted.holding(pairs)), "led")
     groups = stored(components(led.filter(linked()).select("a", "b")), "groups")
-    named = grouped_lists(index, groups).mapInArrow(_partners_between, "id bigint, partner bigint")
-    pairs = stored(at_most_two_each(named, marks), "pairs")
-    more = stored(overlaps(pairs, wanted.holding(pairs)), "led")
-    led, groups = led.union(more), stored(components_of(groups, more.filter(linked()).select("a", "b")), "groups")
+    for turn in range(1, TURNS + 1):
+        named = grouped_lists(index, groups).mapInArrow(partners_between(turn), "id bigint, partner bigint")
+        named = named.select(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")).distinct()
+        pairs = stored(possible(named, marks), "pairs")
+        more = stored(overlaps(pairs, wanted.holding(pairs)), "led")
+        led, groups = led.union(more), stored(components_of(groups, more.filter(linked()).select("a", "b")), "groups")
     further = components_of(groups, links_between_groups(index, groups, led, marks, wanted))
     rows = survey.filter("slice is null").select("doc_id", "n", "digest")
     smallest = rows.filter("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"))
