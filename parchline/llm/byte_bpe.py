@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from . import words as W
 
@@ -260,4 +260,5 @@ def decoded(frame: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             texts = [None if x is None else decode(x, tokens).decode("utf-8") for x in batch.column(ids).to_pylist()]
             yield batch.append_column("text", pa.array(texts, pa.string()))
 
-    return frame.mapInArrow(run, frame.schema.add("text", "string"))
+    schema = T.StructType([*frame.schema.fields, T.StructField("text", T.StringType())])
+    return frame.mapInArrow(run, schema)

@@ -27,6 +27,7 @@ just the end id.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -50,7 +51,7 @@ MAGIC = b"PLR1"
 _HEAD = "<4sHHIqqII"
 
 #: Distinct words whose ids a task keeps, and the longest word kept.
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 20
 KEPT_LENGTH = 64
 
 
@@ -192,52 +193,43 @@ class Block:
 
 
 class _Words(dict):
-    """Ids of the words between blanks and line ends, which the tokenizer drops and never crosses."""
+    """Ids of the words between blanks and line ends, which the tokenizer drops and never crosses.
+
+    A word that is looked up and not there is noted in ``missing`` and gives None.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.older: dict[str, bytes] = {}
+        self.missing: set[str] = set()
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not kept: all of them for the present texts, the short ones for later."""
-        if len(self) >= KEPT_WORDS:
-            self.older = dict(self)
-            self.clear()
-        found = {w: self.older[w] for w in words if w in self.older}
-        rest = words.difference(found)
-        # A full stop or comma behind letters is a token of its own for this kind of tokenizer.
-        stems = {w: w[:-1] for w in rest if w[-1:] in (".", ",") and _letters(w[:-1])}
-        wanted = {stems.get(w, w) for w in rest}
-        wanted |= {w[-1] for w in stems}
-        fresh = {w: k for w in wanted if (k := self.get(w) or found.get(w) or self.older.get(w)) is not None}
-        fresh |= self._encode(wanted.difference(fresh))
-        found |= {w: fresh[w] if w not in stems else fresh[stems[w]] + fresh[w[-1]] for w in rest}
-        found |= fresh
-        self.update((w, ids) for w, ids in found.items() if len(w) <= KEPT_LENGTH)
-        return found
-
-    def _encode(self, words: set[str]) -> dict[str, bytes]:
-        """Words by the library; those of Latin letters only are one piece each and go in together."""
-        plain = [w for w in words if _letters(w)]
-        other = list(words.difference(plain))
-        out = {}
-        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            out[word] = struct.pack(f"<{len(found.ids)}H", *found.ids)
-        groups = [plain[i : i + 128] for i in range(0, len(plain), 128)]
-        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids, pieces = np.array(found.ids, IDS), np.array(found.word_ids)
-            cuts = np.searchsorted(pieces, np.arange(len(group) + 1)).tolist()
-            data, width = ids.tobytes(), ids.itemsize
-            for word, a, b in zip(group, cuts, cuts[1:]):
-                out[word] = data[a * width : b * width]
-        return out
+    def __missing__(self, word: str) -> None:
+        self.missing.add(word)
 
+    def learn(self) -> dict[str, bytes]:
+        """Ids of the missing words by the library; all but long ones are kept.
 
-def _letters(word: str) -> bool:
-    """Letters of Latin-1 only: they are composed already and lower-case to one letter each."""
-    return word.isalpha() and (word.isascii() or max(word) < "\u0100")
+        Words of Latin letters only are one piece each, so many of them are encoded as one text.
+        """
+        plain = [w for w in self.missing if w.isalpha() and (w.isascii() or max(w) < "\u0100")]
+        other = list(self.missing.difference(plain))
+        self.missing.clear()
+        fresh: dict[str, bytes] = {}
+        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            fresh[word] = np.array(found.ids, IDS).tobytes()
+        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
+        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            data = np.array(found.ids, IDS).tobytes()
+            ends = 2 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(group)))
+            at = 0
+            for word, end in zip(group, ends.tolist()):
+                fresh[word] = data[at:end]
+                at = end
+        if len(self) + len(fresh) > KEPT_WORDS:
+            self.clear()
+        self.update(fresh if max(map(len, fresh)) <= KEPT_LENGTH else {w: x for w, x in fresh.items() if len(w) <= KEPT_LENGTH})
+        return fresh
 
 
 #: Ids are held in 16 bits while they are sorted; the tokenizer has fewer than 65,536.
@@ -251,19 +243,27 @@ def tokenize(texts: list, path: str, end_id: int) -> list[bytes]:
         if loaded[path].tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("a vocabulary of at most 65,536 ids is needed")
     known, end, out = loaded[path], struct.pack("<H", end_id), []
-    for start in range(0, len(texts), 256):
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts[start : start + 256]]
-        found = [list(map(known.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found) if None in ids for w, x in zip(words, ids) if x is None}
-        fresh = known.learn(missing) if missing else {}
-        for words, ids in zip(split, found):
-            if None in ids:
-                ids = [fresh[w] if x is None else x for w, x in zip(words, ids)]
-            ids.append(end)
-            out.append(b"".join(ids))
+    for start in range(0, len(texts), 512):
+        split = [_STOPS.sub(r" \1", _lower(t)).replace("\n", " ").split(" ") if t else [] for t in texts[start : start + 512]]
+        found = [list(map(known.__getitem__, words)) for words in split]
+        if known.missing:
+            fresh = known.learn()
+            for i, ids in enumerate(found):
+                if None in ids:
+                    found[i] = [fresh[w] if x is None else x for w, x in zip(split[i], ids)]
+        out += [b"".join(ids) + end for ids in found]
     return out
 
 
+#: A full stop or comma between a letter and white space is a piece of its own.
+_STOPS = re.compile(r"(?<=[a-z])([.,])(?=[ \n])")
+
+
+def _lower(text: str) -> str:
+    """The tokenizer lowers letter by letter; Python's result differs only where a capital sigma stands."""
+    return text if "\u03a3" in text else text.lower()
+
+
 def tokens(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
     """doc_id and ids of each document, the end id included, compressed (``unpacked`` opens them)."""
 
@@ -286,13 +286,15 @@ def shared_table(tokens_table: DataFrame) -> Table:
     """Frequencies over all tokens; the driver gets one row per id of the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = np.zeros(1 << 16, np.int64)
+        held: list[np.ndarray] = []
         for batch in batches:
             for ids in batch.column("ids"):
-                part = np.bincount(unpacked(ids))
-                if len(part) > len(total):
-                    total = np.concatenate([total, np.zeros(len(part) - len(total), np.int64)])
-                total[: len(part)] += part
+                held.append(unpacked(ids))
+                if len(held) >= 512:
+                    total += np.bincount(np.concatenate(held), minlength=1 << 16)
+                    held = []
+        total += np.bincount(np.concatenate([*held, np.zeros(0, IDS)]), minlength=1 << 16)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["symbol", "n"])
 
