@@ -27,6 +27,7 @@ just the end id.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -200,6 +201,7 @@ class _Words(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.missing: set[str] = set()

@@ -1,15 +1,15 @@
 """Exact top-k inner products by an impact-ordered index, score at a time.
 
-Vectors are whole numbers. An index shard holds, for each component and sign, its rows grouped into
-segments by quantised impact (the magnitude in steps of ``STEP``), largest impact first. A
-query takes all segments in descending order of (its own component x impact) and adds each one's
-quantised contribution to the scores of the segment's rows.
-
-After some segments two bounds hold for each row. What is left of its score is the product of the
-query with the part of the row not yet added, and by the Cauchy-Schwarz inequality no larger than
-the product of their lengths; the squared length of that part is kept up to date per row in whole
-numbers. A query stops only when the rows whose upper bound reaches the k-th best lower bound
-are few enough to rescore (all other rows are proved to be out) or when the segments are used up. Those
+Vectors are whole numbers. An index shard holds posting segments: the rows whose component has a certain
+sign and quantised impact (the magnitude in steps of ``STEP``), and that component of each. A block
+of queries goes through the segments in descending order of impact and adds what each contributes to the
+scores of the segment's rows, for all queries of the block at once.
+
+After the segments of an impact two bounds hold for each row and query. What is left of a score is the product of
+the query with the part of the row not yet added, and by the Cauchy-Schwarz inequality no larger than the
+product of their lengths; the squared length of that part is kept up to date per row in whole
+numbers. A block stops only when for each query the rows whose upper bound reaches the k-th best
+lower bound are few enough to rescore (all other rows are proved to be out), or when the segments are used up. Those
 possible members are then rescored exactly and ordered by score, ties by smaller id.
 
 Shards hold at most about ``SHARD_ROWS`` rows and query blocks ``BLOCK_QUERIES`` queries. Each block
@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..sources.tables import stored
 
 STEP = 16
+#: A block stops when at most so many rows per query are left to rescore.
+FEW = 64
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 128
 #: Largest magnitude of a component.
@@ -43,7 +45,7 @@ _MERGED_SHARDS = 256
 
 @dataclass
 class Shard:
-    """Rows of one shard and their segments."""
+    """Rows of one shard, ordered by id, and their segments by descending impact."""
 
     ids: np.ndarray
     vectors: np.ndarray  # rows x components
@@ -51,57 +53,69 @@ class Shard:
     values: np.ndarray  # the component of each of these rows
     starts: np.ndarray  # segment -> first place in rows
     component: np.ndarray  # segment -> component
-    impact: np.ndarray  # segment -> signed middle of its values
+    impact: np.ndarray  # segment -> quantised impact
 
 
 def build(ids: np.ndarray, vectors: np.ndarray) -> Shard:
     """Index the rows; components of zero have no postings."""
-    count, width = vectors.shape
-    sign = np.sign(vectors)
-    level = np.abs(vectors) // STEP
-    place = np.nonzero(vectors.T.ravel())[0]
-    component, row = np.divmod(place, max(count, 1))
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
+    component, row = np.nonzero(vectors.T)
     value = vectors[row, component]
-    key = (component * 2 + (value < 0)) * (int(level.max(initial=0)) + 1) + (level.max(initial=0) - level[row, component])
-    order = np.argsort(key, kind="stable")
-    key, row, value, component = key[order], row[order], value[order], component[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    starts = np.concatenate([first, [len(key)]]).astype(np.int64)
-    impact = sign[row[first], component[first]] * (level[row[first], component[first]] * STEP + STEP // 2)
-    return Shard(ids, vectors, row, value, starts, component[first], impact.astype(np.int64))
-
-
-def search(shard: Shard, query_id: int, query: np.ndarray, k: int, few: int = 64, look: int = 64) -> list[tuple[int, int]]:
-    """The k best (score, id) of the shard's rows with another id, exact."""
-    own = shard.ids == query_id
-    alive = int(len(own) - own.sum())
-    if not alive:
-        return []
-    k = min(k, alive)
-    q = query.astype(np.int64)
-    weight = q[shard.component] * shard.impact
-    order = np.argsort(-np.abs(weight), kind="stable")
-    order = order[weight[order] != 0]
-    score = np.zeros(len(own), np.int64)
+    impact = np.abs(value) // STEP
+    order = np.lexsort((row, value < 0, component, -impact))
+    row, value, component, impact = row[order], value[order], component[order], impact[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (impact[1:] != impact[:-1]) | (component[1:] != component[:-1]) | ((value[1:] < 0) != (value[:-1] < 0))
+    first = np.flatnonzero(new)
+    return Shard(ids, vectors, row, value, np.append(first, len(row)), component[first], impact[first])
+
+
+def search(shard: Shard, query_ids: np.ndarray, queries: np.ndarray, k: int, few: int = FEW) -> list[list[tuple[int, int]]]:
+    """For each query the k best (score, id) of the shard's rows with another id, exact."""
+    count = len(shard.ids)
+    score = np.zeros((count, len(queries)), np.int64)
     rest = np.sum(shard.vectors * shard.vectors, 1)  # squared length of what is not yet added
-    length = np.sqrt(float(q @ q)) * (1 + 1e-9) + 1e-9
-    score[own] = -(1 << 62)
-    members = np.flatnonzero(~own)
-    for number, segment in enumerate(order.tolist()):
-        a, b = shard.starts[segment], shard.starts[segment + 1]
-        rows, value, impact = shard.rows[a:b], shard.values[a:b], shard.impact[segment]
-        score[rows] += weight[segment]
-        rest[rows] += (value - impact) ** 2 - value**2
-        if number % look == look - 1:
-            slack = np.sqrt(rest) * length + 1
-            lower = score - slack
-            least = np.partition(lower, len(lower) - k)[len(lower) - k]
-            members = np.flatnonzero((score + slack >= least) & ~own)
-            if len(members) <= max(few, k):
-                break
-    exact = shard.vectors[members] @ q
-    best = np.lexsort((shard.ids[members], -exact))[:k]
-    return list(zip(exact[best].tolist(), shard.ids[members][best].tolist()))
+    length = np.sqrt(np.sum(queries * queries, 1).astype(np.float64)) * (1 + 1e-9)
+    own = list(zip(np.searchsorted(shard.ids, query_ids, "left").tolist(), np.searchsorted(shard.ids, query_ids, "right").tolist()))
+    members = np.ones(score.shape, bool)
+    for a, b in impacts(shard.impact):
+        for segment in range(a, b):
+            where = slice(shard.starts[segment], shard.starts[segment + 1])
+            rows, values = shard.rows[where], shard.values[where]
+            score[rows] += values[:, None] * queries[:, shard.component[segment]]
+            rest[rows] -= values * values
+        if 2 * shard.starts[b] < len(shard.rows) or b == len(shard.impact):
+            continue  # too early for a proof, or nothing left to save
+        slack = np.sqrt(rest.astype(np.float64))[:, None] * length + 1
+        lower = score - slack
+        for i, (left, right) in enumerate(own):
+            lower[left:right, i] = -np.inf
+        least = np.partition(lower, -min(k, count), axis=0)[-min(k, count)]
+        members = score + slack >= least
+        if members.sum(0).max(initial=0) <= max(few, k):
+            break
+    else:
+        # All is added, so scores are exact: who reaches the k-th best, own rows aside, is a member.
+        exact = score.astype(np.float64)
+        for i, (left, right) in enumerate(own):
+            exact[left:right, i] = -np.inf
+        members = exact >= np.partition(exact, -min(k, count), axis=0)[-min(k, count)]
+    out = []
+    for i, (left, right) in enumerate(own):
+        members[left:right, i] = False
+        found = np.flatnonzero(members[:, i])
+        exact = shard.vectors[found] @ queries[i]
+        best = np.lexsort((shard.ids[found], -exact))[:k]
+        out.append(list(zip(exact[best].tolist(), shard.ids[found][best].tolist())))
+    return out
+
+
+def impacts(impact: np.ndarray) -> list[tuple[int, int]]:
+    """First and last segment (exclusive) of each impact."""
+    cuts = np.flatnonzero(impact[1:] != impact[:-1]) + 1
+    edges = [0, *cuts.tolist(), len(impact)]
+    return list(zip(edges, edges[1:])) if len(impact) else []
 
 
 def whole_numbers(embedding: Column, scale: int = 256) -> Column:
@@ -158,8 +172,8 @@ def _cells(k: int):
                 fitted = np.zeros((len(queries), width), np.int64)
                 fitted[:, : min(width, wanted.shape[1])] = wanted[:, :width]
                 out = []
-                for number, (query, vector) in enumerate(zip(queries.tolist(), fitted)):
-                    out += [(row["block"], number, query, row["shard"], i, s) for s, i in search(shard, query, vector, k)]
+                for number, (query, found) in enumerate(zip(queries.tolist(), search(shard, queries, fitted, k))):
+                    out += [(row["block"], number, query, row["shard"], i, s) for s, i in found]
                 columns = list(zip(*out)) or [()] * 6
                 names = ["block", "number", "query_id", "shard", "vec_id", "score"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)

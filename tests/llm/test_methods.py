@@ -272,7 +272,7 @@ def test_search_stops_only_on_proof(count, width, seed):
     vectors, ids = dice.integers(-50, 50, (count, width)), np.arange(count) * 2
     query = dice.integers(-50, 50, width)
     wanted = sorted((-int(s), int(i)) for s, i in zip(vectors @ query, ids) if i != 4)[:5]
-    found = topk.search(topk.build(ids, vectors), 4, query, 5, few=5, look=2)
+    found = topk.search(topk.build(ids, vectors), np.array([4]), query[None], 5, few=5)[0]
     assert [(-s, i) for s, i in found] == wanted
 
 
