@@ -51,7 +51,7 @@ def fixed_pieces(text: Column, size: int, overlap: int) -> Column:
     """
     window, lap = size * CHARS_PER_TOKEN, overlap * CHARS_PER_TOKEN
     if lap >= window:
-        raise ValueError("overlap must be smaller than chunk size")
+        raise ValueError(f"windows of {size} tokens cannot share {overlap}")
     step = window - lap
     span = 1 + -(-lap // step)
 

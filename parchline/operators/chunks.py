@@ -190,7 +190,7 @@ def fixed_table(sections: DataFrame, doc: str, size: int, overlap: int) -> DataF
     """
     window, lap = size * CHARS_PER_TOKEN, overlap * CHARS_PER_TOKEN
     if lap >= window:
-        raise ValueError("overlap must be smaller than chunk size")
+        raise ValueError(f"windows of {size} tokens cannot share {overlap}")
     step = window - lap
     full = sections.filter(F.col("text") != "").select(doc, F.col("position").cast("long").alias("position"), "text")
     # Every section is preceded by its separator except the first one of the document.

@@ -65,9 +65,13 @@ def retrieval_grade(hits: DataFrame, expected: DataFrame, k: int) -> DataFrame:
 
 def score_trend(judged: DataFrame, period: str, dims: list[str]) -> DataFrame:
     """Mean score per period and every prefix of the dimensions (a roll-up)."""
-    return judged.rollup(period, *dims).agg(
-        F.count("*").alias("judged"), F.round(F.avg("score"), 6).alias("mean_score")
-    )
+    return judged.rollup(period, *dims).agg(F.count("*").alias("judged"), exact_mean("score").alias("mean_score"))
+
+
+def exact_mean(score: str) -> Column:
+    """Mean of scores to nine decimal places, rounded to six: exact sums, so the order of rows is without effect."""
+    exact = F.sum(F.col(score).cast("decimal(28,9)")).cast("double")
+    return F.round(exact / F.count(score), 6)
 
 
 def sustained_drift(trend: DataFrame, keys: list[str], period: str, threshold: float, window: int = 7, run: int = 3) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.vector import hash_embedding
 
-# At most this many citations are kept inside a gold row; the parts table holds all of them.
+# So many citations are carried in a gold row itself; ``reference_parts``, which the gold flow writes beside
+# gold, holds all of them.
 INLINE_REFERENCES = 1000
 
 

@@ -108,10 +108,10 @@ def _first_match(rules: list[tuple[Column, Column]], otherwise: Column) -> Colum
     return otherwise
 
 
-def under_prefix(path: Column, prefix: str) -> Column:
-    """Is the path below a folder of this name? Bounded by ``/`` on both sides."""
-    folder = prefix if prefix.endswith("/") else prefix + "/"
-    return F.contains(path, F.lit("/" + folder))
+def in_folder(path: Column, name: str | None) -> Column:
+    """Does the path run through this folder (one or several names)? No folder named: any path does."""
+    names = [part for part in (name or "").split("/") if part]
+    return path.contains("/".join(["", *names, ""])) if names else path.isNotNull()
 
 
 def _extraction_decision(method: str | None, on_failure: str | None, matched: str) -> Column:
@@ -127,7 +127,7 @@ def extraction_decision(path: Column, file_type: Column, config: dict[str, Any])
     defaults, overrides = _section(config, "extraction")
     rules = [
         (
-            (file_type == F.lit(rule.get("file_type"))) & under_prefix(path, rule.get("path_prefix", "")),
+            (file_type == F.lit(rule.get("file_type"))) & in_folder(path, rule.get("path_prefix")),
             _extraction_decision(rule["method"], rule.get("on_failure", "atomic"), "override"),
         )
         for rule in overrides

@@ -113,7 +113,9 @@ def dense_topk(
     filtered = "acl_group" in corpus.columns and "groups" in queries.columns
     wanted = ["item_id", "vector"] + (["acl_group"] if filtered else [])
     asked = ["query_id", "vector"] + (["groups"] if filtered else [])
-    corpus, queries = corpus.select(*wanted), queries.select(*asked)
+    # A row without a vector is nobody's hit, and a query without one has no hits.
+    corpus = corpus.select(*wanted).filter("vector is not null")
+    queries = queries.select(*asked).filter("vector is not null")
     rows = shipped(queries, max_shipped)
     if rows is None or sum(len(r["vector"]) for r in rows) * 8 > MAX_SHIPPED_BYTES:
         return rank_hits(_dense_by_blocks(corpus, queries, k, filtered, max_shipped, shard_rows), k)
@@ -313,7 +315,7 @@ def _bm25_by_blocks(words: DataFrame, asked: DataFrame, k: int, filtered: bool,
             weight[row, column] = wanted["idf"].to_numpy()
             known = pa.array(vocabulary.tolist(), type=pa.string())
             firsts = wanted.drop_duplicates("query_id").set_index("query_id")
-            groups = [set(firsts.at[q, "groups"]) for q in ids] if filtered else None
+            groups = [set(() if (g := firsts.at[q, "groups"]) is None else g) for q in ids] if filtered else None
             step = _slice_rows(len(vocabulary))
             for at in range(0, len(items), step):
                 part = items.iloc[at : at + step]

@@ -137,7 +137,7 @@ def retrieval_grade(spark: SparkSession, folder: str) -> DataFrame:
         scored AS (
           SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS category, 'endpoint_' || (user_id % 3) AS endpoint_name, value AS score FROM events)""",
         select="""
-        SELECT day, category, endpoint_name, count(*) AS judged, round(avg(score), 6) AS mean_score
+        SELECT day, category, endpoint_name, count(*) AS judged, round(CAST(sum(CAST(score AS DECIMAL(28,9))) AS DOUBLE) / count(score), 6) AS mean_score
         FROM scored GROUP BY ROLLUP (day, category, endpoint_name)""",
     ),
 )
@@ -156,7 +156,7 @@ def score_trend(spark: SparkSession, folder: str) -> DataFrame:
     with_ctes(
         JUDGED,
         select="""
-        SELECT scorer, category, endpoint_name, count(*) AS judged, round(avg(score), 6) AS mean_score
+        SELECT scorer, category, endpoint_name, count(*) AS judged, round(CAST(sum(CAST(score AS DECIMAL(28,9))) AS DOUBLE) / count(score), 6) AS mean_score
         FROM judged GROUP BY ROLLUP (scorer, category, endpoint_name)""",
     ),
 )
@@ -182,7 +182,7 @@ def embedding_drift(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.embedding_drift(table(spark, folder, "embeddings").join(dated, "vec_id"), "day", "embedding")
 
 
-_DAILY = "SELECT event_type AS category, strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 6) AS score FROM events GROUP BY 1, 2"
+_DAILY = "SELECT event_type AS category, strftime(ts, '%Y-%m-%d') AS day, round(CAST(sum(CAST(value AS DECIMAL(28,9))) AS DOUBLE) / count(value), 6) AS score FROM events GROUP BY 1, 2"
 
 
 @query(
@@ -203,7 +203,7 @@ _DAILY = "SELECT event_type AS category, strftime(ts, '%Y-%m-%d') AS day, round(
 def drift_signal(spark: SparkSession, folder: str) -> DataFrame:
     daily = table(spark, folder, "events").groupBy(
         F.col("event_type").alias("category"), F.date_format("ts", "yyyy-MM-dd").alias("day")
-    ).agg(F.round(F.avg("value"), 6).alias("score"))
+    ).agg(evaluate.exact_mean("value").alias("score"))
     return evaluate.sustained_drift(daily, ["category"], "day", threshold=10.0)
 
 

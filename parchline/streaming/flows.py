@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from ..functions.vector import hash_embedding
 from ..operators.capture import enrich
 from ..operators.chunks import chunk
-from ..operators.gold import gold_rows
+from ..operators.gold import gold_rows, reference_parts
 from ..operators.lifecycle import instances, latest_instance, new_content, reconcile
 from ..operators.rules import CHUNKING_RULES, EXTRACTION_RULES
 from ..operators.sections import SECTIONS_TYPE, extract
@@ -42,6 +42,10 @@ CHUNKS = (
     "chunk_id string, content_hash string, chunk_index int, chunk_text string, section_heading string, "
     "chunking_method_used string, extraction_method_used string, token_count int, is_active boolean"
 )
+REFERENCES = (
+    "content_hash string, part_no int, n_parts int, source_count bigint, "
+    "source_references array<struct<source_path:string,file_name:string>>"
+)
 GOLD = (
     "chunk_id string, chunk_text string, embedding_vector array<float>, embedding_model string, "
     "embedded_at timestamp, source_references array<struct<source_path:string,file_name:string>>, "
@@ -107,7 +111,10 @@ def instance_flow(
 
 def chunk_flow(spark: SparkSession, root: str, config: dict[str, Any] = CHUNKING_RULES, max_files: int | None = None):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(chunk(batch, config), f"{root}/chunks", batch_id)
+        # A replayed extraction arrives under new file names; its chunks are known by then.
+        known = read_table(spark, f"{root}/chunks", CHUNKS, before=batch_id).select("chunk_id")
+        fresh = chunk(batch, config).dropDuplicates(["chunk_id"]).join(known, "chunk_id", "left_anti")
+        write_batch(fresh.select(*_names(CHUNKS)), f"{root}/chunks", batch_id)
 
     return start(stream_table(spark, f"{root}/extracted", EXTRACTED, max_files), root, "chunks", handle)
 
@@ -140,10 +147,18 @@ def gold_flow(spark: SparkSession, root: str, model: str, embed=hash_embedding,
         chunks = read_table(spark, f"{root}/chunks", CHUNKS).drop("batch_id").join(touched, "content_hash", "left_semi")
         rows = gold_rows(chunks.dropDuplicates(["chunk_id"]), current, model, embed)
         write_batch(rows, f"{root}/gold", batch_id)
+        write_batch(reference_parts(current).select(*_names(REFERENCES)), f"{root}/gold_references", batch_id)
 
     return start(from_chunks.unionByName(from_instances), root, "gold", handle)
 
 
+def current_references(spark: SparkSession, root: str) -> DataFrame:
+    """Every citation of the contents in gold as of now, in parts."""
+    newest = read_table(spark, f"{root}/gold_touched", TOUCHED).groupBy("content_hash").agg(F.max("batch_id").alias("batch_id"))
+    rows = read_table(spark, f"{root}/gold_references", REFERENCES)
+    return rows.join(newest, ["content_hash", "batch_id"], "left_semi").drop("batch_id").select(*_names(REFERENCES))
+
+
 def current_gold(spark: SparkSession, root: str) -> DataFrame:
     """Gold as of now: for each content, the rows of the batch that touched it last."""
     newest = read_table(spark, f"{root}/gold_touched", TOUCHED).groupBy("content_hash").agg(F.max("batch_id").alias("batch_id"))

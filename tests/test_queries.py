@@ -11,7 +11,7 @@ def con(folder):
     return connect(folder)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, folder, con, name):
     frame = entry.queries()[name](spark, folder)
     found = compare(frame, con, entry.oracle_sql()[name])

@@ -69,3 +69,30 @@ def test_expectation_modes(spark):
     with pytest.raises(Exception, match="small"):
         enforce(frame, rule, "fail").collect()
     assert enforce(frame.filter("n = 1"), rule, "fail").count() == 1
+
+
+def test_replayed_extraction_does_not_double_chunks(spark, folder, tmp_path):
+    root = str(tmp_path)
+    write_batch(typed_view(spark, folder), f"{root}/bronze", 0)
+    run_all(spark, root)
+    before = read_table(spark, f"{root}/chunks", flows.CHUNKS).count()
+    commits = tmp_path / "checkpoints" / "extraction" / "commits"
+    for file in [commits / "0", *commits.glob(".*.crc")]:
+        file.unlink()
+    run_all(spark, root)
+    chunks = read_table(spark, f"{root}/chunks", flows.CHUNKS)
+    assert chunks.count() == chunks.select("chunk_id").distinct().count() == before > 0
+
+
+def test_all_citations_stay_beside_gold(spark, tmp_path):
+    root = str(tmp_path)
+    row = "'h' AS content_hash, concat('/p/', id) AS source_path, concat('f', id) AS file_name, current_timestamp() AS ingestion_timestamp"
+    more = "'text' AS file_type, 'g' AS resolved_acl_group, 1 AS restrictiveness, true AS is_active, cast(null AS timestamp) AS deactivated_at"
+    instances = spark.sql(f"SELECT {row}, {more} FROM range(2500)")
+    write_batch(instances, f"{root}/instances", 0)
+    chunk = spark.sql("SELECT 'c' AS chunk_id, 'h' AS content_hash, 0 AS chunk_index, 'text' AS chunk_text, '' AS section_heading, 'm' AS chunking_method_used, 'm' AS extraction_method_used, 1 AS token_count, true AS is_active")
+    write_batch(chunk, f"{root}/chunks", 0)
+    flows.finish(flows.gold_flow(spark, root, "m"))
+    parts = flows.current_references(spark, root).collect()
+    assert {r["source_path"] for p in parts for r in p["source_references"]} == {f"/p/{i}" for i in range(2500)}
+    assert flows.current_gold(spark, root).collect()[0]["source_count"] == 2500
