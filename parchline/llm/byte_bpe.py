@@ -37,6 +37,7 @@ KEPT_PAIRS = 1 << 20
 KEPT_LENGTH = 64
 
 _NEVER = 1 << 60
+STORE = "byte bpe"
 
 
 class Vocabulary:
@@ -207,7 +208,7 @@ def read_ranks(lines: Iterator[bytes]) -> dict[bytes, int]:
 
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a rank file that each machine has, built once per Python process."""
-    loaded = W.process_store("byte vocabularies")
+    loaded = W.process_store(STORE)
     if path not in loaded:
         with open(path, "rb") as lines:
             loaded[path] = Vocabulary(read_ranks(lines))
@@ -216,7 +217,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encoder(path: str, pattern: str) -> Encoder:
     """One encoder per Python process, so that the tasks of a worker share the kept pieces."""
-    made = W.process_store("byte encoders")
+    made = W.process_store(STORE)
     if (path, pattern) not in made:
         made[path, pattern] = Encoder(vocabulary(path), pattern)
     return made[path, pattern]
@@ -248,7 +249,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = N
 
         return work
 
-    return W.per_text(W.with_text(docs, keep), make, fields)
+    return W.per_text(W.with_text(docs, keep), make, fields, store=STORE)
 
 
 def decoded(frame: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -49,6 +49,7 @@ LANES = 2048
 BLOCK_TOKENS = 1 << 19
 CHECK_STEPS = 128
 MAGIC = b"PLR1"
+STORE = "rans"
 _HEAD = "<4sHHIqqII"
 
 #: Distinct words whose ids a task keeps, and the longest word kept.
@@ -239,7 +240,7 @@ IDS = "<u2"
 
 def tokenize(texts: list, path: str, end_id: int) -> list[bytes]:
     """Ids of each text with the end id, as little-endian unsigned 16-bit integers."""
-    loaded = W.process_store("rans words")
+    loaded = W.process_store(STORE)
     if path not in loaded:
         loaded[path] = _Words(path)
         if loaded[path].tokenizer.get_vocab_size() > 1 << 16:
@@ -274,7 +275,7 @@ def tokens(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
         return lambda texts: [pa.array(map(squeeze, tokenize(texts, path, end_id)), pa.binary())]
 
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return W.per_text(frame, make, "ids binary")
+    return W.per_text(frame, make, "ids binary", store=STORE)
 
 
 def unpacked(ids: pa.BinaryScalar) -> np.ndarray:

@@ -46,12 +46,15 @@ class Codes(dict):
 
 
 def process_store(name: str) -> dict:
-    """A dict that lives as long as the Python process.
+    """A dict that lives in the Python process until another operator asks for its own.
 
-    Functions travel to the tasks by value, so globals of their modules begin anew with each task.
+    Functions travel to the tasks by value, so globals of their modules begin anew with each task. A
+    process serves many tasks; it holds the store of one operator at a time.
     """
     held = sys.modules.setdefault("_parchline_process", types.ModuleType("_parchline_process"))
-    return held.__dict__.setdefault(name, {})
+    if getattr(held, "operator", None) != name:
+        held.operator, held.store = name, {}
+    return held.store
 
 
 def spaced_words(text: str | None) -> list[bytes]:
@@ -94,11 +97,12 @@ def with_text(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def per_text(frame: DataFrame, make: Callable, fields: str, keep_text: bool = False, extra: Sequence[str] = ()) -> DataFrame:
+def per_text(frame: DataFrame, make: Callable, fields: str, keep_text: bool = False, extra: Sequence[str] = (), store: str = "") -> DataFrame:
     """Add columns worked out from ``text`` alone, in Arrow batches and without a shuffle.
 
     ``make()`` runs once in each task and returns a function from a list of texts to one Arrow
-    array per field; further lists come from the columns in ``extra``. Batches are cut at ``CHUNK_CHARS`` characters, so a task's memory follows the
+    array per field; further lists come from the columns in ``extra``. ``store`` names the process store that
+    ``make`` uses. Batches are cut at ``CHUNK_CHARS`` characters, so a task's memory follows the
     longest text and not the number of rows.
     """
     kept = [f for f in frame.schema if keep_text or f.name != "text"]
@@ -106,6 +110,7 @@ def per_text(frame: DataFrame, make: Callable, fields: str, keep_text: bool = Fa
     schema = T.StructType(kept + T.StructType.fromDDL(fields).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_store(store)
         work = make()
         for batch in batches:
             texts = batch.column("text")

@@ -317,7 +317,7 @@ def test_rans_equals_the_library(spark, folder, texts):
 def test_words_are_encoded_as_in_the_text(text):
     path = P.path("word_bpe_49k.json")
     found = np.frombuffer(rans.tokenize([text], path, 2)[0], rans.IDS).tolist()
-    whole = words.process_store("rans words")[path].tokenizer
+    whole = words.process_store(rans.STORE)[path].tokenizer
     assert found == [*whole.encode(text, add_special_tokens=False).ids, 2]
 
 
