@@ -23,6 +23,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from pyspark.sql import DataFrame, types as T
 
 from . import words as W
 
-KEPT_PIECES = 1 << 19
-KEPT_PAIRS = 1 << 20
+KEPT_PIECES = 1 << 18
+KEPT_PAIRS = 1 << 18
 #: Longer pieces are not kept.
 KEPT_LENGTH = 64
 
@@ -49,13 +50,18 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.longest = max(map(len, ranks))
+        #: Last three bytes of tokens to the length of the longest token that ends in them.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) > 2:
+                self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 0))
         self.parts: dict[int, tuple[int, int]] = {}
         self.merges: dict[tuple[int, int], int] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
                 self.parts[rank] = pair = self._last_merge(token, rank)
                 self.merges[pair] = rank
-        self.kept_pairs: dict[tuple[int, int], bool] = {}
+        self.kept_pairs: dict[int, bool] = {}
 
     def _last_merge(self, token: bytes, rank: int) -> tuple[int, int]:
         """The two tokens left over when all merges before this token's own are done."""
@@ -71,11 +77,11 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the encoding of both tokens' bytes together is just these two tokens."""
-        known = self.kept_pairs.get((left, right))
+        known = self.kept_pairs.get(left << 32 | right)
         if known is None:
             if len(self.kept_pairs) > KEPT_PAIRS:
                 self.kept_pairs.clear()
-            known = self.kept_pairs[left, right] = self._fits(left, right)
+            known = self.kept_pairs[left << 32 | right] = self._fits(left, right)
         return known
 
     def _fits(self, left: int, right: int) -> bool:
@@ -126,15 +132,17 @@ class Prefixes:
 
     def append(self, more: bytes) -> None:
         data, last, known = self.data + more, self.last, self.vocabulary
-        token_at, valid, fits, longest = known.ranks.get, known.kept_pairs.get, known.fits, known.longest
+        token_at, valid, fits = known.ranks.get, known.kept_pairs.get, known.fits
+        reach = known.reach.get
         for end in range(len(self.data) + 1, len(data) + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            low = end - reach(data[end - 3 : end], 2) if end > 2 else 0
+            for start in range(low if low > 0 else 0, end):
                 token = token_at(data[start:end])
                 if token is None:
                     continue
                 if start:
                     before = last[start - 1]
-                    if not (valid((before, token)) or fits(before, token)):
+                    if not (valid(before << 32 | token) or fits(before, token)):
                         continue
                 last.append(token)
                 break
@@ -160,6 +168,13 @@ class Prefixes:
         self.last += old[end + done :]
         return len(new) + done
 
+    def become(self, data: bytes) -> None:
+        """The table of other bytes; what belongs to a common prefix stays."""
+        shared = len(commonprefix((self.data, data)))
+        self.data = data[:shared]
+        del self.last[shared:]
+        self.append(data[shared:])
+
     def ids(self) -> list[int]:
         out, end = [], len(self.data)
         while end:
@@ -170,37 +185,58 @@ class Prefixes:
 
 
 class Encoder:
-    """Texts to ids, pieces by pieces; short pieces are encoded once."""
+    """Texts to ids, piece by piece; short pieces are encoded once and kept."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern, self.known = vocabulary, regex.compile(pattern), _Pieces(vocabulary)
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.known.__getitem__, self.pattern.findall(text))) if text else b""
+    def encode(self, texts: list) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out, known = [], self.known
+        for start in range(0, len(texts), 256):
+            split = [self.pattern.findall(t) if t else [] for t in texts[start : start + 256]]
+            found = [list(map(known.__getitem__, pieces)) for pieces in split]
+            if known.missing:
+                fresh = known.learn()
+                for i, ids in enumerate(found):
+                    if None in ids:
+                        found[i] = [fresh[p] if x is None else x for p, x in zip(split[i], ids)]
+            out += map(b"".join, found)
+        return out
 
 
 class _Pieces(dict):
-    """Ids of pieces. When full, it becomes the older half, from which pieces in use come back."""
+    """Ids of pieces. Unknown ones are noted and learned together.
+
+    When full, the store becomes the older half, from which pieces in use come back.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary, self.older = vocabulary, {}
+        self.vocabulary, self.older, self.missing = vocabulary, {}, set()
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes | None:
         found = self.older.get(piece)
         if found is None:
-            data = piece.encode("utf-8")
-            whole = self.vocabulary.ranks.get(data)  # a token is the last token of its own bytes
-            ids = Prefixes(self.vocabulary, data).ids() if whole is None else [whole]
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= KEPT_LENGTH:
-            if len(self) >= KEPT_PIECES:
-                self.older = dict(self)
-                self.clear()
+            self.missing.add(piece)
+        else:
             self[piece] = found
         return found
 
+    def learn(self) -> dict[str, bytes]:
+        """Ids of the missing pieces. In order of their bytes, each goes on from the prefix it shares with the last one."""
+        fresh, table = {}, Prefixes(self.vocabulary)
+        for data, piece in sorted((p.encode("utf-8"), p) for p in self.missing):
+            table.become(data)
+            ids = table.ids()
+            fresh[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        self.missing.clear()
+        if len(self) + len(fresh) > KEPT_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self.update((p, x) for p, x in fresh.items() if len(p) <= KEPT_LENGTH)
+        return fresh
+
 
 def read_ranks(lines: Iterator[bytes]) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
@@ -238,7 +274,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = N
         known, own = vocabulary(path), encoder(path, pattern)
 
         def work(texts: list) -> list[pa.Array]:
-            found = [own.encode(t) for t in texts]
+            found = own.encode(texts)
             back = [hashlib.sha256(decode(x, known.tokens)).hexdigest() for x in found]
             arrays = [
                 pa.array([len(x) // 4 for x in found], pa.int64()),
