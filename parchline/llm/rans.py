@@ -247,7 +247,7 @@ def tokenize(texts: list, path: str, end_id: int) -> list[bytes]:
             raise ValueError("a vocabulary of at most 65,536 ids is needed")
     known, end, out = loaded[path], struct.pack("<H", end_id), []
     for start in range(0, len(texts), 512):
-        split = [_STOPS.sub(r" \1", _lower(t)).replace("\n", " ").split(" ") if t else [] for t in texts[start : start + 512]]
+        split = [_spaced(_lower(t)).replace("\n", " ").split(" ") if t else [] for t in texts[start : start + 512]]
         found = [list(map(known.__getitem__, words)) for words in split]
         if known.missing:
             fresh = known.learn()
@@ -258,10 +258,18 @@ def tokenize(texts: list, path: str, end_id: int) -> list[bytes]:
     return out
 
 
-#: A full stop or comma between a letter and white space is a piece of its own.
+#: A full stop or comma before white space is a piece of its own unless other signs stand before it.
+_AFTER_SIGN = re.compile(r"[^a-z0-9\xe0-\xf6\xf8-\xff \n][.,][ \n]")
 _STOPS = re.compile(r"(?<=[a-z])([.,])(?=[ \n])")
 
 
+def _spaced(text: str) -> str:
+    """The text with blanks before such stops, so that words are met without them."""
+    if _AFTER_SIGN.search(text):
+        return _STOPS.sub(r" \1", text)
+    return text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+
+
 def _lower(text: str) -> str:
     """The tokenizer lowers letter by letter; Python's result differs only where a capital sigma stands."""
     return text if "\u03a3" in text else text.lower()
