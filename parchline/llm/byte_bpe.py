@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, types as T
 
 from . import words as W
 
-KEPT_PIECES = 1 << 18
+KEPT_PIECES = 1 << 17
 KEPT_PAIRS = 1 << 18
 #: Longer pieces are not kept.
 KEPT_LENGTH = 64

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Distinct words whose codes a task keeps; beyond it the store is emptied and filled again.
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 18
 
 #: Bytes of text that a task works on at once.
 CHUNK_CHARS = 4 << 20
