@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.detect import detect, with_plain_text
 from ..functions.identity import content_hash, path_part
@@ -38,5 +38,11 @@ def expect_or_drop(df: DataFrame, name: str, condition: Column) -> tuple[DataFra
     return counted.filter(condition), seen
 
 
+def constraint_counts(spark: SparkSession, seen: dict[str, Observation]) -> DataFrame:
+    """``name, passed, failed`` of constraints, one row each; the constrained rows must have been written."""
+    rows = [(name, counts["passed"], counts["failed"]) for name, counts in ((n, o.get) for n, o in seen.items())]
+    return spark.createDataFrame(rows, "name string, passed bigint, failed bigint")
+
+
 def valid_only(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("processing_status") == "valid")

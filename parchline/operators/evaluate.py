@@ -95,14 +95,14 @@ def stratified_sample(df: DataFrame, strata: list[str], id_: str, percent: int)
     """A reproducible share of every stratum, and at least one row of each.
 
     Membership is a function of the row's id, so a rerun gives the same sample and no stratum is
-    gathered; the guaranteed row is the one with the smallest hash, found map-side.
+    gathered; the guaranteed row is the one with the smallest hash, found map-side and carried whole,
+    so nothing is joined back. Rows that share an id are in or out together.
     """
-    draw = hash_number(F.col(id_).cast("string"))
-    drawn = df.withColumn("_draw", draw)
-    least = drawn.groupBy(*strata).agg(F.min(F.struct("_draw", F.col(id_).alias("_id")))["_id"].alias(id_))
-    share = drawn.filter(F.pmod("_draw", F.lit(100)) < percent).drop("_draw")
-    floor = df.join(least.select(id_), id_, "left_semi")
-    return share.unionByName(floor.select(*share.columns)).dropDuplicates([id_])
+    drawn = df.withColumn("_draw", hash_number(F.col(id_).cast("string")))
+    taken = F.pmod("_draw", F.lit(100)) < percent
+    first = F.min_by(F.struct(*df.columns, "_draw"), F.struct("_draw", id_)).alias("row")
+    floor = drawn.groupBy(*[F.col(c).alias(f"_s_{c}") for c in strata]).agg(first).select("row.*").filter(~taken)
+    return drawn.filter(taken).unionByName(floor).drop("_draw")
 
 
 def always_evaluate(traces: DataFrame, length: str, triggers: Column) -> DataFrame:

@@ -7,9 +7,16 @@ reduced by partial aggregates first, or tested by semi and anti joins against a
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from .capture import valid_only
 
+# Fixed value: the columns of an instance.
+INSTANCE = (
+    "source_path string, file_name string, content_hash string, ingestion_timestamp timestamp, file_type string, "
+    "resolved_acl_group string, is_active boolean, deactivated_at timestamp"
+)
+
 
 def one_per_content(bronze: DataFrame) -> DataFrame:
     """The row with the smallest path for each content hash.
@@ -43,16 +50,16 @@ def new_content(bronze: DataFrame, extracted: DataFrame, retry_failed: bool = Tr
 
 
 def instances(bronze: DataFrame) -> DataFrame:
-    """One instance row per captured file, whether or not its content is new."""
-    return valid_only(bronze).select(
-        "source_path",
-        "file_name",
-        "content_hash",
-        "ingestion_timestamp",
-        "file_type",
-        F.lit(None).cast("string").alias("resolved_acl_group"),
-        F.lit(True).alias("is_active"),
-        F.lit(None).cast("timestamp").alias("deactivated_at"),
+    """One active instance row per captured file, whether or not its content is new.
+
+    What capture does not know yet is NULL of the declared type.
+    """
+    known = valid_only(bronze).withColumn("is_active", F.lit(True))
+    return known.select(
+        *[
+            (F.col(field.name) if field.name in known.columns else F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in StructType.fromDDL(INSTANCE)
+        ]
     )
 
 

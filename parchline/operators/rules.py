@@ -6,6 +6,7 @@ resolving them is a narrow expression: no join, no shuffle, and nothing that gro
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -73,16 +74,15 @@ RETRIEVAL_RULES: dict[str, Any] = {
 
 
 def load_rules(path: str) -> dict[str, Any]:
-    """Read a YAML (or JSON) rule file on the driver."""
+    """Read a rule file on the driver: ``.json`` as JSON, any other as YAML, which needs the package PyYAML."""
     with open(path, encoding="utf-8") as handle:
-        text = handle.read()
-    try:
-        import yaml
-    except ImportError:
-        import json
-
-        return json.loads(text)
-    return yaml.safe_load(text)
+        if path.endswith(".json"):
+            return json.load(handle)
+        try:
+            import yaml
+        except ImportError as missing:
+            raise ImportError(f"{path}: YAML rules need the package PyYAML; JSON rules (.json) do not") from missing
+        return yaml.safe_load(handle)
 
 
 def _section(config: dict[str, Any], name: str) -> tuple[dict, list]:

@@ -30,6 +30,8 @@ MAX_SHIPPED_BYTES = 64 * 1024 * 1024
 SHARD_ROWS = 20_000
 BLOCK_QUERIES = 256
 SLICE_CELLS = 4_000_000
+# Shares in which a query's hits from all tasks are ranked before the last ranking.
+RANK_DEALS = 64
 DIGITS = 6
 
 # BM25 saturation and length weight, and the rank constant of reciprocal rank fusion.
@@ -46,6 +48,18 @@ def rank_hits(scores: DataFrame, k: int, group: str = "query_id") -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def rank_task_hits(scores: DataFrame, k: int, deals: int = RANK_DEALS) -> DataFrame:
+    """``rank_hits`` for hits that every task hands on, k per query and task.
+
+    Their number per query grows with the corpus. They are dealt out by item and ranked in each deal
+    first, so the last ranking sees at most ``deals * k`` rows per query.
+    """
+    order = Window.partitionBy("query_id", "_deal").orderBy(F.desc("score"), "item_id")
+    dealt = scores.withColumn("_deal", F.pmod(F.xxhash64("item_id"), F.lit(deals)))
+    kept = dealt.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= k)
+    return rank_hits(kept.drop("_deal", "_place"), k)
+
+
 class _Best:
     """The k best items per query seen so far in one task."""
 
@@ -118,25 +132,27 @@ def dense_topk(
     queries = queries.select(*asked).filter("vector is not null")
     rows = shipped(queries, max_shipped)
     if rows is None or sum(len(r["vector"]) for r in rows) * 8 > MAX_SHIPPED_BYTES:
-        return rank_hits(_dense_by_blocks(corpus, queries, k, filtered, max_shipped, shard_rows), k)
+        return rank_task_hits(_dense_by_blocks(corpus, queries, k, filtered, max_shipped, shard_rows), k)
 
     ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
     matrix = _unit(np.array([r["vector"] for r in rows], dtype=np.float64)) if rows else np.zeros((0, 1))
     groups = [set(r["groups"] or ()) for r in rows] if filtered else None
+    # Rows scored at once, so that the queries x rows scores stay within a fixed size.
+    step = max(1, SLICE_CELLS // max(1, len(ids)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(ids, k)
-        for batch in batches:
-            if not batch.num_rows or not len(ids):
-                continue
-            value = matrix @ _unit(_matrix(batch.column("vector"))).T
-            if groups is not None:
-                names = np.array(batch.column("acl_group").to_pylist(), dtype=object)
-                value = np.where(_allowed(names, groups), value, -np.inf)
-            best.add(np.array(batch.column("item_id").to_pylist(), dtype=object), value)
+        for whole in batches if len(ids) else ():
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                value = matrix @ _unit(_matrix(batch.column("vector"))).T
+                if groups is not None:
+                    names = np.array(batch.column("acl_group").to_pylist(), dtype=object)
+                    value = np.where(_allowed(names, groups), value, -np.inf)
+                best.add(np.array(batch.column("item_id").to_pylist(), dtype=object), value)
         yield pa.RecordBatch.from_pandas(best.frame(), schema=_HITS_ARROW, preserve_index=False)
 
-    return rank_hits(corpus.mapInArrow(score, HITS), k)
+    return rank_task_hits(corpus.mapInArrow(score, HITS), k)
 
 
 _HITS_ARROW = pa.schema([("query_id", pa.int64()), ("item_id", pa.string()), ("score", pa.float64())])
@@ -206,7 +222,7 @@ def bm25_topk(
     rows = shipped(asked, max_shipped)
     vocabulary = sorted({t for r in rows for t in r["terms"]}) if rows is not None else []
     if rows is None or len(vocabulary) * len(rows) * 8 > MAX_SHIPPED_BYTES:
-        return rank_hits(_bm25_by_blocks(words, asked, k, filtered, min(max_shipped, BLOCK_QUERIES), shard_rows), k)
+        return rank_task_hits(_bm25_by_blocks(words, asked, k, filtered, min(max_shipped, BLOCK_QUERIES), shard_rows), k)
     if not vocabulary:
         return rank_hits(words.sparkSession.createDataFrame([], HITS), k)
 
@@ -239,7 +255,7 @@ def bm25_topk(
                 best.add(np.array(batch.column("item_id").to_pylist(), dtype=object), value)
         yield pa.RecordBatch.from_pandas(best.frame(), schema=_HITS_ARROW, preserve_index=False)
 
-    return rank_hits(words.mapInArrow(score, HITS), k)
+    return rank_task_hits(words.mapInArrow(score, HITS), k)
 
 
 def _term_cells(lists: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -441,7 +457,7 @@ def retrieve(gold: DataFrame, requests: DataFrame, config: dict[str, Any], query
         )
 
     dense = within(dense_topk(corpus, settings, widest))
-    sparse = within(bm25_topk(corpus, settings, widest)).filter(F.col("query_type") == "hybrid")
+    sparse = within(bm25_topk(corpus, settings.filter("query_type = 'hybrid'"), widest))
     candidates = within(fuse(dense, sparse, widest)).drop("query_type", "retrieval_top_k")
     plain = candidates.join(wanted.filter(~F.col("rerank")), "query_id").filter(F.col("rank") <= F.col("final_top_k"))
     better = rerank(

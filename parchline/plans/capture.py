@@ -8,7 +8,7 @@ from ..functions.detect import detect
 from ..operators import capture
 from ..session import fresh_dir
 from ..sources.files import list_files
-from ..sources.tables import table
+from ..sources.tables import stored, table
 from ..streaming import flows
 from .registry import query
 from .views import BRONZE, FILES, bronze_view, files_view, sql_time, time_text, with_ctes
@@ -103,12 +103,30 @@ def detect_text_files(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def expect_or_drop(spark: SparkSession, folder: str) -> DataFrame:
+    kept, _ = capture.expect_or_drop(withheld_rows(spark, folder), "has_content", F.col("content").isNotNull())
+    return kept.select("doc_id", F.sha2("content", 256).alias("content_hash"))
+
+
+@query(
+    "expect_or_drop_counts",
+    """
+    SELECT 'has_content' AS name, count(*) FILTER (NOT withheld) AS passed, count(*) FILTER (withheld) AS failed
+    FROM (SELECT doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS withheld FROM documents)
+    """,
+)
+def expect_or_drop_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows are written; their counts come from the same pass."""
+    kept, seen = capture.expect_or_drop(withheld_rows(spark, folder), "has_content", F.col("content").isNotNull())
+    stored(kept, "kept")
+    return capture.constraint_counts(spark, {"has_content": seen})
+
+
+def withheld_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as bytes; those marked toxic have none."""
     withheld = table(spark, folder, "labels").filter("toxic = 1").select("doc_id", F.lit(True).alias("withheld"))
     documents = table(spark, folder, "documents").join(withheld, "doc_id", "left")
     content = F.when(F.col("withheld").isNull(), F.col("text").cast("binary"))
-    rows = documents.select("doc_id", content.alias("content"))
-    kept, _ = capture.expect_or_drop(rows, "has_content", F.col("content").isNotNull())
-    return kept.select("doc_id", F.sha2("content", 256).alias("content_hash"))
+    return documents.select("doc_id", content.alias("content"))
 
 
 def written_files(spark: SparkSession, folder: str) -> str:

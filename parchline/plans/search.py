@@ -245,6 +245,20 @@ def model_guard(spark: SparkSession, folder: str) -> DataFrame:
     return search.guard_model(index, documents.select(F.col("lang").alias("query_model")).distinct())
 
 
+@query(
+    "model_guard_mixed",
+    """
+    SELECT lang AS query_model, low AS index_model, low = high AND lang = low AS allowed
+    FROM (SELECT DISTINCT lang FROM documents), (SELECT min(lang) AS low, max(lang) AS high FROM documents)
+    """,
+)
+def model_guard_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """An index over all documents, whose vectors come from several models: nobody may search it."""
+    documents = table(spark, folder, "documents")
+    index = documents.select(F.col("lang").alias("embedding_model"))
+    return search.guard_model(index, documents.select(F.col("lang").alias("query_model")).distinct())
+
+
 def asking_view(spark: SparkSession, folder: str) -> DataFrame:
     """Requests with vectors and the groups of their reader (by request number)."""
     groups = memberships_view(spark, folder).groupBy("principal").agg(F.collect_set("acl_group").alias("groups"))
@@ -281,6 +295,41 @@ RETRIEVED = [
 ]
 
 
+def retrieved(spark: SparkSession, folder: str, **defaults) -> tuple[DataFrame, DataFrame]:
+    """Gold and its hits, under the retrieval rules with some defaults changed."""
+    body = RETRIEVAL_RULES["retrieval"]
+    config = {"retrieval": {**body, "defaults": {**body["defaults"], **defaults}}}
+    # Gold is a table: both searches, the rerank and the citation join read it, none recomputes it.
+    gold = stored(gold_view(spark, folder), "gold")
+    return gold, search.retrieve(gold, asking_view(spark, folder), config, MODEL)
+
+
+@query(
+    "retrieve_dense_only",
+    with_ctes(
+        *RETRIEVED[:-3],
+        "candidates AS (SELECT * FROM dense_wide)",
+        sql_rerank("better", "candidates", "50"),
+        select="SELECT query_id, item_id, rank, score FROM better JOIN limits USING (query_id) WHERE rank <= narrow",
+    ),
+)
+def retrieve_dense_only(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors alone find the candidates; they are reranked as usual."""
+    return retrieved(spark, folder, query_type="dense")[1].select("query_id", "item_id", "rank", "score")
+
+
+@query(
+    "retrieve_no_rerank",
+    with_ctes(
+        *RETRIEVED[:-1],
+        select="SELECT query_id, item_id, rank, score FROM candidates JOIN limits USING (query_id) WHERE rank <= narrow",
+    ),
+)
+def retrieve_no_rerank(spark: SparkSession, folder: str) -> DataFrame:
+    """Hybrid search whose fused order is final."""
+    return retrieved(spark, folder, rerank=False)[1].select("query_id", "item_id", "rank", "score")
+
+
 @query(
     "retrieve_batch",
     with_ctes(
@@ -296,9 +345,7 @@ def retrieve_batch(spark: SparkSession, folder: str) -> DataFrame:
     from ..operators.gold import citations
     from .views import instances_view
 
-    # Gold is a table: both searches, the rerank and the citation join read it, none recomputes it.
-    gold = stored(gold_view(spark, folder), "gold")
-    hits = search.retrieve(gold, asking_view(spark, folder), RETRIEVAL_RULES, MODEL)
+    gold, hits = retrieved(spark, folder)
     cited = search.with_citations(hits, gold, citations(instances_view(spark, folder)))
     return cited.select("query_id", "item_id", "rank", "score", "source_path", "file_name")
 

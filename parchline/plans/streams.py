@@ -184,6 +184,7 @@ def stream_safety_breach(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_progress_metrics", "SELECT 'progress' AS flow, count(*) AS input_rows FROM events")
 def stream_progress_metrics(spark: SparkSession, folder: str) -> DataFrame:
     counts = monitors.hourly_counts(event_stream(spark, folder), "ts", ["event_type"])
-    running, _ = run_to_table(spark, counts, "progress")
-    progress = monitors.progress_table(spark, [running])
-    return progress.groupBy("flow").agg(F.sum("input_rows").alias("input_rows"))
+    with monitors.ProgressLog(spark, fresh_dir(spark, "progress-log")) as log:
+        running, _ = run_to_table(spark, counts, "progress")
+        log.wait(running)
+    return log.table().groupBy("flow").agg(F.sum("input_rows").alias("input_rows"))

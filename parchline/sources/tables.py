@@ -45,13 +45,17 @@ def read_table(spark: SparkSession, folder: str, schema: str, before: int | None
     ``before`` leaves out that batch and later ones. A flow that looks up its own output needs it:
     when a batch is replayed, its first attempt must not count as already done.
     """
-    schema = f"{schema}, batch_id bigint"
+    table_ = read_rows(spark, folder, f"{schema}, batch_id bigint")
+    return table_ if before is None else table_.filter(F.col("batch_id") < before)
+
+
+def read_rows(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """A table that need not exist yet."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.exists(path):
         return spark.createDataFrame([], schema)
-    table_ = spark.read.schema(schema).parquet(folder)
-    return table_ if before is None else table_.filter(F.col("batch_id") < before)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def stream_table(spark: SparkSession, folder: str, schema: str, max_files: int | None = None) -> DataFrame:
@@ -62,12 +66,14 @@ def stream_table(spark: SparkSession, folder: str, schema: str, max_files: int |
     return reader.parquet(folder).drop("batch_id")
 
 
-def sync_mirror(folder: str, after: DataFrame, changes: DataFrame, key: str, buckets: int = 64) -> None:
+def sync_mirror(
+    folder: str, after: DataFrame, changes: DataFrame, key: str, buckets: int = 64, files_per_bucket: int = 4
+) -> None:
     """Bring a mirror of a table up to date by rewriting only the buckets that have changes.
 
     ``changes`` lists changed keys, deletions included; other buckets keep their files. Each
     rewritten bucket gets one row without key, so that one left empty is overwritten too. Choose
-    ``buckets`` so that one of them is a few files; it must not change for a given folder.
+    ``buckets`` so that one of them is ``files_per_bucket`` files; it must not change for a given folder.
     """
 
     def bucket(df: DataFrame) -> DataFrame:
@@ -75,7 +81,8 @@ def sync_mirror(folder: str, after: DataFrame, changes: DataFrame, key: str, buc
 
     touched = bucket(changes.select(key)).select("bucket").distinct()
     rows = bucket(after).join(touched, "bucket", "left_semi").unionByName(touched, allowMissingColumns=True)
-    rows.write.partitionBy("bucket").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
+    dealt = rows.repartition(buckets, "bucket", F.pmod(F.xxhash64(key, F.lit(1)), F.lit(files_per_bucket)))
+    dealt.write.partitionBy("bucket").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
 
 
 def read_mirror(spark: SparkSession, folder: str, key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Any, Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -18,10 +18,9 @@ from ..operators.capture import enrich
 from ..operators.chunks import chunk
 from ..operators.gold import gold_rows, reference_parts
 from ..operators.lifecycle import instances, latest_instance, new_content, reconcile
-from ..operators.rules import CHUNKING_RULES, EXTRACTION_RULES
+from ..operators.rules import CHUNKING_RULES
 from ..operators.sections import SECTIONS_TYPE, extract
 from ..sources.files import stream_files
-from ..sources.parts import file_parts
 from ..sources.tables import read_table, stream_table, write_batch
 
 # The table schemas.
@@ -85,10 +84,12 @@ def capture_flow(spark: SparkSession, source: str, root: str, max_files: int | N
 def extraction_flow(
     spark: SparkSession,
     root: str,
-    config: dict[str, Any] = EXTRACTION_RULES,
-    parts_reader=file_parts,
+    config: dict[str, Any],
+    parts_reader: Callable[[Column, Column], Column],
     max_files: int | None = None,
 ):
+    """``parts_reader`` opens the files, see ``operators.sections.extract``."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         done = read_table(spark, f"{root}/extracted", EXTRACTED, before=batch_id)
         fresh = extract(new_content(batch, done), parts_reader, config)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
-from typing import Iterable
+import threading
+from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from ..operators.evaluate import breach_windows
+from ..sources.tables import read_rows
 
 PROGRESS = (
     "flow string, run_id string, batch_id bigint, timestamp string, input_rows bigint, "
@@ -50,26 +53,59 @@ def safety_breaches(events: DataFrame, time: str, breached: Column, late: str =
     return breach_windows(events.withWatermark(time, late), time, breached, width)
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """A finished or running flow's recent progress, one row per micro-batch."""
-    rows = []
-    for report in query.recentProgress:
-        item = json.loads(report.json) if hasattr(report, "json") else report
-        rows.append(
-            (
-                item.get("name"),
-                item["runId"],
-                int(item["batchId"]),
-                item["timestamp"],
-                int(item["numInputRows"]),
-                float(item.get("processedRowsPerSecond") or 0.0),
-                int(item.get("durationMs", {}).get("triggerExecution", 0)),
-                json.dumps(item.get("sources", []), default=str),
-            )
-        )
-    return rows
-
-
-def progress_table(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """Progress of flows as a table; it has one row per recent micro-batch."""
-    return spark.createDataFrame([row for q in queries for row in progress_rows(q)], PROGRESS)
+def _progress_row(report: StreamingQueryProgress) -> tuple:
+    item = json.loads(report.json)
+    return (
+        item.get("name"),
+        item["runId"],
+        int(item["batchId"]),
+        item["timestamp"],
+        int(item["numInputRows"]),
+        float(item.get("processedRowsPerSecond") or 0.0),
+        int(item.get("durationMs", {}).get("triggerExecution", 0)),
+        json.dumps(item.get("sources", []), default=str),
+    )
+
+
+class ProgressLog(StreamingQueryListener):
+    """Progress of all flows as a table: one row per micro-batch, however many there are.
+
+    Used as a context around the flows. Rows are appended as files of ``rows_per_file`` and when a flow ends;
+    ``wait`` returns once everything a flow reported has been written.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, rows_per_file: int = 64):
+        self.spark, self.folder, self.rows_per_file = spark, folder, rows_per_file
+        self._rows: list[tuple] = []
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._rows.append(_progress_row(event.progress))
+        if len(self._rows) >= self.rows_per_file:
+            self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        self._write()
+        self._ended[str(event.runId)].set()
+
+    def _write(self) -> None:
+        if self._rows:
+            self.spark.createDataFrame(self._rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.folder)
+            self._rows = []
+
+    def wait(self, query: StreamingQuery, timeout: float = 60) -> None:
+        if not self._ended[str(query.runId)].wait(timeout):
+            raise TimeoutError(f"no end of flow {query.name} was reported in {timeout} s")
+
+    def table(self) -> DataFrame:
+        return read_rows(self.spark, self.folder, PROGRESS)

@@ -1,4 +1,4 @@
-"""Extraction of real office files, and the row form of each method."""
+"""Capture and extraction of office files, and the row form of each method."""
 
 import io
 import zipfile
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parchline.operators.capture import enrich
 from parchline.operators.chunks import chunk
 from parchline.operators.sections import extract, heading_sections, row_sections
-from parchline.sources.parts import file_parts
+from parchline.plans.views import line_parts
 
 W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
 S = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -48,6 +48,24 @@ def xlsx(rows: list[list[str]], title: str = "Prices") -> bytes:
     )
 
 
+def opened(method, content):
+    """What a reader of office files would give for the files below."""
+    line = lambda text, heading: F.struct(F.lit(text).alias("text"), F.lit(heading).alias("is_heading"))
+    paragraphs = F.array(line("intro", False), line("Title", True), line("body one", False), line("body two", False))
+    rows = F.array(*[F.array(*map(F.lit, r)) for r in (["id", "name"], ["1", "ring"], ["", ""], ["2", ""])])
+    sheets = F.array(F.struct(F.lit("Prices").alias("title"), rows.alias("rows")))
+    return F.when(
+        content.isNotNull(),
+        F.struct(
+            F.when(F.length(content) < 250, "not readable").alias("error"),
+            F.lit(None).cast("array<string>").alias("pages"),
+            F.lit(None).cast("array<array<string>>").alias("ocr_pages"),
+            F.when(method == "python_docx_standard", paragraphs).alias("paragraphs"),
+            F.when(method == "openpyxl_standard", sheets).alias("sheets"),
+        ),
+    )
+
+
 def test_office_files_end_to_end(spark, tmp_path):
     (tmp_path / "team").mkdir()
     (tmp_path / "team" / "a.bin").write_bytes(docx([(None, "intro"), ("H1", "Title"), (None, "body one"), (None, "body two")]))
@@ -57,7 +75,7 @@ def test_office_files_end_to_end(spark, tmp_path):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path))
     bronze = enrich(files, accept_text=True)
     assert {r[0] for r in bronze.select("source_classification_tag").collect()} == {"team"}
-    rows = {r["file_type"] + r["extraction_status"]: r for r in extract(bronze, file_parts).collect()}
+    rows = {r["file_type"] + r["extraction_status"]: r for r in extract(bronze, opened).collect()}
     assert set(rows) == {"docxsuccess", "docxcorrupt", "xlsxsuccess", "textsuccess"}
     assert [(s["heading"], s["text"], s["position"]) for s in rows["docxsuccess"]["sections"]] == [
         (None, "intro", 0),
@@ -69,8 +87,8 @@ def test_office_files_end_to_end(spark, tmp_path):
         ("Prices", "id: 2"),
     ]
     assert rows["textsuccess"]["full_text"] == "free text"
-    assert "ParseError" in rows["docxcorrupt"]["error_message"]
-    chunks = chunk(extract(bronze, file_parts)).collect()
+    assert "not readable" in rows["docxcorrupt"]["error_message"]
+    chunks = chunk(extract(bronze, opened)).collect()
     assert sorted(c["chunk_text"] for c in chunks) == sorted(
         ["intro", "body one\nbody two", "id: 1, name: ring", "id: 2", "free text"]
     )
@@ -81,7 +99,7 @@ def test_decode_branches(spark):
     frame = spark.createDataFrame(rows, "content_hash string, content binary").select(
         "*", F.lit("/x/a").alias("source_path"), F.lit("text").alias("file_type")
     )
-    found = {r["content_hash"]: r for r in extract(frame, file_parts).collect()}
+    found = {r["content_hash"]: r for r in extract(frame, line_parts).collect()}
     assert (found["ok"]["extraction_status"], found["ok"]["full_text"]) == ("success", "a")
     assert (found["blank"]["extraction_status"], found["blank"]["sections"]) == ("empty", [])
     assert found["bad"]["extraction_status"] == "corrupt" and found["bad"]["error_message"]

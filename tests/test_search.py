@@ -104,3 +104,11 @@ def test_vectors_have_unit_length(spark):
     frame = spark.createDataFrame([("some words here",), ("",), ("...",)], "t string")
     vectors = [np.array(r[0]) for r in frame.select(hash_embedding(F.col("t"))).collect()]
     assert [round(float(np.linalg.norm(v)), 5) for v in vectors] == [1.0, 0.0, 0.0]
+
+
+def test_hits_of_many_tasks_rank_as_a_whole(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(q), f"i{n:04d}", float(s)) for n, (q, s) in enumerate(zip(rng.integers(0, 3, 600), rng.integers(0, 9, 600)))]
+    scores = spark.createDataFrame(rows, search.HITS).repartition(13)
+    whole = {tuple(r) for r in search.rank_hits(scores, 7).collect()}
+    assert {tuple(r) for r in search.rank_task_hits(scores, 7, deals=5).collect()} == whole and len(whole) == 21

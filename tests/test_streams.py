@@ -6,6 +6,7 @@ from parchline.operators.monitor import enforce
 from parchline.plans.views import EXTRACTION_CONFIG, line_parts, typed_view
 from parchline.sources.tables import read_table, write_batch
 from parchline.streaming import flows
+from parchline.streaming.monitors import ProgressLog
 
 
 def run_all(spark, root, max_files=None):
@@ -96,3 +97,21 @@ def test_all_citations_stay_beside_gold(spark, tmp_path):
     parts = flows.current_references(spark, root).collect()
     assert {r["source_path"] for p in parts for r in p["source_references"]} == {f"/p/{i}" for i in range(2500)}
     assert flows.current_gold(spark, root).collect()[0]["source_count"] == 2500
+
+
+def test_progress_of_every_batch_is_kept(spark, tmp_path):
+    for i in range(150):
+        (tmp_path / f"{i:03}.txt").write_text(f"line {i}")
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path))
+    with ProgressLog(spark, str(tmp_path / "log")) as log:
+        running = (
+            lines.writeStream.queryName("many")
+            .format("noop")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        flows.finish(running)
+        log.wait(running)
+    rows = log.table().filter("input_rows > 0").collect()
+    assert sorted(r["batch_id"] for r in rows) == list(range(150)) and {r["flow"] for r in rows} == {"many"}
