@@ -2,7 +2,8 @@
 
 Every text is cut into units that together are the whole text: a unit ends behind a line end, or
 behind a sentence mark and the blanks that follow it. A unit's digest is over its normalised words (ASCII
-lower case, single blanks). Units of fewer than ``min_words`` words are never removed. Of equal units
+lower case, single blanks). Every unit with a word has one, whatever its length or script; only units of
+blanks (and, for a caller who asks, of fewer than ``min_words`` words) are never removed. Of equal units
 anywhere in the corpus the earliest ranked stays, by document id and then position; the others go, and
 the documents keep the original offsets of what went.
 
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import words as W
 
-MIN_WORDS = 5
+#: Words of a unit that can be removed: any.
+MIN_WORDS = 1
 
 _ENDS = re.compile(r"[.!?]+[ \t]+|\n")
 
@@ -45,9 +47,9 @@ def units(text: str) -> Iterator[tuple[int, int]]:
 
 
 def digest(unit: str, min_words: int) -> tuple[int, int] | None:
-    """128 bits as two numbers; None if the unit is too short to be removed."""
+    """128 bits as two numbers; None if the unit has too few words to be removed."""
     words = unit.encode("utf-8", "surrogatepass").lower().split()
-    if len(words) < min_words:
+    if len(words) < max(min_words, 1):
         return None
     return struct.unpack("<qq", hashlib.blake2b(b" ".join(words), digest_size=16).digest())
 

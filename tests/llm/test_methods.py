@@ -119,6 +119,13 @@ def test_line_dedup_equals_brute_force(spark, folder, texts):
         assert len(texts[r["doc_id"]]) - sum(b - a for a, b in spans) == len(r["text"])
 
 
+def test_line_dedup_of_short_units_and_unbroken_scripts(spark):
+    chinese, unbroken = "\u5168\u6587" * 400, "x" * 5000
+    rows = [(1, f"All rights reserved.\n\nYes. It is one.\n{chinese}\n{unbroken}\n \nEnd"), (2, f"{chinese}\nall  rights reserved.\n\n \nYes. No.\n{unbroken}\n"), (3, "End\nNo.")]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: rows[0][1], 2: "\n \nNo.\n", 3: ""}
+
+
 def test_quality_on_held_out_labels(spark, folder):
     labels = {r["doc_id"]: r["quality"] for r in table(spark, folder, "labels").collect()}
     found = queries.op4_quality(spark, folder).collect()
