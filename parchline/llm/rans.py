@@ -22,7 +22,8 @@ Files: a table of blocks written by Spark into a folder that all executors share
 document ids in ascending order over the files; the written files are what is read back. Document ids
 must be unique and not null for a defined order; rows with a null id come first, equal ids are
 ordered by their ids' bytes. An empty table gives no blocks. Null and empty texts are documents that hold
-just the end id.
+just the end id. Ids are those of the library with the file as it is: names of added tokens in a text
+become those tokens.
 """
 
 from __future__ import annotations
@@ -204,12 +205,19 @@ class _Words(dict):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.missing: set[str] = set()
 
     def __missing__(self, word: str) -> None:
         self.missing.add(word)
 
+    def crossed(self, text: str, lower: str) -> bool:
+        """Whether the text, or what its words are cut from, holds the name of an added token.
+
+        The library looks for these before all else, so neither the text nor its words can be taken apart.
+        """
+        return any(a in text or a in lower for a in self.added)
+
     def learn(self) -> dict[str, bytes]:
         """Ids of the missing words by the library; all but long ones are kept.
 
@@ -247,13 +255,21 @@ def tokenize(texts: list, path: str, end_id: int) -> list[bytes]:
             raise ValueError("a vocabulary of at most 65,536 ids is needed")
     known, end, out = loaded[path], struct.pack("<H", end_id), []
     for start in range(0, len(texts), 512):
-        split = [_spaced(_lower(t)).replace("\n", " ").split(" ") if t else [] for t in texts[start : start + 512]]
+        split, whole = [], {}
+        for i, text in enumerate(texts[start : start + 512]):
+            lower = _lower(text or "")
+            if known.crossed(text or "", lower):
+                whole[i] = [np.array(known.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()]
+                lower = ""
+            split.append(_spaced(lower).replace("\n", " ").split(" ") if lower else [])
         found = [list(map(known.__getitem__, words)) for words in split]
         if known.missing:
             fresh = known.learn()
             for i, ids in enumerate(found):
                 if None in ids:
                     found[i] = [fresh[w] if x is None else x for w, x in zip(split[i], ids)]
+        for i, ids in whole.items():
+            found[i] = ids
         out += [b"".join(ids) + end for ids in found]
     return out
 

@@ -319,6 +319,19 @@ def test_rans_equals_the_library(spark, folder, texts):
     assert sorted(map(tuple, queries.op10_rans(spark, folder).collect())) == wanted
 
 
+def test_names_of_added_tokens_are_encoded_as_by_the_library(spark):
+    path = P.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "x<|startoftext|>Y, z.", "a <|ENDOFTEXT|> b", "\u03a3 <|ENDOFTEXT|> <|endoftext|>\n\u03a3", "<|endof text|> <|end", "plain words, here."]
+    start, wanted = 0, []
+    for d, text in enumerate(texts):
+        ids = [*whole.encode(text, add_special_tokens=False).ids, 2]
+        wanted.append((d, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, rans.written(docs, path).collect())) == wanted
+
+
 @given(st.text(max_size=80))
 @settings(max_examples=150, deadline=None)
 def test_words_are_encoded_as_in_the_text(text):
