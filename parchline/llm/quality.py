@@ -9,8 +9,9 @@ each one of ten steps of a share or size (shares of upper-case, digit, symbol, r
 lines, equal neighbours among both, line length, length in characters as stored with the row or counted). Language, source, ids
 and labels are never features.
 
-The model is fitted on at most ``MAX_SAMPLE`` labelled rows, chosen by a hash of the row's id, over the
-first ``SAMPLE_WORDS`` distinct slots of each; everything else covers every row and whole texts.
+The model is fitted on at most ``MAX_SAMPLE`` labelled rows, chosen by a hash of the row's id, over all
+slots of each; everything else covers every row and whole texts. The driver holds the sampled rows packed
+and opens one step's rows at a time.
 Fitting is deterministic: the sample is ordered, and the start values come from a fixed seed.
 
 Defined results: null and empty texts have only structure slots and get a score like any other;
@@ -26,6 +27,7 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from . import words as W
@@ -35,10 +37,8 @@ STATS = 11
 STEPS = 10
 SLOTS = WORD_SLOTS + STATS * STEPS
 FACTORS = 8
-#: Rows that the model is fitted on, at most; 12 bytes times SAMPLE_WORDS each bound the driver's share.
+#: Rows that the model is fitted on, at most. A row has at most WORD_SLOTS word slots, packed in at most six bytes each.
 MAX_SAMPLE = 8000
-#: Distinct word slots of a sampled row, at most (the row is scored with all of them).
-SAMPLE_WORDS = 1 << 10
 
 _SYMBOL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,'\"-:;()")
 
@@ -97,27 +97,50 @@ def structure(text: str, words: list[bytes], n_chars: int | None) -> list[int]:
     return [WORD_SLOTS + i * STEPS + s for i, s in enumerate(steps)]
 
 
-def features(text: str | None, n_chars: int | None, known: Slots) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and values of one row."""
+def counted(text: str | None, n_chars: int | None, known: Slots) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word slots in ascending order, their counts, and structure slots of one row."""
     text = text or ""
     if len(known) > W.KEPT_WORDS:
         known.clear()
     words = W.spaced_words(text)
     slots, counts = np.unique(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), return_counts=True)
+    return slots, counts, np.array(structure(text, words, n_chars), np.int64)
+
+
+def weighted(slots: np.ndarray, counts: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All slots of one row and their values."""
     values = np.sqrt(counts)
     values = values / max(float(np.sqrt(values @ values)), 1e-12)
-    stats = structure(text, words, n_chars)
-    return (
-        np.concatenate([slots, np.array(stats, np.int64)]),
-        np.concatenate([values, np.full(len(stats), 1 / np.sqrt(len(stats)))]),
-    )
+    return np.concatenate([slots, stats]), np.concatenate([values, np.full(len(stats), 1 / np.sqrt(len(stats)))])
+
+
+def features(text: str | None, n_chars: int | None, known: Slots) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values of one row."""
+    return weighted(*counted(text, n_chars, known))
+
+
+def packed(slots: np.ndarray, counts: np.ndarray, stats: np.ndarray) -> bytes:
+    """One row: structure slots, steps between word slots, and counts, each byte place by itself."""
+    steps = np.diff(slots, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T
+    places = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(stats.astype("<u2").tobytes() + steps.tobytes() + places.tobytes(), 1)
+
+
+def opened(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``packed`` was given."""
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    stats, raw = raw[: 2 * STATS].view("<u2").astype(np.int64), raw[2 * STATS :]
+    size = len(raw) // 6
+    steps = np.ascontiguousarray(raw[: 2 * size].reshape(2, size).T).view("<u2").reshape(-1)
+    counts = np.ascontiguousarray(raw[2 * size :].reshape(4, size).T).view("<u4").reshape(-1)
+    return np.cumsum(steps, dtype=np.int64), counts.astype(np.int64), stats
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = 8, rate: float = 0.1, batch: int = 32) -> Machine:
-    """Adaptive gradient steps on the logistic loss; the rarer class weighs more, by the root of its share."""
+def fit(rows: list[tuple[bytes, int]], passes: int = 8, rate: float = 0.1, batch: int = 32) -> Machine:
+    """Adaptive gradient steps on the logistic loss over packed rows and their labels; the rarer class weighs more, by the root of its share."""
     dice = np.random.default_rng(7)
     machine = Machine(0.0, np.zeros(SLOTS), dice.normal(0, 0.05, (SLOTS, FACTORS)))
-    positive = sum(y for *_, y in rows)
+    positive = sum(y for _, y in rows)
     if not rows:
         machine.factors[:] = 0
         return machine
@@ -127,7 +150,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = 8, rate: f
     for _ in range(passes):
         order = dice.permutation(len(rows))
         for start in range(0, len(order), batch):
-            chosen = [rows[i] for i in order[start : start + batch]]
+            chosen = [(*weighted(*opened(rows[i][0])), rows[i][1]) for i in order[start : start + batch]]
             sizes = [len(s) for s, _, _ in chosen]
             slots = np.concatenate([s for s, _, _ in chosen])
             values = np.concatenate([v for _, v, _ in chosen])[:, None]
@@ -185,18 +208,13 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> M
         slots_of = Slots()
 
         def work(texts: list, sizes: list) -> list[pa.Array]:
-            found = [features(t, n, slots_of) for t, n in zip(texts, sizes)]
-            cut = [(np.concatenate([s[:-STATS][:SAMPLE_WORDS], s[-STATS:]]), np.concatenate([v[:-STATS][:SAMPLE_WORDS], v[-STATS:]])) for s, v in found]
-            return [
-                pa.array([s.astype("<i4").tobytes() for s, _ in cut], pa.binary()),
-                pa.array([v.astype("<f8").tobytes() for _, v in cut], pa.binary()),
-            ]
+            return [pa.array([packed(*counted(t, n, slots_of)) for t, n in zip(texts, sizes)], pa.binary())]
 
         return work
 
-    rows = W.per_text(sample, make, "slots binary, weights binary", extra=["size"]).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["slots"], r["weights"]))
-    return fit([(np.frombuffer(r["slots"], "<i4").astype(np.int64), np.frombuffer(r["weights"], "<f8"), r["quality"]) for r in rows])
+    rows = W.per_text(sample, make, "features binary", extra=["size"]).collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["features"]))
+    return fit([(bytes(r["features"]), r["quality"]) for r in rows])
 
 
 def scored(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:

@@ -137,6 +137,19 @@ def test_quality_on_held_out_labels(spark, folder):
     assert found == queries.op4_quality(spark, folder).collect()
 
 
+def test_quality_learns_from_all_words_of_long_rows(spark):
+    long = " ".join(f"w{i}" for i in range(6000)) + " w5 w5"
+    known = quality.Slots()
+    row = quality.counted(long, None, known)
+    assert len(row[0]) > 4000
+    assert all((a == b).all() for a, b in zip(row, quality.opened(quality.packed(*row))))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, long if i % 2 else "short") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    machine = quality.train(docs, labels)
+    assert (machine.linear[row[0]] != 0).all()
+
+
 def test_sum_of_squares_identity():
     dice = np.random.default_rng(3)
     machine = quality.Machine(0.1, dice.normal(size=quality.SLOTS) / 9, dice.normal(size=(quality.SLOTS, 3)) / 9)
