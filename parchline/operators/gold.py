@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.vector import hash_embedding
 
-# So many citations are carried in a gold row itself; ``reference_parts``, which the gold flow writes beside
-# gold, holds all of them.
-INLINE_REFERENCES = 1000
+# So many citations are gathered in one part of ``reference_parts``; a gold row carries those of all parts.
+PART_REFERENCES = 1000
 
 
 def resolve_acl(documents: DataFrame, mapping: DataFrame, tag: str = "source_classification_tag") -> DataFrame:
@@ -54,7 +53,7 @@ def citations(current: DataFrame) -> DataFrame:
     return current.filter("is_active").select("content_hash", "source_path", "file_name").distinct()
 
 
-def reference_parts(current: DataFrame, per_part: int = INLINE_REFERENCES) -> DataFrame:
+def reference_parts(current: DataFrame, per_part: int = PART_REFERENCES) -> DataFrame:
     """Citations packed as ``content_hash, part_no, n_parts, source_count, source_references``.
 
     A content with up to ``per_part`` sources is one row. One with more is split by path hash into
@@ -86,22 +85,30 @@ def reference_parts(current: DataFrame, per_part: int = INLINE_REFERENCES) -> Da
     )
 
 
+def all_references(current: DataFrame, per_part: int = PART_REFERENCES) -> DataFrame:
+    """Every citation of a content in one ordered row: ``content_hash, source_count, source_references``.
+
+    The last step gathers parts, not instances, so a hot content sends it one row per part.
+    """
+    return reference_parts(current, per_part).groupBy("content_hash").agg(
+        F.max("source_count").alias("source_count"),
+        F.array_sort(F.flatten(F.collect_list("source_references"))).alias("source_references"),
+    )
+
+
 def gold_rows(
     chunks: DataFrame,
     current: DataFrame,
     model: str,
     embed: Callable[[Column], Column] = hash_embedding,
     acl: Callable[[DataFrame], DataFrame] = acl_most_restrictive,
-    per_part: int = INLINE_REFERENCES,
+    per_part: int = PART_REFERENCES,
 ) -> DataFrame:
-    """Active chunks with their citations, access group and vector.
+    """Active chunks with all their citations, access group and vector.
 
-    Instances are reduced to one row per content before the join, so chunks are not multiplied. A
-    content with more than ``per_part`` sources carries its first part only; ``source_count`` shows
-    it and ``reference_parts`` has the rest.
+    Instances are reduced to one row per content before the join, so chunks are not multiplied.
     """
-    first = reference_parts(current, per_part).filter("part_no = 0")
-    content = acl(current).join(first.drop("part_no", "n_parts"), "content_hash", "left")
+    content = acl(current).join(all_references(current, per_part), "content_hash", "left")
     return (
         chunks.filter("is_active")
         .join(content, "content_hash")

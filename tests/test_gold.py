@@ -59,6 +59,20 @@ def test_gold_has_one_row_per_chunk(spark):
     assert gold["k1"]["source_count"] == 2 and len(gold["k1"]["embedding_vector"]) == 64
 
 
+def test_gold_carries_every_source(spark):
+    chunks = spark.createDataFrame([("k1", "hot", "text"), ("k2", "one", "text")], "chunk_id string, content_hash string, chunk_text string").select(
+        "*",
+        F.lit(None).cast("string").alias("section_heading"),
+        F.lit("m").alias("chunking_method_used"),
+        F.lit("e").alias("extraction_method_used"),
+        F.lit(True).alias("is_active"),
+    )
+    rows = [("hot", f"/h/{i}", "g", 1, True) for i in range(2500)] + [("one", "/1", "g", 1, True)]
+    gold = {r["chunk_id"]: r for r in gold_rows(chunks, current(spark, rows), "model").collect()}
+    assert [s["source_path"] for s in gold["k1"]["source_references"]] == sorted(f"/h/{i}" for i in range(2500))
+    assert gold["k1"]["source_count"] == 2500 and len(gold["k2"]["source_references"]) == 1
+
+
 def test_dedup_and_lookup(spark):
     bronze = spark.createDataFrame([("h", "/b"), ("h", "/a"), ("k", "/c")], "content_hash string, source_path string")
     assert sorted(tuple(r) for r in one_per_content(bronze).collect()) == [("h", "/a"), ("k", "/c")]
