@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_ROWS = 4096
-PART_CHARS = 16 * 1024 * 1024
 
 
 def running(
@@ -67,15 +66,24 @@ def concat_ordered(
     order: str,
     text: str,
     separator: str,
-    part_chars: int = PART_CHARS,
+    part_chars: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Join the texts of each group in order: ``keys, part_no, text``.
 
-    A result of up to ``part_chars`` characters is one row, part 0. A longer one continues in
-    further parts (joining the parts by the separator gives the whole), so no cell and no task has
-    to hold an unbounded group.
+    Each group is one row, part 0, however long, joined from one row per block; a text beyond what a cell can hold (2 GB) is an
+    error. A caller who names ``part_chars`` gets longer results in further parts (joining the parts
+    by the separator gives the whole).
     """
+    if part_chars is None:
+        some = F.exists("_parts.t", lambda t: t.isNotNull())
+        blocks = (
+            df.groupBy(*keys, F.floor(F.col(order) / F.lit(block_rows)).alias("_block"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("_parts"))
+            .select(*keys, "_block", F.when(some, F.array_join(F.col("_parts.t"), separator)).alias("t"))
+        )
+        whole = blocks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_block", "t"))).alias("_parts"))
+        return whole.select(*keys, F.lit(0).alias("part_no"), F.array_join(F.col("_parts.t"), separator).alias(text))
     length = F.length(text).cast("long") + F.lit(len(separator))
     placed = running(df.select(*keys, order, text), keys, order, sums={"_at": length}, block_rows=block_rows)
     return (

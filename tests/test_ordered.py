@@ -47,6 +47,24 @@ def test_concat_in_parts_is_whole(spark):
     assert {d: "|".join(p) for d, p in joined.items()} == whole
 
 
+def test_concat_by_blocks_is_whole(spark):
+    rows = [*parts(13), ("n", 0, None, False), ("n", 9, None, False), ("n", 10, "x", False), ("n", 30, "", False)]
+    frame = spark.createDataFrame(rows, "doc string, pos int, text string, flag boolean")
+    whole = {d: "|".join(x[2] for x in sorted(rows, key=lambda x: x[1]) if x[0] == d and x[2] is not None) for d in {x[0] for x in rows}}
+    found = concat_ordered(frame, ["doc"], "pos", "text", "|", block_rows=3).collect()
+    assert [r["part_no"] for r in found] == [0] * len(whole) and {r["doc"]: r["text"] for r in found} == whole
+
+
+def test_long_sections_are_one_row_and_cut_as_one_text(spark):
+    rows = spark.sql("SELECT 'd' AS doc, CAST(id AS int) AS pos, repeat(concat('p', id, ' '), 3000000) AS text FROM range(3)")
+    found = heading_table(rows, "doc", "pos", "text", F.lit(False))
+    whole = "\n".join(f"p{i} " * 2999999 + f"p{i}" for i in range(3))
+    assert [(r["part_no"], r["text"] == whole) for r in found.collect()] == [(0, True)]
+    chunks = structured_table(found, "doc", 1 << 20, 1 << 10).orderBy("chunk_index").collect()
+    assert [r["chunk_index"] for r in chunks] == list(range(len(chunks)))
+    assert [r["chunk_text"] for r in chunks] == windows(whole, 1 << 20, 1 << 10)
+
+
 def test_fixed_windows_over_sections(spark):
     rows = parts(3)
     frame = page_table(spark.createDataFrame(rows, "doc string, pos int, text string, flag boolean"), "doc", "pos", "text")
