@@ -43,9 +43,12 @@ def not_seen(new: DataFrame, seen: DataFrame, key: str = "content_hash") -> Data
 def new_content(bronze: DataFrame, extracted: DataFrame, retry_failed: bool = True) -> DataFrame:
     """Content to extract: valid, one row per hash, not extracted before.
 
-    With ``retry_failed`` only ``success`` and ``empty`` count as done.
+    With ``retry_failed`` an attempt that failed (a parser error, corrupt content) is made again, while
+    ``success``, ``empty`` and ``no_extraction_rule_matched`` count as done: no rule matching is a decision of
+    the rule set, which gives the same answer on every retry, and retrying it would add a row per batch.
     """
-    done = extracted.filter(F.col("extraction_status").isin("success", "empty")) if retry_failed else extracted
+    final = ("success", "empty", "no_extraction_rule_matched")
+    done = extracted.filter(F.col("extraction_status").isin(*final)) if retry_failed else extracted
     return not_seen(one_per_content(valid_only(bronze)), done)
 
 

@@ -11,6 +11,7 @@ from ..sources.tables import read_mirror, stored, sync_mirror, table, write_batc
 from ..streaming import flows
 from .registry import query
 from .views import (
+    EXTRACTION_CONFIG,
     ACL_MAP,
     BRONZE,
     FILES,
@@ -302,6 +303,6 @@ def stream_rerun_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     for batch in range(2):
         write_batch(bronze, f"{root}/bronze", batch)
         for _ in range(2):
-            flows.finish(flows.extraction_flow(spark, root, parts_reader=line_parts))
+            flows.finish(flows.extraction_flow(spark, root, EXTRACTION_CONFIG, line_parts))
     extracted = flows.read_table(spark, f"{root}/extracted", flows.EXTRACTED)
     return extracted.select("content_hash", F.col("extraction_status").isNotNull().alias("present"))
