@@ -6,13 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import byte_bpe, chat, decontaminate, jaccard_join, line_dedup, pii, quality, rans, topk, url_filter
+from . import alignment, byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, manifest, pii, quality, rans, topk, url_filter
 
 #: (rule, verdict); a rule is host and path.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 BYTE_BPE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,9 +74,28 @@ def op10_rans(spark: SparkSession, folder: str) -> DataFrame:
     return rans.written(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every documents row a leaf; rows whose crc32 of the decimal id is divisible by 5 are tampered."""
+    docs = table(spark, folder, "documents")
+    found = manifest.manifest(docs, manifest.tamper_rule(F.col("doc_id")))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "source")
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.aligned(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_jaccard_join, op3_url_filter, op4_quality, op5_decontaminate, op6_pii, op7_byte_bpe, op8_topk, op9_chat, op10_rans)
+    for f in (
+        op1_line_dedup, op2_jaccard_join, op3_url_filter, op4_quality, op5_decontaminate, op6_pii, op7_byte_bpe, op8_topk,
+        op9_chat, op10_rans, op11_merkle, op12_alignment, op13_fingerprints,
+    )
 }
 
 ORACLE: dict[str, str] = {}
