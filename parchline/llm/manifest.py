@@ -50,11 +50,12 @@ def _source_key(source: Column) -> Column:
 def _levels(nodes: DataFrame, purpose: str) -> tuple[DataFrame, list[DataFrame]]:
     """Build trees bottom-up from ``nodes`` (_g, _total, idx, h: level 0 of every group).
 
-    Returns the tops (_g, level, h) and per level the siblings of its non-top nodes (_g, idx, left, right).
-    A node at level l is a top when the group's level l has one node only: _total <= F^l.
+    Returns the tops (_g, level, h) and, per level l, the nodes of level l + 1 that have children:
+    (_g, pidx, hs), hs the digests of the children in order. A node at level l is a top when the group's
+    level l has one node only: _total <= F^l.
     """
     nodes = nodes.withColumn("level", F.lit(0))
-    tops, siblings, level = [], [], 0
+    tops, parents, level = [], [], 0
     while True:
         span = FANOUT**level
         tops.append(nodes.filter(F.col("_total") <= span).select("_g", "level", "h"))
@@ -64,44 +65,56 @@ def _levels(nodes: DataFrame, purpose: str) -> tuple[DataFrame, list[DataFrame]]
         kids = inner.groupBy("_g", "_total", (F.col("idx") / FANOUT).cast("long").alias("pidx")).agg(
             F.array_sort(F.collect_list(F.struct("idx", "h"))).alias("kids")
         )
-        kids = stored(kids.withColumn("hs", F.transform("kids", lambda k: k["h"])), f"{purpose}-level{level + 1}")
-        hs = F.col("hs")
-        told = F.transform(
-            "kids",
-            lambda k, i: F.struct(
-                k["idx"].alias("idx"),
-                F.array_join(F.slice(hs, 1, i), "").alias("left"),
-                F.array_join(F.slice(hs, i + 2, F.size(hs)), "").alias("right"),
-            ),
-        )
-        siblings.append(kids.select("_g", F.explode(told).alias("s")).select("_g", "s.*"))
+        kids = stored(kids.select("_g", "_total", "pidx", F.transform("kids", lambda k: k["h"]).alias("hs")), f"{purpose}-level{level + 1}")
+        parents.append(kids.select("_g", "pidx", "hs"))
         nodes = kids.select(
-            "_g", "_total", F.col("pidx").alias("idx"), F.sha2(F.array_join(hs, ""), 256).alias("h"), F.lit(level + 1).alias("level")
+            "_g", "_total", F.col("pidx").alias("idx"), F.sha2(F.array_join("hs", ""), 256).alias("h"), F.lit(level + 1).alias("level")
         )
         level += 1
     top = tops[0]
     for more in tops[1:]:
         top = top.unionByName(more)
-    return top, siblings
+    return top, parents
+
+
+def _own_path(idx: Column) -> Column:
+    """The node's (left, right) siblings, read from its parent's ``hs``, before the parent's ``path``."""
+    at = (idx % FANOUT).cast("int")
+    hs = F.col("hs")
+    own = F.struct(F.array_join(F.slice(hs, 1, at), "").alias("l"), F.array_join(F.slice(hs, at + 2, F.size(hs)), "").alias("r"))
+    return F.concat(F.array(own), F.col("path"))
 
 
-def _descend(siblings: list[DataFrame], tops: DataFrame, purpose: str) -> DataFrame:
-    """Paths of all level-0 nodes: (_g, idx, path, and the carried columns of ``tops``).
+def _paths(nodes: DataFrame, parents: list[DataFrame], tops: DataFrame, purpose: str) -> DataFrame:
+    """``nodes`` (level 0: _g, idx, ...) with ``path`` and the carried columns of ``tops``.
 
     ``tops`` holds (_g, level, path, ...): the path from each group's top upwards. A child's path is its own
-    (left, right) followed by its parent's path; each level is one join by (group, parent index).
+    (left, right), cut from its parent's digests, followed by its parent's path; each level is one join by
+    (group, parent index), at most ``FANOUT`` children a key. Paths of inner levels are written; those of
+    level 0 are only formed where they are used.
     """
     carried = [c for c in tops.columns if c not in ("_g", "level", "path")]
-    above = tops.filter(F.col("level") == len(siblings)).select("_g", F.lit(0).cast("long").alias("idx"), "path", *carried)
-    for level in reversed(range(len(siblings))):
-        parents = above.withColumnRenamed("idx", "pidx")
-        here = siblings[level].withColumn("pidx", (F.col("idx") / FANOUT).cast("long")).join(parents, ["_g", "pidx"])
-        own = F.array(F.struct(F.col("left").alias("l"), F.col("right").alias("r")))
-        here = stored(here.select("_g", "idx", F.concat(own, "path").alias("path"), *carried), f"{purpose}-paths{level}")
-        above = here.unionByName(
-            tops.filter(F.col("level") == level).select("_g", F.lit(0).cast("long").alias("idx"), "path", *carried)
+
+    def tops_at(level: int) -> DataFrame:
+        return tops.filter(F.col("level") == level).select("_g", F.lit(0).cast("long").alias("idx"), "path", *carried)
+
+    above = tops_at(len(parents))
+    for level in reversed(range(len(parents))):
+        # Parents at level + 1, each with its children's digests and its own path.
+        upper = parents[level].join(above.withColumnRenamed("idx", "pidx"), ["_g", "pidx"])
+        if level == 0:
+            break
+        children = upper.select("_g", "pidx", "hs", "path", *carried, F.posexplode("hs").alias("at", "h")).withColumn(
+            "idx", F.col("pidx") * FANOUT + F.col("at")
         )
-    return above
+        here = children.select("_g", "idx", _own_path(F.col("idx")).alias("path"), *carried)
+        above = stored(here, f"{purpose}-paths{level}").unionByName(tops_at(level))
+    else:
+        return nodes.join(tops_at(0), ["_g", "idx"])
+    single = nodes.filter(F.col("_total") == 1).join(tops_at(0), ["_g", "idx"])
+    inner = nodes.filter(F.col("_total") > 1).withColumn("pidx", (F.col("idx") / FANOUT).cast("long"))
+    inner = inner.join(upper, ["_g", "pidx"]).withColumn("path", _own_path(F.col("idx"))).drop("pidx", "hs")
+    return inner.unionByName(single)
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
@@ -124,20 +137,19 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     leaves = ranked(rows, [F.col("doc_id").asc_nulls_first(), F.col("leaf")], "_g", "manifest-leaves")
     leaves = leaves.withColumn("idx", F.col("_rank"))
 
-    source_tops, source_siblings = _levels(leaves.select("_g", "_total", "idx", F.col("leaf").alias("h")), "manifest-source")
+    source_tops, source_parents = _levels(leaves.select("_g", "_total", "idx", F.col("leaf").alias("h")), "manifest-source")
     subroots = stored(source_tops, "manifest-subroots")
     # The root tree: one group, subroots in the order of their key.
     placed = ranked(subroots.select(F.col("_g").alias("_sg"), "level", "h", F.lit("").alias("_g")), [F.col("_sg")], "_g", "manifest-order")
-    root_tops, root_siblings = _levels(placed.select("_g", "_total", F.col("_rank").alias("idx"), "h"), "manifest-root")
-    root = root_tops.select(F.col("h").alias("root"), F.lit("").alias("_g"))
-    root_paths = _descend(root_siblings, root.select("_g", F.lit(len(root_siblings)).alias("level"), F.array().cast("array<struct<l:string,r:string>>").alias("path"), "root"), "manifest-root")
-    # The subroots' paths, keyed by their place, become the tops of the source trees.
-    tops = placed.select("_g", F.col("_rank").alias("idx"), F.col("_sg"), "level", F.col("h").alias("subroot")).join(
-        root_paths, ["_g", "idx"]
+    placed = placed.withColumn("idx", F.col("_rank"))
+    root_tops, root_parents = _levels(placed.select("_g", "_total", "idx", "h"), "manifest-root")
+    no_path = F.array().cast("array<struct<l:string,r:string>>")
+    root_top = root_tops.select("_g", F.lit(len(root_parents)).alias("level"), no_path.alias("path"), F.col("h").alias("root"))
+    # The subroots' paths in the root tree become the tops of the source trees.
+    tops = _paths(placed, root_parents, root_top, "manifest-root").select(
+        F.col("_sg").alias("_g"), "level", "path", F.col("h").alias("subroot"), "root"
     )
-    tops = tops.select(F.col("_sg").alias("_g"), "level", "path", "subroot", "root")
-    paths = _descend(source_siblings, tops, "manifest-source")
-    found = leaves.join(paths, ["_g", "idx"])
+    found = _paths(leaves, source_parents, stored(tops, "manifest-tops"), "manifest-source")
     proof = F.sha2(F.array_join(F.transform("path", lambda s: F.concat(s["l"], s["r"])), ""), 256)
     start = F.coalesce(F.col("tleaf"), F.col("leaf"))
     folded = F.aggregate("path", start, lambda h, s: F.sha2(F.concat(s["l"], h, s["r"]), 256))
