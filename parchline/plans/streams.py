@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.gold import resolve_acl
 from ..operators.lifecycle import instances
 from ..session import fresh_dir
-from ..sources.tables import table, write_batch
+from ..sources.tables import exists, stored, table, write_batch
 from ..streaming import flows, monitors
 from .gold import MODEL
 from .lifecycle import labelled, now
@@ -44,17 +44,17 @@ uniq AS (
 """
 
 
-@query(
-    "stream_bronze_to_chunks",
-    with_ctes(
-        DISPATCHED.replace(UNIQUE.strip(), _STREAM_UNIQUE.strip()),
-        select=f"""
-        SELECT sha256(content_hash || '_' || chunk_index) AS chunk_id, content_hash, chunk_index, md5(piece) AS text_md5,
-               heading AS section_heading, method AS chunking_method_used, extraction_method_used,
-               {sql_approx_tokens("piece")} AS token_count
-        FROM dispatched JOIN extracted USING (content_hash)""",
-    ),
+_STREAM_CHUNKS = with_ctes(
+    DISPATCHED.replace(UNIQUE.strip(), _STREAM_UNIQUE.strip()),
+    select=f"""
+    SELECT sha256(content_hash || '_' || chunk_index) AS chunk_id, content_hash, chunk_index, md5(piece) AS text_md5,
+           heading AS section_heading, method AS chunking_method_used, extraction_method_used,
+           {sql_approx_tokens("piece")} AS token_count
+    FROM dispatched JOIN extracted USING (content_hash)""",
 )
+
+
+@query("stream_bronze_to_chunks", _STREAM_CHUNKS)
 def stream_bronze_to_chunks(spark: SparkSession, folder: str) -> DataFrame:
     root = fresh_dir(spark, "flow")
     bronze = typed_view(spark, folder)
@@ -65,6 +65,32 @@ def stream_bronze_to_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_digest(flows.read_table(spark, f"{root}/chunks", flows.CHUNKS))
 
 
+def replay(spark: SparkSession, folder: str, batch_id: int, schema: str) -> None:
+    """Write a batch again, as its flow does when it is replayed: same rows, new file names."""
+    if not exists(spark, f"{folder}/batch_id={batch_id}"):
+        return
+    rows = stored(spark.read.schema(schema).parquet(f"{folder}/batch_id={batch_id}"), "replayed")
+    write_batch(rows, folder, batch_id)
+
+
+@query("stream_replay_once", _STREAM_CHUNKS)
+def stream_replay_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Capture, extraction and chunking each write their batch again after it was handed on; every flow
+    runs again: no batch is taken twice, so instances are not doubled and chunks equal the batch result."""
+    root = fresh_dir(spark, "replay")
+    bronze = typed_view(spark, folder)
+    for batch, present in enumerate((True, False)):
+        write_batch(labelled(spark, folder, bronze, present).select(*bronze.columns), f"{root}/bronze", batch)
+        for _ in range(2):
+            flows.finish(flows.extraction_flow(spark, root, EXTRACTION_CONFIG, line_parts))
+            flows.finish(flows.instance_flow(spark, root))
+            flows.finish(flows.chunk_flow(spark, root))
+            flows.finish(flows.gold_flow(spark, root, MODEL))
+            for name, schema in (("bronze", flows.BRONZE), ("extracted", flows.EXTRACTED), ("chunks", flows.CHUNKS)):
+                replay(spark, f"{root}/{name}", batch, schema)
+    return chunk_digest(flows.read_table(spark, f"{root}/chunks", flows.CHUNKS))
+
+
 @query(
     "stream_gold_late_instance",
     with_ctes(

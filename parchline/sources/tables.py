@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import fresh_dir
@@ -31,12 +34,67 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Write one micro-batch so that writing it again replaces it.
+COMMITS = "_commits"
+COMMIT = "batch_id long, files array<string>, rows long, inputs array<long>"
+
+
+def write_batch(df: DataFrame, folder: str, batch_id: int, inputs: list[int] | None = None) -> None:
+    """Write one micro-batch so that writing it again replaces it, then commit it.
 
-    Each batch owns one sub-folder; a replay after a failure overwrites exactly that.
+    Each batch owns one sub-folder; a replay after a failure overwrites exactly that. Once its files are
+    written, the batch gets a commit record: a file of one JSON line named after the batch (its files,
+    rows and the input batches it was made from), written under a hidden name and renamed into place.
+    Flows that read the table follow these records, not the folder, so a batch is handed on once: a
+    replay that writes new file names keeps the record it had, and readers never see half a batch.
     """
-    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    target = f"{folder}/batch_id={batch_id}"
+    df.write.mode("overwrite").parquet(target)
+    _commit(df.sparkSession, folder, batch_id, target, inputs or [])
+
+
+def _commit(spark: SparkSession, folder: str, batch_id: int, target: str, inputs: list[int]) -> None:
+    jvm = spark._jvm
+    record = jvm.org.apache.hadoop.fs.Path(f"{folder}/{COMMITS}/batch_{batch_id}.json")
+    files = record.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(record):
+        return
+    names = sorted(
+        str(status.getPath().getName())
+        for status in files.listStatus(jvm.org.apache.hadoop.fs.Path(target))
+        if str(status.getPath().getName()).endswith(".parquet")
+    )
+    rows = spark.read.parquet(target).count() if names else 0  # from the files' footers
+    line = json.dumps({"batch_id": batch_id, "files": names, "rows": rows, "inputs": sorted(inputs)}) + "\n"
+    hidden = jvm.org.apache.hadoop.fs.Path(f"{folder}/{COMMITS}/.batch_{batch_id}.json.{uuid.uuid4().hex}")
+    out = files.create(hidden, True)
+    out.writeBytes(line)
+    out.close()
+    if not files.rename(hidden, record):
+        files.delete(hidden, False)
+        if not files.exists(record):
+            raise OSError(f"could not commit batch {batch_id} of {folder}")
+
+
+def follow_commits(spark: SparkSession, folder: str, max_batches: int | None = None) -> DataFrame:
+    """The commit records of a table written by ``write_batch``, as a stream: each batch exactly once."""
+    jvm = spark._jvm
+    records = jvm.org.apache.hadoop.fs.Path(f"{folder}/{COMMITS}")
+    records.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(records)
+    reader = spark.readStream.schema(COMMIT)
+    if max_batches:
+        reader = reader.option("maxFilesPerTrigger", max_batches)
+    return reader.json(f"{folder}/{COMMITS}")
+
+
+def read_committed(spark: SparkSession, folder: str, schema: str, commits: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The rows of the batches named in a micro-batch of commit records, and their batch ids.
+
+    The records of one micro-batch are few (one per input batch), so their ids are read at the driver.
+    """
+    ids = sorted({r["batch_id"] for r in commits.select("batch_id").collect()})
+    if not ids:
+        return spark.createDataFrame([], schema), ids
+    return spark.read.schema(schema).parquet(*[f"{folder}/batch_id={i}" for i in ids]), ids
 
 
 def read_table(spark: SparkSession, folder: str, schema: str, before: int | None = None) -> DataFrame:
@@ -49,11 +107,14 @@ def read_table(spark: SparkSession, folder: str, schema: str, before: int | None
     return table_ if before is None else table_.filter(F.col("batch_id") < before)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path))
+
+
 def read_rows(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """A table that need not exist yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not files.exists(path):
+    if not exists(spark, folder):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(folder)
 
@@ -87,3 +148,4 @@ def sync_mirror(
 
 def read_mirror(spark: SparkSession, folder: str, key: str) -> DataFrame:
     return spark.read.parquet(folder).filter(F.col(key).isNotNull()).drop("bucket")
+

@@ -1,8 +1,10 @@
 """The append flows from files to gold.
 
 Every flow has its own checkpoint and writes each micro-batch to a folder of its own, so a replayed
-batch replaces itself. Deduplication looks up the written tables; no flow keeps state that grows
-without bound. Tables and checkpoints lie under one shared root.
+batch replaces itself, and commits it with a record named after the batch. A flow follows the records
+of the tables it reads, not their folders: a batch is handed on exactly once, whether or not its
+writer replays it under new file names. Deduplication looks up the written tables; no flow keeps
+state that grows without bound. Tables and checkpoints lie under one shared root.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from ..operators.lifecycle import instances, latest_instance, new_content, recon
 from ..operators.rules import CHUNKING_RULES
 from ..operators.sections import SECTIONS_TYPE, extract
 from ..sources.files import stream_files
-from ..sources.tables import read_table, stream_table, write_batch
+from ..sources.tables import follow_commits, read_committed, read_table, write_batch
 
 # The table schemas.
 BRONZE = (
@@ -90,12 +92,13 @@ def extraction_flow(
 ):
     """``parts_reader`` opens the files, see ``operators.sections.extract``."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(commits: DataFrame, batch_id: int) -> None:
+        batch, inputs = read_committed(spark, f"{root}/bronze", BRONZE, commits)
         done = read_table(spark, f"{root}/extracted", EXTRACTED, before=batch_id)
         fresh = extract(new_content(batch, done), parts_reader, config)
-        write_batch(fresh.withColumn("extracted_at", F.current_timestamp()), f"{root}/extracted", batch_id)
+        write_batch(fresh.withColumn("extracted_at", F.current_timestamp()), f"{root}/extracted", batch_id, inputs)
 
-    return start(stream_table(spark, f"{root}/bronze", BRONZE, max_files), root, "extraction", handle)
+    return start(follow_commits(spark, f"{root}/bronze", max_files), root, "extraction", handle)
 
 
 def instance_flow(
@@ -103,21 +106,23 @@ def instance_flow(
 ):
     """``resolve`` may fill ``resolved_acl_group`` and ``restrictiveness`` from the source tag."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(commits: DataFrame, batch_id: int) -> None:
+        batch, inputs = read_committed(spark, f"{root}/bronze", BRONZE, commits)
         rows = resolve(batch) if resolve else instances(batch).withColumn("restrictiveness", F.lit(None).cast("int"))
-        write_batch(rows.select(*_names(INSTANCES)), f"{root}/instances", batch_id)
+        write_batch(rows.select(*_names(INSTANCES)), f"{root}/instances", batch_id, inputs)
 
-    return start(stream_table(spark, f"{root}/bronze", BRONZE, max_files), root, "instances", handle)
+    return start(follow_commits(spark, f"{root}/bronze", max_files), root, "instances", handle)
 
 
 def chunk_flow(spark: SparkSession, root: str, config: dict[str, Any] = CHUNKING_RULES, max_files: int | None = None):
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # A replayed extraction arrives under new file names; its chunks are known by then.
+    def handle(commits: DataFrame, batch_id: int) -> None:
+        batch, inputs = read_committed(spark, f"{root}/extracted", EXTRACTED, commits)
+        # A content extracted again after a failed attempt may give chunks that are known by then.
         known = read_table(spark, f"{root}/chunks", CHUNKS, before=batch_id).select("chunk_id")
         fresh = chunk(batch, config).dropDuplicates(["chunk_id"]).join(known, "chunk_id", "left_anti")
-        write_batch(fresh.select(*_names(CHUNKS)), f"{root}/chunks", batch_id)
+        write_batch(fresh.select(*_names(CHUNKS)), f"{root}/chunks", batch_id, inputs)
 
-    return start(stream_table(spark, f"{root}/extracted", EXTRACTED, max_files), root, "chunks", handle)
+    return start(follow_commits(spark, f"{root}/extracted", max_files), root, "chunks", handle)
 
 
 def gold_flow(spark: SparkSession, root: str, model: str, embed=hash_embedding, max_files: int | None = None):
@@ -127,12 +132,15 @@ def gold_flow(spark: SparkSession, root: str, model: str, embed=hash_embedding,
     active instance disappears: the touched list names it, and no row follows. A batch writes the
     touched hashes and their rows; ``current_gold`` reads the newest batch of each content.
     """
-    from_chunks = stream_table(spark, f"{root}/chunks", CHUNKS, max_files).select(
-        "content_hash", F.lit(None).cast("string").alias("source_path")
-    )
-    from_instances = stream_table(spark, f"{root}/instances", INSTANCES, max_files).select("content_hash", "source_path")
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    from_chunks = follow_commits(spark, f"{root}/chunks", max_files).withColumn("table", F.lit("chunks"))
+    from_instances = follow_commits(spark, f"{root}/instances", max_files).withColumn("table", F.lit("instances"))
+
+    def handle(commits: DataFrame, batch_id: int) -> None:
+        chunk_rows, _ = read_committed(spark, f"{root}/chunks", CHUNKS, commits.filter("table = 'chunks'"))
+        instance_rows, _ = read_committed(spark, f"{root}/instances", INSTANCES, commits.filter("table = 'instances'"))
+        batch = chunk_rows.select("content_hash", F.lit(None).cast("string").alias("source_path")).unionByName(
+            instance_rows.select("content_hash", "source_path")
+        )
         history = read_table(spark, f"{root}/instances", INSTANCES).drop("batch_id")
         # A path that changed its content also touches the content it had before.
         paths = batch.filter(F.col("source_path").isNotNull()).select("source_path").distinct()

@@ -115,3 +115,24 @@ def test_progress_of_every_batch_is_kept(spark, tmp_path):
         log.wait(running)
     rows = log.table().filter("input_rows > 0").collect()
     assert sorted(r["batch_id"] for r in rows) == list(range(150)) and {r["flow"] for r in rows} == {"many"}
+
+
+def test_replayed_batches_are_handed_on_once(spark, folder, tmp_path):
+    """Each flow's batch written again under new file names is not taken again by the flows after it."""
+    import json
+
+    from parchline.plans.streams import replay
+
+    root = str(tmp_path)
+    bronze = typed_view(spark, folder)
+    write_batch(bronze, f"{root}/bronze", 0)
+    first = run_all(spark, root)
+    tables = {"bronze": flows.BRONZE, "instances": flows.INSTANCES, "extracted": flows.EXTRACTED, "chunks": flows.CHUNKS}
+    counts = {name: read_table(spark, f"{root}/{name}", schema).count() for name, schema in tables.items()}
+    for name in ("bronze", "extracted", "chunks"):
+        replay(spark, f"{root}/{name}", 0, tables[name])
+    assert run_all(spark, root) == first
+    assert {name: read_table(spark, f"{root}/{name}", schema).count() for name, schema in tables.items()} == counts
+    record = json.loads((tmp_path / "bronze" / "_commits" / "batch_0.json").read_text())
+    assert record["rows"] == counts["bronze"] == bronze.count() and record["files"]
+    assert json.loads((tmp_path / "extracted" / "_commits" / "batch_0.json").read_text())["inputs"] == [0]
