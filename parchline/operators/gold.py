@@ -133,3 +133,9 @@ def gold_rows(
 def drop_orphans(gold: DataFrame, current: DataFrame) -> DataFrame:
     """Gold without the rows of content that has no active instance left."""
     return gold.join(current.filter("is_active").select("content_hash").distinct(), "content_hash", "left_semi")
+
+
+def orphan_keys(gold: DataFrame, current: DataFrame) -> DataFrame:
+    """Contents in gold without an active instance left: those whose rows a physical delete removes."""
+    active = current.filter("is_active").select("content_hash").distinct()
+    return gold.select("content_hash").distinct().join(active, "content_hash", "left_anti")

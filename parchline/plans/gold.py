@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.vector import hash_embedding as embed
 from ..operators import gold
 from ..operators.lifecycle import reconcile
-from ..sources.tables import spread, table
+from ..session import fresh_dir
+from ..sources.tables import delete_keys, read_versioned, spread, table, write_versioned
 from .lifecycle import now
 from .registry import query
 from .views import (
@@ -207,6 +208,9 @@ def gold_projection(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SERVED_GOLD = "chunk_id string, content_hash string, chunk_text string"
+
+
 @query(
     "gold_after_delete",
     with_ctes(
@@ -218,5 +222,11 @@ def gold_projection(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def gold_after_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold written as a versioned table; orphans are deleted by rewriting the buckets that hold them."""
     current = reconcile(instances_view(spark, folder), live_listing(spark, folder), now())
-    return gold.drop_orphans(gold_view(spark, folder), current).select("chunk_id", "content_hash")
+    served = fresh_dir(spark, "gold-served")
+    rows = gold_view(spark, folder).select("chunk_id", "content_hash", "chunk_text")
+    write_versioned(rows, served, "content_hash")
+    orphans = gold.orphan_keys(read_versioned(spark, served, SERVED_GOLD), current)
+    delete_keys(spark, served, orphans, "content_hash", SERVED_GOLD)
+    return read_versioned(spark, served, SERVED_GOLD).select("chunk_id", "content_hash")

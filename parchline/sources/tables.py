@@ -149,3 +149,102 @@ def sync_mirror(
 def read_mirror(spark: SparkSession, folder: str, key: str) -> DataFrame:
     return spark.read.parquet(folder).filter(F.col(key).isNotNull()).drop("bucket")
 
+
+# --- versioned tables: rewrite only the buckets a change touches, swap one pointer ------------------
+
+VERSIONS = "_versions"
+
+
+def _fs(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def current_version(spark: SparkSession, folder: str) -> tuple[int, dict[str, str]]:
+    """The newest committed pointer of a versioned table: its number and, per bucket, the folder holding it."""
+    jvm, files = spark._jvm, _fs(spark, folder)
+    pointers = jvm.org.apache.hadoop.fs.Path(f"{folder}/{VERSIONS}")
+    names = [str(s.getPath().getName()) for s in files.listStatus(pointers)] if files.exists(pointers) else []
+    numbers = [int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith(".")]
+    if not numbers:
+        raise FileNotFoundError(f"{folder} is not a versioned table")
+    number = max(numbers)
+    stream = files.open(jvm.org.apache.hadoop.fs.Path(f"{folder}/{VERSIONS}/{number:010d}.json"))
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return number, json.loads(text)["buckets"]
+
+
+def _swap(spark: SparkSession, folder: str, number: int, buckets: dict[str, str]) -> None:
+    """Commit pointer ``number``: written under a hidden name, renamed into place; a pointer that exists
+    already means another writer won, and this change fails instead of overwriting it."""
+    jvm, files = spark._jvm, _fs(spark, folder)
+    target = jvm.org.apache.hadoop.fs.Path(f"{folder}/{VERSIONS}/{number:010d}.json")
+    hidden = jvm.org.apache.hadoop.fs.Path(f"{folder}/{VERSIONS}/.{number:010d}.{uuid.uuid4().hex}")
+    out = files.create(hidden, True)
+    out.writeBytes(json.dumps({"version": number, "buckets": buckets}, sort_keys=True))
+    out.close()
+    if files.exists(target) or not files.rename(hidden, target):
+        files.delete(hidden, False)
+        raise RuntimeError(f"version {number} of {folder} was committed by another writer")
+
+
+def _listed_buckets(spark: SparkSession, data: str) -> set[str]:
+    """Buckets that a write left files in (an empty bucket gets no folder)."""
+    if not exists(spark, data):
+        return set()
+    found = _fs(spark, data).listStatus(spark._jvm.org.apache.hadoop.fs.Path(data))
+    return {str(s.getPath().getName()).split("=", 1)[1] for s in found if str(s.getPath().getName()).startswith("_bucket=")}
+
+
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
+def write_versioned(df: DataFrame, folder: str, key: str, buckets: int = 64) -> None:
+    """Version 0 of a table dealt into ``buckets`` hash buckets of ``key``."""
+    spark = df.sparkSession
+    data = f"{folder}/v0"
+    _bucketed(df, key, buckets).repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(data)
+    present = _listed_buckets(spark, data)
+    _swap(spark, folder, 0, {str(b): data for b in range(buckets) if str(b) in present} | {"count": str(buckets)})
+
+
+def read_versioned(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The table as of its newest pointer; files are listed now, so a reader keeps the version it opened."""
+    _, buckets = current_version(spark, folder)
+    paths = [f"{where}/_bucket={b}" for b, where in sorted(buckets.items()) if b != "count"]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def delete_keys(spark: SparkSession, folder: str, keys: DataFrame, key: str, schema: str) -> int:
+    """Remove the rows of ``keys`` from a versioned table by rewriting only the buckets that hold them.
+
+    The kept rows of each touched bucket go to a new version folder; untouched buckets keep their files.
+    Then one pointer names the new mapping. Readers see the old mapping or the new one, never a mix, and
+    old version folders stay until they are cleaned away. Returns the new version number.
+    """
+    number, buckets = current_version(spark, folder)
+    count = int(buckets["count"])
+    doomed = _bucketed(keys.select(key).distinct(), key, count)
+    named = sorted({str(r["_bucket"]) for r in doomed.select("_bucket").distinct().collect()} & set(buckets))
+    if not named:
+        return number
+    # Of the buckets the keys fall in, only those holding one of them are written again (key column only).
+    found = spark.read.schema(schema).parquet(*[f"{buckets[b]}/_bucket={b}" for b in named]).select(key)
+    held = _bucketed(found.join(doomed.drop("_bucket"), key, "left_semi"), key, count).select("_bucket").distinct()
+    touched = sorted(str(r["_bucket"]) for r in held.collect())
+    if not touched:
+        return number
+    old = spark.read.schema(schema).parquet(*[f"{buckets[b]}/_bucket={b}" for b in touched])
+    kept = _bucketed(old.join(doomed.drop("_bucket"), key, "left_anti"), key, count)
+    data = f"{folder}/v{number + 1}"
+    kept.repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(data)
+    present = _listed_buckets(spark, data)
+    mapping = {b: w for b, w in buckets.items() if b not in touched} | {b: data for b in touched if b in present}
+    _swap(spark, folder, number + 1, mapping)
+    return number + 1

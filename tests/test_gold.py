@@ -124,3 +124,23 @@ def test_golden_versions_by_blocks(spark):
     expected = [("q", i + 1, t, n) for i, (t, n) in enumerate(zip(times, [*times[1:], None]))]
     assert found == [*expected, ("r", 1, 7, None)]
     assert golden_as_of(versions, F.lit(times[2])).filter("question = 'q'").first()["version"] == 3
+
+
+def test_physical_delete_rewrites_only_touched_buckets(spark, tmp_path):
+    from parchline.sources.tables import current_version, delete_keys, read_versioned, write_versioned
+
+    schema = "chunk_id string, content_hash string, chunk_text string"
+    rows = spark.createDataFrame([(f"c{i}", f"h{i % 50}", "t") for i in range(500)], schema)
+    folder = str(tmp_path / "served")
+    write_versioned(rows, folder, "content_hash", buckets=16)
+    opened = read_versioned(spark, folder, schema)  # a reader open during the swap
+    _, before = current_version(spark, folder)
+    keys = spark.createDataFrame([("h3",), ("h7",), ("h3",), ("absent",)], "content_hash string")
+    assert delete_keys(spark, folder, keys, "content_hash", schema) == 1
+    after = read_versioned(spark, folder, schema)
+    assert opened.count() == 500 and after.count() == 480
+    assert {r["content_hash"] for r in after.collect()} == {f"h{i}" for i in range(50)} - {"h3", "h7"}
+    number, mapping = current_version(spark, folder)
+    moved = {b for b in before if b != "count" and mapping.get(b) != before[b]}
+    assert number == 1 and 1 <= len(moved) <= 2  # only the buckets of h3 and h7 were written again
+    assert delete_keys(spark, folder, keys, "content_hash", schema) == 1  # nothing left to delete: no new version
