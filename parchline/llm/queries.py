@@ -82,8 +82,9 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """A: byte_bpe_50k.json's ids, computed from the rank file of the same vocabulary (tests compare the two)."""
     docs = table(spark, folder, "documents")
-    return alignment.aligned(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+    return alignment.aligned(docs, public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.path(PIECE_BPE))
 
 
 def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

@@ -110,14 +110,28 @@ def test_manifest_query(spark, folder):
 
 
 A_FILE, B_FILE = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+A_RANKS = P.path("byte_bpe_50k.tiktoken")
 
 
 def brute_alignment(texts):
-    a, b, ta, tb = alignment.tokenizers_of(A_FILE, B_FILE)
+    """The tokenizers library on the json file, sentencepiece on the model, tokens compared as bytes."""
+    import json
 
-    def pieces(ids, table_):
-        lengths, starts, flat = table_
-        return [bytes(flat[starts[i] : starts[i] + lengths[i]]) for i in ids]
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(A_FILE)
+    a.encode_special_tokens = True
+    back = alignment.byte_alphabet()
+    vocab = {i: bytes(back[c] for c in t) for t, i in json.load(open(A_FILE))["model"]["vocab"].items()}
+    b = sentencepiece.SentencePieceProcessor(model_file=B_FILE)
+
+    def piece(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode()
+
+    def pieces(ids, side):
+        return [vocab[i] for i in ids] if side == "a" else [piece(i) for i in ids]
 
     per, links = [], Counter()
     for text in texts:
@@ -126,7 +140,7 @@ def brute_alignment(texts):
             continue
         ea = a.encode(" " + text, add_special_tokens=False).ids
         eb = b.encode(text)
-        pa_, pb_ = pieces(ea, ta), pieces(eb, tb)
+        pa_, pb_ = pieces(ea, "a"), pieces(eb, "b")
         want = (" " + text).encode()
         if b"".join(pa_) != want or b"".join(pb_) != want:
             per.append(None)
@@ -164,7 +178,7 @@ def test_alignment_brute_force(spark, folder):
     rows = [tuple(r) for r in docs.collect()] + extra
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_a", F.lit("clash"))
     got = [
-        tuple(r) for r in alignment.aligned(frame, A_FILE, B_FILE)
+        tuple(r) for r in alignment.aligned(frame, A_RANKS, B_FILE)
         .select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()
     ]
     want = [(i, *w) for (i, _), w in zip(rows, brute_alignment([t for _, t in rows]))]
@@ -185,7 +199,7 @@ def test_galloping_intersection():
 
 
 def test_alignment_empty(spark):
-    assert alignment.aligned(spark.createDataFrame([], "doc_id long, text string"), A_FILE, B_FILE).count() == 0
+    assert alignment.aligned(spark.createDataFrame([], "doc_id long, text string"), A_RANKS, B_FILE).count() == 0
 
 
 def test_fingerprint_local_consistency():
