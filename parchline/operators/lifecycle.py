@@ -25,8 +25,7 @@ def one_per_content(bronze: DataFrame) -> DataFrame:
     are attached by path afterwards, so copies of one content never meet in one task. Paths are
     unique within a capture batch.
     """
-    winners = bronze.groupBy("content_hash").agg(F.min("source_path").alias("source_path"))
-    return bronze.join(winners, ["content_hash", "source_path"], "left_semi")
+    return with_bytes(bronze, winners(bronze))
 
 
 def not_seen(new: DataFrame, seen: DataFrame, key: str = "content_hash") -> DataFrame:
@@ -43,13 +42,25 @@ def not_seen(new: DataFrame, seen: DataFrame, key: str = "content_hash") -> Data
 def new_content(bronze: DataFrame, extracted: DataFrame, retry_failed: bool = True) -> DataFrame:
     """Content to extract: valid, one row per hash, not extracted before.
 
-    With ``retry_failed`` an attempt that failed (a parser error, corrupt content) is made again, while
-    ``success``, ``empty`` and ``no_extraction_rule_matched`` count as done: no rule matching is a decision of
-    the rule set, which gives the same answer on every retry, and retrying it would add a row per batch.
+    With ``retry_failed`` only ``success`` and ``empty`` count as done.
     """
-    final = ("success", "empty", "no_extraction_rule_matched")
-    done = extracted.filter(F.col("extraction_status").isin(*final)) if retry_failed else extracted
-    return not_seen(one_per_content(valid_only(bronze)), done)
+    done = extracted.filter(F.col("extraction_status").isin("success", "empty")) if retry_failed else extracted
+    return with_bytes(valid_only(bronze), not_seen(winners(valid_only(bronze)), done))
+
+
+def winners(bronze: DataFrame) -> DataFrame:
+    """(content_hash, source_path): the smallest path of each content, from the narrow pair alone."""
+    return bronze.groupBy("content_hash").agg(F.min("source_path").alias("source_path"))
+
+
+def with_bytes(bronze: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``bronze`` named by ``chosen`` (content_hash, source_path), attached in one semi join.
+
+    Everything is decided on narrow rows first, so the wide rows take part in a single join, whose key
+    side is the one AQE can broadcast when it is small (a micro-batch's new content); Spark's runtime
+    Bloom filter on that side prunes the wide scan before any exchange.
+    """
+    return bronze.join(chosen.select("content_hash", "source_path"), ["content_hash", "source_path"], "left_semi")
 
 
 def instances(bronze: DataFrame) -> DataFrame:

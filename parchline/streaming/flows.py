@@ -16,11 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.vector import hash_embedding
-from ..operators.capture import enrich
+from ..operators.capture import enrich, valid_only
 from ..operators.chunks import chunk
 from ..operators.gold import gold_rows, reference_parts
-from ..operators.lifecycle import instances, latest_instance, new_content, reconcile
-from ..operators.rules import CHUNKING_RULES
+from ..operators.lifecycle import instances, latest_instance, new_content, reconcile, winners, with_bytes
+from ..operators.rules import CHUNKING_RULES, extraction_decision
 from ..operators.sections import SECTIONS_TYPE, extract
 from ..sources.files import stream_files
 from ..sources.tables import follow_commits, read_committed, read_table, write_batch
@@ -95,12 +95,27 @@ def extraction_flow(
     def handle(commits: DataFrame, batch_id: int) -> None:
         batch, inputs = read_committed(spark, f"{root}/bronze", BRONZE, commits)
         done = read_table(spark, f"{root}/extracted", EXTRACTED, before=batch_id)
-        fresh = extract(new_content(batch, done), parts_reader, config)
+        fresh = extract(new_content(batch, settled(batch, done, config), retry_failed=False), parts_reader, config)
         write_batch(fresh.withColumn("extracted_at", F.current_timestamp()), f"{root}/extracted", batch_id, inputs)
 
     return start(follow_commits(spark, f"{root}/bronze", max_files), root, "extraction", handle)
 
 
+def settled(batch: DataFrame, done: DataFrame, config: dict[str, Any]) -> DataFrame:
+    """Content that needs no attempt now: extracted, or failed with the method the rules give its copy now.
+
+    A failed content is tried again only when the rules decide another method for the copy that would be
+    extracted (another path, or changed rules); the same attempt would fail the same way and add a row.
+    """
+    ok = done.filter(F.col("extraction_status").isin("success", "empty")).select("content_hash")
+    chosen = with_bytes(valid_only(batch).select("content_hash", "source_path", "file_type"), winners(valid_only(batch)))
+    method = extraction_decision(F.col("source_path"), F.col("file_type"), config)["method"]
+    now = chosen.select("content_hash", method.alias("method"))
+    failed = done.filter(~F.col("extraction_status").isin("success", "empty")).select("content_hash", "extraction_method_used")
+    same = failed.join(now, (failed.content_hash == now.content_hash) & failed.extraction_method_used.eqNullSafe(now.method), "left_semi")
+    return ok.unionByName(same.select("content_hash"))
+
+
 def instance_flow(
     spark: SparkSession, root: str, resolve: Callable[[DataFrame], DataFrame] | None = None, max_files: int | None = None
 ):
