@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.identity import content_hash
 from ..operators import lifecycle
 from ..session import fresh_dir
-from ..sources.tables import read_mirror, stored, sync_mirror, table, write_batch
+from ..sources.tables import read_versioned, stored, sync_versioned, table, write_batch, write_versioned
 from ..streaming import flows
 from .registry import query
 from .views import (
@@ -275,6 +275,10 @@ def serving_sync_changes(spark: SparkSession, folder: str) -> DataFrame:
     return lifecycle.snapshot_changes(before, after, "chunk_id", ["chunk_text", "acl"])
 
 
+#: Rows a bucket of the mirror may hold before it is split when written again.
+MIRROR_ROWS = 200_000
+
+
 @query(
     "serving_mirror",
     with_ctes(
@@ -290,9 +294,10 @@ def serving_mirror(spark: SparkSession, folder: str) -> DataFrame:
     """A mirror filled from the first table, then brought to the second by its changes alone."""
     before, after = (stored(view, "served") for view in served_views(spark, folder))
     mirror = fresh_dir(spark, "mirror")
-    sync_mirror(mirror, before, before, "chunk_id")
-    sync_mirror(mirror, after, lifecycle.snapshot_changes(before, after, "chunk_id", ["chunk_text", "acl"]), "chunk_id")
-    return read_mirror(spark, mirror, "chunk_id").select("chunk_id", F.md5("chunk_text").alias("text_md5"), "acl")
+    write_versioned(before, mirror, "chunk_id", max_rows=MIRROR_ROWS)
+    changes = lifecycle.snapshot_changes(before, after, "chunk_id", ["chunk_text", "acl"])
+    sync_versioned(mirror, after, changes, "chunk_id", max_rows=MIRROR_ROWS)
+    return read_versioned(spark, mirror, after.schema).select("chunk_id", F.md5("chunk_text").alias("text_md5"), "acl")
 
 
 @query("stream_rerun_idempotent", with_ctes(TYPED, UNIQUE, select="SELECT content_hash, source_path IS NOT NULL AS present FROM uniq"))

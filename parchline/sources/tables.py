@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import fresh_dir
 
@@ -35,7 +35,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 COMMITS = "_commits"
-COMMIT = "batch_id long, files array<string>, rows long, inputs array<long>"
+COMMIT = "batch_id long, files array<string>, rows long, bytes long, inputs array<long>"
 
 
 def write_batch(df: DataFrame, folder: str, batch_id: int, inputs: list[int] | None = None) -> None:
@@ -64,7 +64,8 @@ def _commit(spark: SparkSession, folder: str, batch_id: int, target: str, inputs
         if str(status.getPath().getName()).endswith(".parquet")
     )
     rows = spark.read.parquet(target).count() if names else 0  # from the files' footers
-    line = json.dumps({"batch_id": batch_id, "files": names, "rows": rows, "inputs": sorted(inputs)}) + "\n"
+    size = int(files.getContentSummary(jvm.org.apache.hadoop.fs.Path(target)).getLength())
+    line = json.dumps({"batch_id": batch_id, "files": names, "rows": rows, "bytes": size, "inputs": sorted(inputs)}) + "\n"
     hidden = jvm.org.apache.hadoop.fs.Path(f"{folder}/{COMMITS}/.batch_{batch_id}.json.{uuid.uuid4().hex}")
     out = files.create(hidden, True)
     out.writeBytes(line)
@@ -150,7 +151,13 @@ def read_mirror(spark: SparkSession, folder: str, key: str) -> DataFrame:
     return spark.read.parquet(folder).filter(F.col(key).isNotNull()).drop("bucket")
 
 
+
 # --- versioned tables: rewrite only the buckets a change touches, swap one pointer ------------------
+#
+# A key's 64-bit hash decides its bucket: bucket "d-v" holds the keys whose hash is v modulo 2^d. The
+# buckets of a table always cover every hash exactly once; a bucket that grows past a row bound is split
+# into "(d+1)-v" and "(d+1)-(v + 2^d)" when it is written again. A pointer file per version maps every
+# bucket to the folder holding its files (or to nothing, when it is empty).
 
 VERSIONS = "_versions"
 
@@ -160,7 +167,7 @@ def _fs(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def current_version(spark: SparkSession, folder: str) -> tuple[int, dict[str, str]]:
+def current_version(spark: SparkSession, folder: str) -> tuple[int, dict[str, str | None]]:
     """The newest committed pointer of a versioned table: its number and, per bucket, the folder holding it."""
     jvm, files = spark._jvm, _fs(spark, folder)
     pointers = jvm.org.apache.hadoop.fs.Path(f"{folder}/{VERSIONS}")
@@ -177,7 +184,7 @@ def current_version(spark: SparkSession, folder: str) -> tuple[int, dict[str, st
     return number, json.loads(text)["buckets"]
 
 
-def _swap(spark: SparkSession, folder: str, number: int, buckets: dict[str, str]) -> None:
+def _swap(spark: SparkSession, folder: str, number: int, buckets: dict[str, str | None]) -> None:
     """Commit pointer ``number``: written under a hidden name, renamed into place; a pointer that exists
     already means another writer won, and this change fails instead of overwriting it."""
     jvm, files = spark._jvm, _fs(spark, folder)
@@ -191,6 +198,43 @@ def _swap(spark: SparkSession, folder: str, number: int, buckets: dict[str, str]
         raise RuntimeError(f"version {number} of {folder} was committed by another writer")
 
 
+def bucket_of(key: str, names: list[str]) -> Column:
+    """The name of the bucket, among ``names`` (which cover every hash once), that holds the key."""
+    code = F.xxhash64(key)
+    picked = None
+    for depth in sorted({int(n.split("-")[0]) for n in names}):
+        name = F.concat(F.lit(f"{depth}-"), F.pmod(code, F.lit(1 << depth)).cast("string"))
+        here = F.when(name.isin([n for n in names if n.startswith(f"{depth}-")]), name)
+        picked = here if picked is None else F.coalesce(picked, here)
+    return picked
+
+
+def _split(name: str) -> list[str]:
+    depth, value = (int(x) for x in name.split("-"))
+    return [f"{depth + 1}-{value}", f"{depth + 1}-{value + (1 << depth)}"]
+
+
+def _write_buckets(rows: DataFrame, key: str, names: list[str], data: str, max_rows: int | None) -> dict[str, str | None]:
+    """Write ``rows`` (all rows of the buckets ``names``) to ``data``, splitting buckets over ``max_rows``.
+
+    Counting is one small aggregate per round of splits; a bucket of one repeated key cannot be split
+    and stays whole.
+    """
+    names = list(names)
+    while max_rows:
+        counts = rows.withColumn("_bucket", bucket_of(key, names)).groupBy("_bucket").agg(
+            F.count(F.lit(1)).alias("n"), (F.min(key) != F.max(key)).alias("keys")
+        )
+        big = [r["_bucket"] for r in counts.filter((F.col("n") > max_rows) & F.col("keys")).collect()]
+        if not big:
+            break
+        names = [n for n in names if n not in big] + [c for b in big for c in _split(b)]
+    dealt = rows.withColumn("_bucket", bucket_of(key, names))
+    dealt.repartition(max(1, len(names)), "_bucket").write.partitionBy("_bucket").parquet(data)
+    present = _listed_buckets(dealt.sparkSession, data)
+    return {n: (data if n in present else None) for n in names}
+
+
 def _listed_buckets(spark: SparkSession, data: str) -> set[str]:
     """Buckets that a write left files in (an empty bucket gets no folder)."""
     if not exists(spark, data):
@@ -199,29 +243,39 @@ def _listed_buckets(spark: SparkSession, data: str) -> set[str]:
     return {str(s.getPath().getName()).split("=", 1)[1] for s in found if str(s.getPath().getName()).startswith("_bucket=")}
 
 
-def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-def write_versioned(df: DataFrame, folder: str, key: str, buckets: int = 64) -> None:
-    """Version 0 of a table dealt into ``buckets`` hash buckets of ``key``."""
-    spark = df.sparkSession
-    data = f"{folder}/v0"
-    _bucketed(df, key, buckets).repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(data)
-    present = _listed_buckets(spark, data)
-    _swap(spark, folder, 0, {str(b): data for b in range(buckets) if str(b) in present} | {"count": str(buckets)})
+def write_versioned(df: DataFrame, folder: str, key: str, depth: int = 6, max_rows: int | None = None) -> None:
+    """Version 0 of a table dealt into 2^depth hash buckets of ``key`` (split further beyond ``max_rows``)."""
+    names = [f"{depth}-{v}" for v in range(1 << depth)]
+    _swap(df.sparkSession, folder, 0, _write_buckets(df, key, names, f"{folder}/v0", max_rows))
 
 
 def read_versioned(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """The table as of its newest pointer; files are listed now, so a reader keeps the version it opened."""
     _, buckets = current_version(spark, folder)
-    paths = [f"{where}/_bucket={b}" for b, where in sorted(buckets.items()) if b != "count"]
+    paths = [f"{where}/_bucket={b}" for b, where in sorted(buckets.items()) if where]
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*paths)
 
 
-def delete_keys(spark: SparkSession, folder: str, keys: DataFrame, key: str, schema: str) -> int:
+def _rewrite(spark, folder, number, buckets, touched, rows, key, max_rows) -> int:
+    mapping = {b: w for b, w in buckets.items() if b not in touched}
+    mapping |= _write_buckets(rows, key, touched, f"{folder}/v{number + 1}", max_rows)
+    _swap(spark, folder, number + 1, mapping)
+    return number + 1
+
+
+def _named(keys: DataFrame, key: str, buckets: dict) -> list[str]:
+    """Buckets that the keys fall in; one row per bucket reaches the driver."""
+    return sorted(str(r["_b"]) for r in keys.select(bucket_of(key, list(buckets)).alias("_b")).distinct().collect())
+
+
+def _rows_of(spark, buckets: dict, names: list[str], schema: str) -> DataFrame:
+    paths = [f"{buckets[b]}/_bucket={b}" for b in names if buckets.get(b)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def delete_keys(spark: SparkSession, folder: str, keys: DataFrame, key: str, schema: str, max_rows: int | None = None) -> int:
     """Remove the rows of ``keys`` from a versioned table by rewriting only the buckets that hold them.
 
     The kept rows of each touched bucket go to a new version folder; untouched buckets keep their files.
@@ -229,22 +283,23 @@ def delete_keys(spark: SparkSession, folder: str, keys: DataFrame, key: str, sch
     old version folders stay until they are cleaned away. Returns the new version number.
     """
     number, buckets = current_version(spark, folder)
-    count = int(buckets["count"])
-    doomed = _bucketed(keys.select(key).distinct(), key, count)
-    named = sorted({str(r["_bucket"]) for r in doomed.select("_bucket").distinct().collect()} & set(buckets))
-    if not named:
-        return number
+    doomed = keys.select(key).distinct()
     # Of the buckets the keys fall in, only those holding one of them are written again (key column only).
-    found = spark.read.schema(schema).parquet(*[f"{buckets[b]}/_bucket={b}" for b in named]).select(key)
-    held = _bucketed(found.join(doomed.drop("_bucket"), key, "left_semi"), key, count).select("_bucket").distinct()
-    touched = sorted(str(r["_bucket"]) for r in held.collect())
+    held = _rows_of(spark, buckets, _named(doomed, key, buckets), schema).select(key).join(doomed, key, "left_semi")
+    touched = _named(held, key, buckets)
     if not touched:
         return number
-    old = spark.read.schema(schema).parquet(*[f"{buckets[b]}/_bucket={b}" for b in touched])
-    kept = _bucketed(old.join(doomed.drop("_bucket"), key, "left_anti"), key, count)
-    data = f"{folder}/v{number + 1}"
-    kept.repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(data)
-    present = _listed_buckets(spark, data)
-    mapping = {b: w for b, w in buckets.items() if b not in touched} | {b: data for b in touched if b in present}
-    _swap(spark, folder, number + 1, mapping)
-    return number + 1
+    kept = _rows_of(spark, buckets, touched, schema).join(doomed, key, "left_anti")
+    return _rewrite(spark, folder, number, buckets, touched, kept, key, max_rows)
+
+
+def sync_versioned(folder: str, after: DataFrame, changes: DataFrame, key: str, max_rows: int | None = None) -> int:
+    """Bring a versioned table to ``after`` by rewriting the buckets of the changed keys (deletions included),
+    splitting those that outgrow ``max_rows``; other buckets keep their files. Returns the new version."""
+    spark = after.sparkSession
+    number, buckets = current_version(spark, folder)
+    touched = _named(changes.select(key).distinct(), key, buckets)
+    if not touched:
+        return number
+    rows = after.filter(bucket_of(key, list(buckets)).isin(touched))
+    return _rewrite(spark, folder, number, buckets, touched, rows, key, max_rows)
