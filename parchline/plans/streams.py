@@ -214,3 +214,23 @@ def stream_progress_metrics(spark: SparkSession, folder: str) -> DataFrame:
         running, _ = run_to_table(spark, counts, "progress")
         log.wait(running)
     return log.table().groupBy("flow").agg(F.sum("input_rows").alias("input_rows"))
+
+
+@query(
+    "flow_backlog",
+    """
+    SELECT 'extraction' AS flow, 'bronze' AS "table", 2 AS outstanding_batches,
+           (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS outstanding_rows""",
+)
+def flow_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """One batch taken by extraction, then two more committed: those two are its backlog."""
+    root = fresh_dir(spark, "backlog")
+    bronze = typed_view(spark, folder)
+    write_batch(labelled(spark, folder, bronze, True).select(*bronze.columns), f"{root}/bronze", 0)
+    flows.finish(flows.extraction_flow(spark, root, EXTRACTION_CONFIG, line_parts))
+    later = labelled(spark, folder, bronze, False).select(*bronze.columns)
+    half = F.crc32("source_path") % 2
+    for batch in (1, 2):
+        write_batch(later.filter(half == batch - 1), f"{root}/bronze", batch)
+    found = monitors.backlog(spark, root, "extraction", "bronze")
+    return found.select("flow", "table", "outstanding_batches", "outstanding_rows")

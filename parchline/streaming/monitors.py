@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from ..operators.evaluate import breach_windows
-from ..sources.tables import read_rows
+from ..sources.tables import COMMIT, COMMITS, exists, read_rows
 
 PROGRESS = (
     "flow string, run_id string, batch_id bigint, timestamp string, input_rows bigint, "
@@ -109,3 +109,28 @@ class ProgressLog(StreamingQueryListener):
 
     def table(self) -> DataFrame:
         return read_rows(self.spark, self.folder, PROGRESS)
+
+
+def backlog(spark: SparkSession, root: str, flow: str, table: str, source: int = 0) -> DataFrame:
+    """What a flow has still to take from a table: committed batches that its checkpoint has not seen.
+
+    One row: flow, table, outstanding batches, files, rows and bytes (0 when it is up to date). The
+    table's commit records give files, rows and bytes of each batch; the flow's file source log (its
+    ``source``-th input) names the records it has taken. Both are small: one line per batch.
+    """
+    folder = f"{root}/{table}/{COMMITS}"
+    records = spark.read.schema(COMMIT).json(folder) if exists(spark, folder) else spark.createDataFrame([], COMMIT)
+    records = records.withColumn("record", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    log = f"{root}/checkpoints/{flow}/sources/{source}"
+    if exists(spark, log):
+        lines = spark.read.text(log).filter(F.col("value").startswith("{"))
+        taken = lines.select(F.element_at(F.split(F.get_json_object("value", "$.path"), "/"), -1).alias("record"))
+        records = records.join(taken, "record", "left_anti")
+    return records.agg(
+        F.lit(flow).alias("flow"),
+        F.lit(table).alias("table"),
+        F.count(F.lit(1)).alias("outstanding_batches"),
+        F.coalesce(F.sum(F.size("files")), F.lit(0)).cast("long").alias("outstanding_files"),
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("outstanding_rows"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("outstanding_bytes"),
+    )
