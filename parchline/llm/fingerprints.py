@@ -39,6 +39,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 #: Names a fingerprint keeps: the smallest of all phrase names.
 SKETCH = 64
 
+#: Characters of text fingerprinted at once.
+SLICE_CHARS = 1 << 20
+
 #: Coin-tossing rounds: 64-bit names, then labels below 128, 14, 8 and 6.
 ROUNDS = 4
 
@@ -59,8 +62,33 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _lowest_bit(d: np.ndarray) -> np.ndarray:
     """Index of the lowest set bit of each (non-zero) value."""
-    low = d & (~d + np.uint64(1))
-    return np.frexp(low.astype(np.float64))[1].astype(np.uint64) - np.uint64(1)
+    return np.bitwise_count((d & (~d + np.uint64(1))) - np.uint64(1)).astype(np.uint64)
+
+
+#: Index of the lowest set bit of each byte (0 has none and never occurs).
+_LOW = np.array([((b & -b).bit_length() - 1) if b else 0 for b in range(256)], dtype=np.int16)
+
+#: Names of the code points of the basic multilingual plane, looked up instead of mixed.
+_PLANE = None
+
+
+def _code_names(codes: np.ndarray) -> np.ndarray:
+    global _PLANE
+    if _PLANE is None:
+        _PLANE = mix(np.arange(1 << 16, dtype=np.uint64))
+    out = _PLANE[np.minimum(codes, (1 << 16) - 1)]
+    wide = codes >= (1 << 16)
+    if wide.any():
+        out[wide] = mix(codes[wide].astype(np.uint64))
+    return out
+
+
+def _first_round(seq: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Labels of 64-bit names (below 128), each against its left neighbour (a text's first: its complement)."""
+    left = np.concatenate((seq[:1], seq[:-1]))
+    left[first] = ~seq[first]
+    k = _lowest_bit(seq ^ left)
+    return (np.uint64(2) * k + ((seq >> k) & np.uint64(1))).astype(np.int16)
 
 
 def labels(names: np.ndarray) -> np.ndarray:
@@ -102,12 +130,85 @@ def phrase_names(text: str) -> tuple[list[np.ndarray], int | None]:
         found.append(seq)
 
 
+def _sketch_text(names: np.ndarray) -> str:
+    return ",".join(f"{int(v):016x}" for v in names)
+
+
+def fingerprints_of(texts: list[str | None]) -> list[str]:
+    """``fingerprint`` of many texts at once: all texts' names of one level are one array.
+
+    Each text is parsed exactly as alone: runs, coin-tossing neighbours and phrase boundaries stop at
+    the edges of texts, and a text leaves when one name is left. Equal to ``fingerprint`` text by text.
+    """
+    plain = [t or "" for t in texts]
+    out = [""] * len(plain)
+    lengths = np.array([len(t) for t in plain], dtype=np.int64)
+    if lengths.sum() == 0:
+        return out
+    seq = _code_names(np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32))
+    doc = np.repeat(np.arange(len(plain), dtype=np.int64), lengths)
+    kept_doc, kept_name = [], []
+    while len(seq):
+        first = np.concatenate(([True], doc[1:] != doc[:-1]))
+        starts = np.flatnonzero(first | np.concatenate(([True], seq[1:] != seq[:-1])))
+        sizes = np.diff(np.append(starts, len(seq))).astype(np.uint64)
+        seq, doc = seq[starts], doc[starts]
+        runs = sizes > 1
+        if runs.any():
+            seq = np.where(runs, mix(seq ^ mix(sizes * _RUN)), seq)
+            kept_doc.append(doc[runs])
+            kept_name.append(seq[runs])
+        first = np.concatenate(([True], doc[1:] != doc[:-1]))
+        last = np.concatenate((doc[1:] != doc[:-1], [True]))
+        lone = first & last
+        if lone.any():  # a text with one name left is done; that name is its last
+            kept_doc.append(doc[lone])
+            kept_name.append(seq[lone])
+            seq, doc, first, last = seq[~lone], doc[~lone], first[~lone], last[~lone]
+            if not len(seq):
+                break
+        lab = _first_round(seq, first)
+        for _ in range(ROUNDS - 1):
+            # Labels are below 128 now: the lowest differing bit comes from a table.
+            left = np.concatenate((lab[:1], lab[:-1]))
+            left[first] = lab[first] ^ 1
+            k = _LOW[lab ^ left]
+            lab = 2 * k + ((lab >> k) & 1)
+        lab = lab.astype(np.int64)
+        left = np.concatenate(([-1], lab[:-1]))
+        left[first] = -1
+        right = np.concatenate((lab[1:], [-1]))
+        right[last] = -1
+        head = ((lab > left) & (lab > right)) | first
+        heads = np.flatnonzero(head)
+        block = np.cumsum(head) - 1
+        place = (np.arange(len(seq)) - heads[block]).astype(np.uint64)
+        summed = np.add.reduceat(mix(seq ^ mix(place * _PLACE)), heads)
+        size = np.diff(np.append(heads, len(seq))).astype(np.uint64)
+        seq, doc = mix(summed ^ (size * _SIZE)), doc[heads]
+        kept_doc.append(doc)
+        kept_name.append(seq)
+    docs, names = np.concatenate(kept_doc), np.concatenate(kept_name)
+    order = np.lexsort((names, docs))
+    docs, names = docs[order], names[order]
+    fresh = np.concatenate(([True], (docs[1:] != docs[:-1]) | (names[1:] != names[:-1])))
+    docs, names = docs[fresh], names[fresh]
+    group = np.concatenate(([True], docs[1:] != docs[:-1]))
+    begin = np.flatnonzero(group)
+    rank = np.arange(len(docs)) - np.repeat(begin, np.diff(np.append(begin, len(docs))))
+    docs, names = docs[rank < SKETCH], names[rank < SKETCH]
+    bounds = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
+    for lo, hi in zip(bounds, np.append(bounds[1:], len(docs))):
+        out[int(docs[lo])] = _sketch_text(names[lo:hi])
+    return out
+
+
 def fingerprint(text: str | None) -> str:
     found, last = phrase_names(text or "")
     if last is None:
         return ""
     names = np.unique(np.concatenate([*found, np.array([last], dtype=np.uint64)]))[:SKETCH]
-    return ",".join(f"{int(v):016x}" for v in names)
+    return _sketch_text(names)
 
 
 def likeness(a: str | None, b: str | None) -> float:
@@ -123,20 +224,6 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-def _answer(doc_id, text: str, following: str, own: str, next_print: str) -> dict:
-    changed = edited(text, following)
-    changed_print = fingerprint(changed)
-    return {
-        "doc_id": doc_id,
-        "n_chars": len(text),
-        "edited_sha256": hashlib.sha256(changed.encode("utf-8")).hexdigest(),
-        "fingerprint": own,
-        "edited_fingerprint": changed_print,
-        "near_edited": likeness(own, changed_print),
-        "near_next": likeness(own, next_print),
-    }
-
-
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, _tie long, _last boolean"
@@ -150,20 +237,50 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
 
+def _prints(texts: list[str]) -> list[str]:
+    """Fingerprints of texts, ``SLICE_CHARS`` characters at a time (a longer text alone)."""
+    out, first, size = [], 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= SLICE_CHARS or i == len(texts) - 1:
+            out += fingerprints_of(texts[first : i + 1])
+            first, size = i + 1, 0
+    return out
+
+
+def _answers(rows: list[tuple], following: list[str], next_prints: list[str]) -> list[dict]:
+    """rows: (doc_id, tie, text, fingerprint); each with the text and fingerprint of its next row."""
+    changed = [edited(r[2], f) for r, f in zip(rows, following)]
+    changed_prints = _prints(changed)
+    return [
+        {
+            "doc_id": r[0],
+            "n_chars": len(r[2]),
+            "edited_sha256": hashlib.sha256(c.encode("utf-8")).hexdigest(),
+            "fingerprint": r[3],
+            "edited_fingerprint": cp,
+            "near_edited": likeness(r[3], cp),
+            "near_next": likeness(r[3], np_),
+            "_tie": r[1],
+        }
+        for r, c, cp, np_ in zip(rows, changed, changed_prints, next_prints)
+    ]
+
+
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a task in order: all but the last are answered; the last is marked for the edge table."""
-    schema, held = _schema(RESULT), None
+    schema, held = _schema(RESULT), []
     for batch in batches:
-        out = []
-        for doc_id, tie, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "_tie", "text"))):
-            row = (doc_id, tie, text or "", fingerprint(text))
-            if held is not None:
-                out.append(_answer(held[0], held[2], row[2], held[3], row[3]) | {"_tie": held[1], "_last": False})
-            held = row
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
-    if held is not None:
-        last = {"doc_id": held[0], "n_chars": len(held[2]), "fingerprint": held[3], "_tie": held[1], "_last": True}
+        ids, ties, texts = (batch.column(c).to_pylist() for c in ("doc_id", "_tie", "text"))
+        texts = [t or "" for t in texts]
+        rows = held + list(zip(ids, ties, texts, _prints(texts)))
+        done, held = rows[:-1], rows[-1:]
+        if done:
+            answered = _answers(done, [r[2] for r in rows[1:]], [r[3] for r in rows[1:]])
+            yield pa.RecordBatch.from_pylist([a | {"_last": False} for a in answered], schema)
+    if held:
+        (doc_id, tie, text, own), = held
+        last = {"doc_id": doc_id, "n_chars": len(text), "fingerprint": own, "_tie": tie, "_last": True}
         yield pa.RecordBatch.from_pylist([last], schema)
 
 
@@ -184,13 +301,13 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = _schema(ACROSS)
     for batch in batches:
-        names = ("doc_id", "_tie", "text", "next_text", "next_fp")
-        out = [
-            _answer(doc_id, text or "", following or "", fingerprint(text), next_print) | {"_tie": tie}
-            for doc_id, tie, text, following, next_print in zip(*(batch.column(c).to_pylist() for c in names))
-        ]
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
+        ids, ties, texts, following, next_prints = (
+            batch.column(c).to_pylist() for c in ("doc_id", "_tie", "text", "next_text", "next_fp")
+        )
+        texts = [t or "" for t in texts]
+        rows = list(zip(ids, ties, texts, _prints(texts)))
+        if rows:
+            yield pa.RecordBatch.from_pylist(_answers(rows, [f or "" for f in following], next_prints), schema)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -200,7 +317,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("_tie", F.xxhash64("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("_tie"), F.col("text")]
-    dealt = rows.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    # Ranges are cut on (doc_id, tie) only, so the sample sent to the driver holds no texts; rows equal in
+    # both stay in one task, where the text orders them.
+    dealt = rows.repartitionByRange(width, *order[:2]).sortWithinPartitions(*order)
     inside = dealt.mapInArrow(_within, RESULT)
     # Edges: two rows per task; the next of a task's last row is the first row of the task after it.
     edges = dealt.mapInArrow(_edges, EDGES)

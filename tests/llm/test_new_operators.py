@@ -257,3 +257,9 @@ def test_fingerprints_ties_one_and_empty(spark):
     (one,) = fingerprints.fingerprints(spark.createDataFrame([(1, "alone")], "doc_id long, text string")).collect()
     assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"alona").hexdigest()
     assert fingerprints.fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_batched_fingerprints_equal_single():
+    texts = ["", None, "a", "aa", "abab abab abab", "the same passage " * 40, "ünï 😀 ✓ " * 50, "x" * 3000, "ab", "ba"]
+    texts += [f"document {i}: " + "word " * (i % 17) + "end" for i in range(200)]
+    assert fingerprints.fingerprints_of(texts) == [fingerprints.fingerprint(t) for t in texts]
