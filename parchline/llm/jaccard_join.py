@@ -55,13 +55,30 @@ FILTER_BITS = 1 << 26
 TURNS = 2
 #: Partners in other groups that an entry names in each turn.
 PICKS = 4
+#: Lists of up to so many entries are worked on many at once; all their pairs are no more than PICKS for each entry.
+SHORT = 2 * PICKS + 1
 
 
 def shingles(words: np.ndarray, size: int = SIZE) -> np.ndarray:
     """Sorted distinct codes of a document's set."""
     if not len(words):
         return words
-    return np.unique(W.run_codes(words, min(size, len(words))))
+    return distinct(W.run_codes(words, min(size, len(words))))
+
+
+def distinct(codes: np.ndarray) -> np.ndarray:
+    """Sorted distinct codes."""
+    codes = np.sort(codes)
+    return codes[np.append(True, codes[1:] != codes[:-1])] if len(codes) else codes
+
+
+def shingle_sets(texts: pa.Array, known: W.SpacedCodes, size: int = SIZE) -> Iterator[np.ndarray]:
+    """The set of each text, in order; words and runs of many texts are coded at once."""
+    for words, counts in known.of(texts):
+        runs, start = W.run_codes(words, size), 0
+        for n in counts.tolist():
+            yield distinct(runs[start : start + n - size + 1]) if n >= size else shingles(words[start : start + n], size)
+            start += n
 
 
 def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
@@ -82,13 +99,12 @@ def surveyed(docs: DataFrame, size: int = SIZE, bits: int = BUCKET_BITS) -> Data
     """One pass: a row per document (doc_id, n, digest), and rows (slice, counts) of each task's counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = W.Codes(), np.zeros(1 << bits, np.uint32)
-        shift = np.uint64(64 - bits)
+        known, counts = W.SpacedCodes(), np.zeros(1 << bits, np.uint32)
+        shift, one = np.uint64(64 - bits), np.uint32(1)
         for batch in batches:
             sizes, digests = [], []
-            for text in batch.column("text"):
-                codes = shingles(known.of(W.spaced_words(text.as_py())), size)
-                np.add.at(counts, (codes >> shift).astype(np.int64), 1)
+            for codes in shingle_sets(batch.column("text"), known, size):
+                np.add.at(counts, (codes >> shift).astype(np.int64), one)
                 sizes.append(len(codes))
                 digests.append(xxhash.xxh3_128_digest(codes.tobytes()))
             none = pa.nulls(len(sizes))
@@ -150,11 +166,10 @@ def prefixes(docs: DataFrame, table, size: int = SIZE) -> DataFrame:
     """doc_id, n, digest, the first codes and the parity bitmap of each set that is not empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = W.Codes(), table.value
+        known, own = W.SpacedCodes(), table.value
         for batch in batches:
             out = ([], [], [], [], [])
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                codes = shingles(known.of(W.spaced_words(text.as_py())), size)
+            for doc, codes in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), known, size)):
                 if doc is None or not len(codes):
                     continue
                 first = ordered(codes, own)[: len(codes) - least_overlap(len(codes)) + 1]
@@ -212,11 +227,11 @@ def _flat(held: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n", "pos", "id"])
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[np.ndarray]]]:
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list]]:
     """Index lists with at least two entries; rows come ordered by code.
 
-    Lists of exactly two, by far the most, come many at once: (True, columns of the first entries and
-    columns of the second ones). Others come one by one: (False, columns).
+    Lists of up to SHORT entries, by far the most, come many of one length at once: (True, columns of the first
+    entries, of the second ones and so on). Others come one by one: (False, columns).
     """
     held: list[np.ndarray] | None = None
     for batch in batches:
@@ -230,21 +245,51 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[np.nd
         starts = np.concatenate([[0], cuts])
         ends = np.concatenate([cuts, [len(code)]])
         sizes = ends[:-1] - starts[:-1]
-        if len(two := starts[:-1][sizes == 2]):
-            yield True, [c[two] for c in columns] + [c[two + 1] for c in columns]
-        for a, b in zip(starts[:-1][sizes > 2].tolist(), ends[:-1][sizes > 2].tolist()):
+        for length in range(2, SHORT + 1):
+            if len(at := starts[:-1][sizes == length]):
+                yield True, [[c[at + i] for c in columns] for i in range(length)]
+        for a, b in zip(starts[:-1][sizes > SHORT].tolist(), ends[:-1][sizes > SHORT].tolist()):
             yield False, [c[a:b] for c in columns]
         held = [c[starts[-1] :].copy() for c in columns]
-    if held is not None and len(held[0]) > 1:
+    if held is not None and len(held[0]) > SHORT:
         yield False, held
+    elif held is not None and len(held[0]) > 1:
+        yield True, [[c[i : i + 1] for c in held] for i in range(len(held[0]))]
 
 
 def _two_may_link(n_a: np.ndarray, pos_a: np.ndarray, n_b: np.ndarray, pos_b: np.ndarray) -> np.ndarray:
-    """``block_pairs`` for many lists of two entries."""
+    """``block_pairs`` for two entries, the smaller set first, of many lists."""
     shared = needed(n_a.astype(np.int64), n_b.astype(np.int64))
     return (4 * n_b.astype(np.int64) <= 5 * n_a) & (n_a - pos_a >= shared) & (n_b - pos_b >= shared)
 
 
+def _short_pairs(entries: list, groups: bool) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Of many lists of one length: two places, and the lists whose entries there may link (and differ in group)."""
+    for j in range(1, len(entries)):
+        for i in range(j):
+            (_, n_a, pos_a, _, *group_a), (_, n_b, pos_b, _, *group_b) = entries[i], entries[j]
+            fits = _two_may_link(n_a, pos_a, n_b, pos_b)
+            kept = np.flatnonzero(fits & (group_a[0] != group_b[0]) if groups else fits)
+            if len(kept):
+                yield i, j, kept
+
+
+def _short_partners(entries: list) -> Iterator[tuple[np.ndarray, ...]]:
+    """``_picked`` for many lists of one length: code, n, pos, id and partner of entries with a possible partner."""
+    code = entries[0][0]
+    partner = [np.full(len(code), -1, np.int64) for _ in entries]
+    for number, (i, j, kept) in enumerate(_short_pairs(entries, groups=False)):
+        swap = (code[kept] >> (number % 24)) & 1 == 1
+        for here, there in ((i, j), (j, i)):
+            chosen = kept[(partner[here][kept] < 0) | swap]
+            partner[here][chosen] = there
+    ids = np.stack([e[3] for e in entries])
+    for (code, n, pos, own), place in zip(entries, partner):
+        kept = np.flatnonzero(place >= 0)
+        if len(kept):
+            yield code[kept], n[kept], pos[kept], own[kept], ids[place[kept], kept]
+
+
 def block_pairs(n: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """Of a list ordered by n and pos: (start, end, start, end) of entries of two blocks that may link.
 
@@ -291,12 +336,9 @@ def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Entries that have a possible partner, each with one of them."""
     names = ["code", "n", "pos", "id", "partner"]
     out, size = [], 0
-    for two, columns in _lists(batches):
-        if two:
-            code, n_a, pos_a, a, _, n_b, pos_b, b = columns
-            kept = _two_may_link(n_a, pos_a, n_b, pos_b)
-            code, n_a, pos_a, a, n_b, pos_b, b = (c[kept] for c in (code, n_a, pos_a, a, n_b, pos_b, b))
-            found = [(code, n_a, pos_a, a, b), (code, n_b, pos_b, b, a)] * bool(len(a))
+    for short, columns in _lists(batches):
+        if short:
+            found = list(_short_partners(columns))
         else:
             code, n, pos, ids = columns
             partner = _picked(int(code[0]), n, pos)
@@ -312,25 +354,27 @@ def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def partners_between(turn: int):
-    """(id, partner) of entries with a possible partner in another group."""
+    """(id, partner) of entries with a possible partner in another group.
+
+    The first turn names all such pairs of the short lists; further turns leave these lists out, as they could only
+    name pairs that were compared then.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
-        for two, columns in _lists(batches):
-            if two:
-                _, n_a, pos_a, a, group_a, _, n_b, pos_b, b, group_b = columns
-                kept = _two_may_link(n_a, pos_a, n_b, pos_b) & (group_a != group_b)
-                found = (a[kept], b[kept])
+        for short, columns in _lists(batches):
+            if short:
+                pairs = _short_pairs(columns, groups=True) if turn == 1 else ()
+                found = [(columns[i][3][kept], columns[j][3][kept]) for i, j, kept in pairs]
             else:
                 code, n, pos, ids, groups = columns
                 if (groups == groups[0]).all():
                     continue
                 partner = np.concatenate([_picked(int(code[0]), n, pos, groups, PICKS * turn + i) for i in range(PICKS)])
                 kept = np.flatnonzero(partner >= 0)
-                found = (ids[kept % len(ids)], ids[partner[kept]])
-            if len(found[0]):
-                out.append(found)
-                size += len(found[0])
+                found = [(ids[kept % len(ids)], ids[partner[kept]])] * bool(len(kept))
+            out += found
+            size += sum(len(a) for a, _ in found)
             if size > 100_000:
                 yield _named(out, ["id", "partner"])
                 out, size = [], 0
@@ -347,11 +391,9 @@ def _named(out: list, names: list[str]) -> pa.RecordBatch:
 def _between_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible pairs of entries from different groups, a smaller than b."""
     out, size = [], 0
-    for two, columns in _lists(batches):
-        if two:
-            _, n_a, pos_a, a, group_a, _, n_b, pos_b, b, group_b = columns
-            kept = _two_may_link(n_a, pos_a, n_b, pos_b) & (group_a != group_b)
-            found = [(a[kept], b[kept])] * bool(kept.any())
+    for short, columns in _lists(batches):
+        if short:
+            found = [(columns[i][3][kept], columns[j][3][kept]) for i, j, kept in _short_pairs(columns, groups=True)]
         else:
             _, n, pos, ids, groups = columns
             found = [] if (groups == groups[0]).all() else _pairs_between(n, pos, ids, groups)
@@ -409,9 +451,9 @@ def fetched(docs: DataFrame, ids: DataFrame, size: int = SIZE) -> DataFrame:
             yield batch.select(["id", "text"]).filter(pa.array(bits.astype(bool)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = W.Codes()
+        known = W.SpacedCodes()
         for batch in batches:
-            sets = [shingles(known.of(W.spaced_words(t.as_py())), size).tobytes() for t in batch.column("text")]
+            sets = [codes.tobytes() for codes in shingle_sets(batch.column("text"), known, size)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "codes"])
 
     named = _documents(docs).filter("doc_id is not null").withColumnRenamed("doc_id", "id")

@@ -25,6 +25,11 @@ CHUNK_CHARS = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _END = np.uint64(0x94D049BB133111EB)
+_BYTE = 0x2545F4914F6CDD1D
+
+#: Bytes whose words ``SpacedCodes`` finds at once, and the longest word whose code it sums up from its bytes.
+SPAN_BYTES = 1 << 17
+SUMMED_BYTES = 64
 
 #: A-Z become a-z, ASCII letters, digits and everything beyond ASCII stay, the rest becomes space.
 ALNUM = bytes(
@@ -45,6 +50,86 @@ class Codes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class SpacedCodes:
+    """Codes of the lower-cased words between ASCII white space, many texts at once.
+
+    A word's code is the sum of its bytes' numbers, each times a power of an odd base for its place, mixed; the
+    sums come from one running sum over the span, brought back to the word's start by the inverse power. Words
+    of more than ``SUMMED_BYTES`` bytes are hashed one by one, as such sums are weak for very long ones.
+    """
+
+    def __init__(self) -> None:
+        base = np.full(SPAN_BYTES, np.uint64(_BYTE))
+        back = np.full(SPAN_BYTES, np.uint64(pow(_BYTE, -1, 1 << 64)))
+        base[0] = back[0] = 1
+        self.up, self.down = np.multiply.accumulate(base), np.multiply.accumulate(back)
+        self.space = np.zeros(256, bool)
+        self.space[[32, *range(9, 14)]] = True
+        self.number = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+        self.number[65:91] = self.number[97:123]
+        self.number[self.space] = 0
+
+    def of(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For consecutive texts (null: empty): the codes of all their words, and the words of each."""
+        texts = pc.fill_null(texts, "").cast(pa.large_binary())
+        if not len(texts):
+            return
+        _, ends, values = texts.buffers()
+        ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
+        start = 0
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + SPAN_BYTES, "right")) - 1)
+            held = data[ends[start] : ends[stop]]
+            if len(held) > SPAN_BYTES:
+                codes = np.concatenate([*self._of_long(held)])
+                yield codes, np.array([len(codes)])
+            else:
+                cuts = ends[start : stop + 1] - ends[start]
+                codes, first = self._of_span(held, cuts[:-1])
+                yield codes, np.diff(np.searchsorted(first, cuts))
+            start = stop
+
+    def _of_long(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        """The same for one text, in pieces that end after white space."""
+        start = 0
+        while start < len(data):
+            stop = min(start + SPAN_BYTES, len(data))
+            spaces = np.flatnonzero(self.space[data[start:stop]])
+            if not len(spaces):  # one word fills the span
+                while stop < len(data) and not len(spaces):
+                    spaces = stop + np.flatnonzero(self.space[data[stop : stop + SPAN_BYTES]])
+                    stop = int(spaces[0]) if len(spaces) else min(stop + SPAN_BYTES, len(data))
+                yield np.array([_hashed(data[start:stop])], np.uint64)
+            else:
+                stop = stop if stop == len(data) else start + int(spaces[-1]) + 1
+                yield self._of_span(data[start:stop], np.zeros(1, np.int64))[0]
+            start = stop
+
+    def _of_span(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and places of the words; ``starts`` are the places where a text starts."""
+        if not len(data):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        word, starts = ~self.space[data], starts[starts < len(data)]
+        opens, closes = word.copy(), word.copy()
+        opens[1:] &= ~word[:-1]
+        opens[starts] = word[starts]
+        closes[:-1] &= ~word[1:]
+        closes[starts[starts > 0] - 1] = word[starts[starts > 0] - 1]
+        first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.number[data] * self.up[: len(data)], out=sums[1:])
+        codes = mix((sums[last + 1] - sums[first]) * self.down[first])
+        for i in np.flatnonzero(last - first >= SUMMED_BYTES).tolist():
+            codes[i] = _hashed(data[first[i] : last[i] + 1])
+        return codes, first
+
+
+def _hashed(word: np.ndarray) -> int:
+    """The code of a word of more than ``SUMMED_BYTES`` bytes."""
+    return xxhash.xxh3_64_intdigest(word.tobytes().lower())
+
+
 def process_store(name: str) -> dict:
     """A dict that lives in the Python process until another operator asks for its own.
 
