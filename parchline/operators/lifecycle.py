@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.tables import stored
 from .capture import valid_only
 
 # Fixed value: the columns of an instance.
@@ -45,7 +46,21 @@ def new_content(bronze: DataFrame, extracted: DataFrame, retry_failed: bool = Tr
     With ``retry_failed`` only ``success`` and ``empty`` count as done.
     """
     done = extracted.filter(F.col("extraction_status").isin("success", "empty")) if retry_failed else extracted
-    return with_bytes(valid_only(bronze), not_seen(winners(valid_only(bronze)), done))
+    pairs = stored(valid_only(bronze).select("content_hash", "source_path").dropna(), "pairs")
+    chosen = stored(not_seen(winners(pairs), done).select("content_hash", "source_path"), "chosen")
+    return without(valid_only(bronze), pairs.join(chosen, pairs.columns, "left_anti"), chosen)
+
+
+def without(bronze: DataFrame, dropped: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``bronze`` named by ``chosen``, which with ``dropped`` makes up all its (hash, path).
+
+    Both lists are stored, so the planner knows their sizes, and the shorter one is joined: few copies or few
+    new contents are broadcast, and no file's bytes are shuffled.
+    """
+    dropped = stored(dropped.select("content_hash", "source_path"), "dropped")
+    if dropped.count() >= chosen.count():  # from the files' footers
+        return with_bytes(bronze, chosen)
+    return bronze.dropna(subset=dropped.columns).join(dropped, dropped.columns, "left_anti")
 
 
 def winners(bronze: DataFrame) -> DataFrame:
@@ -63,6 +78,16 @@ def with_bytes(bronze: DataFrame, chosen: DataFrame) -> DataFrame:
     return bronze.join(chosen.select("content_hash", "source_path"), ["content_hash", "source_path"], "left_semi")
 
 
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key (not null); only rows whose key repeats are shuffled.
+
+    The repeating keys are found on the key column and stored, so that the planner knows their size: few of
+    them are broadcast and all other rows stay where they are.
+    """
+    again = stored(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "again")
+    return rows.join(again, key, "left_anti").unionByName(rows.join(again, key, "left_semi").dropDuplicates([key]))
+
+
 def instances(bronze: DataFrame) -> DataFrame:
     """One active instance row per captured file, whether or not its content is new.
 

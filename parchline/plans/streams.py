@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.gold import resolve_acl
 from ..operators.lifecycle import instances
 from ..session import fresh_dir
-from ..sources.tables import exists, stored, table, write_batch
+from ..sources.tables import exists, table, write_batch
 from ..streaming import flows, monitors
 from .gold import MODEL
 from .lifecycle import labelled, now
@@ -69,8 +69,7 @@ def replay(spark: SparkSession, folder: str, batch_id: int, schema: str) -> None
     """Write a batch again, as its flow does when it is replayed: same rows, new file names."""
     if not exists(spark, f"{folder}/batch_id={batch_id}"):
         return
-    rows = stored(spark.read.schema(schema).parquet(f"{folder}/batch_id={batch_id}"), "replayed")
-    write_batch(rows, folder, batch_id)
+    write_batch(spark.read.schema(schema).parquet(f"{folder}/batch_id={batch_id}"), folder, batch_id)
 
 
 @query("stream_replay_once", _STREAM_CHUNKS)

@@ -41,17 +41,29 @@ COMMIT = "batch_id long, files array<string>, rows long, bytes long, inputs arra
 def write_batch(df: DataFrame, folder: str, batch_id: int, inputs: list[int] | None = None) -> None:
     """Write one micro-batch so that writing it again replaces it, then commit it.
 
-    Each batch owns one sub-folder; a replay after a failure overwrites exactly that. Once its files are
-    written, the batch gets a commit record: a file of one JSON line named after the batch (its files,
+    Each batch owns one sub-folder; a replay after a failure replaces exactly that. The files are written to a
+    hidden folder first and renamed into place, so a batch may be made from its own earlier files, and its
+    old files stay until the new ones are whole. Once its files are in place, the batch gets a commit record: a file of one JSON line named after the batch (its files,
     rows and the input batches it was made from), written under a hidden name and renamed into place.
     Flows that read the table follow these records, not the folder, so a batch is handed on once: a
     replay that writes new file names keeps the record it had, and readers never see half a batch.
     """
-    target = f"{folder}/batch_id={batch_id}"
-    df.write.mode("overwrite").parquet(target)
+    target, staged = f"{folder}/batch_id={batch_id}", f"{folder}/_staged/batch_{batch_id}.{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(staged)  # whole texts, each read a few times: bytes matter most
+    _replace(df.sparkSession, staged, target)
     _commit(df.sparkSession, folder, batch_id, target, inputs or [])
 
 
+def _replace(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a folder that is written out in the place of another."""
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, target))
+    files = _fs(spark, staged)
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise OSError(f"could not put {staged} in the place of {target}")
+
+
 def _commit(spark: SparkSession, folder: str, batch_id: int, target: str, inputs: list[int]) -> None:
     jvm = spark._jvm
     record = jvm.org.apache.hadoop.fs.Path(f"{folder}/{COMMITS}/batch_{batch_id}.json")

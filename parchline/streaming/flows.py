@@ -19,11 +19,11 @@ from ..functions.vector import hash_embedding
 from ..operators.capture import enrich, valid_only
 from ..operators.chunks import chunk
 from ..operators.gold import gold_rows, reference_parts
-from ..operators.lifecycle import instances, latest_instance, new_content, reconcile, winners, with_bytes
+from ..operators.lifecycle import instances, latest_instance, new_content, one_per_key, reconcile, winners, with_bytes
 from ..operators.rules import CHUNKING_RULES, extraction_decision
 from ..operators.sections import SECTIONS_TYPE, extract
 from ..sources.files import stream_files
-from ..sources.tables import follow_commits, read_committed, read_table, write_batch
+from ..sources.tables import follow_commits, read_committed, read_table, stored, write_batch
 
 # The table schemas.
 BRONZE = (
@@ -132,10 +132,18 @@ def instance_flow(
 def chunk_flow(spark: SparkSession, root: str, config: dict[str, Any] = CHUNKING_RULES, max_files: int | None = None):
     def handle(commits: DataFrame, batch_id: int) -> None:
         batch, inputs = read_committed(spark, f"{root}/extracted", EXTRACTED, commits)
-        # A content extracted again after a failed attempt may give chunks that are known by then.
-        known = read_table(spark, f"{root}/chunks", CHUNKS, before=batch_id).select("chunk_id")
-        fresh = chunk(batch, config).dropDuplicates(["chunk_id"]).join(known, "chunk_id", "left_anti")
-        write_batch(fresh.select(*_names(CHUNKS)), f"{root}/chunks", batch_id, inputs)
+        # A content extracted again after a failed attempt may give chunks that are known by then. Only such contents
+        # can repeat a chunk, whose id is made of content and place; they are found by hash alone and stored, so that
+        # the planner knows their size and the texts of all others need no shuffle.
+        known = read_table(spark, f"{root}/chunks", CHUNKS, before=batch_id).select("chunk_id", "content_hash")
+        hashes = batch.select("content_hash")
+        twice = hashes.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("content_hash")
+        before = known.select("content_hash").join(hashes.distinct(), "content_hash", "left_semi")
+        again = stored(twice.union(before).distinct(), "again")
+        fresh = chunk(batch.join(again, "content_hash", "left_anti"), config).select(*_names(CHUNKS))
+        repeated = chunk(batch.join(again, "content_hash", "left_semi"), config).select(*_names(CHUNKS))
+        repeated = repeated.dropDuplicates(["chunk_id"]).join(known.select("chunk_id"), "chunk_id", "left_anti")
+        write_batch(fresh.unionByName(repeated.select(*_names(CHUNKS))), f"{root}/chunks", batch_id, inputs)
 
     return start(follow_commits(spark, f"{root}/extracted", max_files), root, "chunks", handle)
 
@@ -168,8 +176,9 @@ def gold_flow(spark: SparkSession, root: str, model: str, embed=hash_embedding,
             history.join(touched, "content_hash", "left_semi").select("source_path").distinct(), "source_path", "left_semi"
         )
         current = latest_instance(of_touched).join(touched, "content_hash", "left_semi")
-        chunks = read_table(spark, f"{root}/chunks", CHUNKS).drop("batch_id").join(touched, "content_hash", "left_semi")
-        rows = gold_rows(chunks.dropDuplicates(["chunk_id"]), current, model, embed)
+        # ``current`` holds touched contents alone, so the join with it leaves their chunks.
+        chunks = one_per_key(read_table(spark, f"{root}/chunks", CHUNKS).drop("batch_id"), "chunk_id")
+        rows = gold_rows(chunks, current, model, embed)
         write_batch(rows, f"{root}/gold", batch_id)
         write_batch(reference_parts(current).select(*_names(REFERENCES)), f"{root}/gold_references", batch_id)
 
