@@ -1,13 +1,18 @@
 """Feature-hashed text vectors and vector arithmetic.
 
-Tokens become bucket numbers in the JVM; only those integers travel to Python, where whole
-Arrow batches are summed with numpy. No shuffle: a vector depends on its own row only.
+Tokens are cut in the JVM. For a text's vector they travel to Python as Arrow lists, where each distinct one
+of a batch is hashed once; elsewhere they become bucket numbers in the JVM and only those integers travel.
+Whole Arrow batches are summed with numpy. No shuffle: a vector depends on its own row only.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from .identity import hash_number
@@ -32,13 +37,25 @@ def bucket_counts(codes: pd.Series, dim: int) -> np.ndarray:
     return np.bincount(cell, weights=sign, minlength=len(codes) * dim).reshape(-1, dim)
 
 
+def word_counts(lists: pa.Array, dim: int) -> np.ndarray:
+    """``bucket_counts`` of the ``token_codes`` of word lists (null: empty), each distinct word hashed once."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = lists.flatten().dictionary_encode()
+    known = words.dictionary.cast(pa.binary()).to_pylist()
+    codes = np.array([int.from_bytes(hashlib.md5(w).digest()[:4], "big") % (2 * dim) for w in known], np.int64)
+    flat = codes[words.indices.to_numpy(zero_copy_only=False)]
+    cell = np.repeat(np.arange(len(lists)), sizes) * dim + flat % dim
+    return np.bincount(cell, weights=np.where(flat < dim, 1.0, -1.0), minlength=len(lists) * dim).reshape(-1, dim)
+
+
 def _unit_vectors(dim: int):
-    @F.pandas_udf("array<float>")
-    def unit(codes: pd.Series) -> pd.Series:
-        counts = bucket_counts(codes, dim)
+    @F.arrow_udf("array<float>")
+    def unit(words: pa.Array) -> pa.Array:
+        counts = word_counts(words, dim)
         norm = np.sqrt((counts**2).sum(axis=1, keepdims=True))
         vectors = np.divide(counts, norm, out=np.zeros_like(counts), where=norm > 0)
-        return pd.Series(list(vectors.astype(np.float32)))
+        ends = pa.array(np.arange(len(counts) + 1) * dim, pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(vectors.astype(np.float32).ravel()))
 
     # Declared nondeterministic so that the optimizer neither repeats nor moves the call.
     return unit.asNondeterministic()
@@ -46,7 +63,7 @@ def _unit_vectors(dim: int):
 
 def hash_embedding(text: Column, dim: int = DIM) -> Column:
     """Unit-length feature-hashed vector of a text; zeros for a text without tokens."""
-    return _unit_vectors(dim)(token_codes(tokens(text), dim))
+    return _unit_vectors(dim)(tokens(text))
 
 
 def adjacent_cosine(sentence_array: Column, dim: int = DIM) -> Column:
