@@ -40,6 +40,8 @@ def bucket_counts(codes: pd.Series, dim: int) -> np.ndarray:
 def word_counts(lists: pa.Array, dim: int) -> np.ndarray:
     """``bucket_counts`` of the ``token_codes`` of word lists (null: empty), each distinct word hashed once."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not sizes.sum():
+        return np.zeros((len(lists), dim))
     words = lists.flatten().dictionary_encode()
     known = words.dictionary.cast(pa.binary()).to_pylist()
     codes = np.array([int.from_bytes(hashlib.md5(w).digest()[:4], "big") % (2 * dim) for w in known], np.int64)

@@ -20,3 +20,8 @@ def test_vectors_equal_the_engines_hashing_and_leave_it_out(spark):
     # One md5 in the engine for every word of every text was most of the searches' time.
     plan = frame.select(hash_embedding(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan
+
+
+def test_a_batch_without_words_gives_zeros(spark):
+    frame = spark.createDataFrame([("",), ("...",), (None,)], "text string").coalesce(1)
+    assert [sum(map(abs, r[0])) for r in frame.select(hash_embedding(F.col("text"))).collect()] == [0.0] * 3
