@@ -51,6 +51,8 @@ _SLICES = 64
 _CLASSES = 255
 #: Bits of the filter that keeps unwanted texts from being shuffled: 8 MB, whatever the tables hold.
 FILTER_BITS = 1 << 26
+#: So many ids are sent to the tasks themselves; of more, the filter is.
+FEW_IDS = 1 << 17
 #: How often sets are compared with partners in other groups before all remaining pairs are.
 TURNS = 2
 #: Partners in other groups that an entry names in each turn.
@@ -135,17 +137,27 @@ def _opened(data: bytes) -> np.ndarray:
 def classes(survey: DataFrame) -> np.ndarray:
     """The class of each counter, from 0 for counts that are usual up to 255.
 
-    Counters are added up slice by slice, in two levels so that no task gets all tasks' slices; the driver receives
-    ``1 << BUCKET_BITS`` counters, a number that does not depend on the tables.
+    Counters are added up slice by slice, first in each task that reads them, then in one group for each slice; the
+    driver receives ``1 << BUCKET_BITS`` counters, a number that does not depend on the tables.
     """
 
+    def add_read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for batch in batches:
+            for number, part in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+                part = _opened(part.as_py())
+                total[number] = total[number] + part if number in total else part
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*total], pa.int64()), pa.array([_squeezed(x) for x in total.values()], pa.binary())], ["slice", "counts"]
+        )
+
     def add(table: pa.Table) -> pa.Table:
         total = sum(_opened(part.as_py()) for part in table.column("counts"))
         return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([_squeezed(total)], pa.binary())})
 
     kind = "slice bigint, counts binary"
     rows = survey.filter("slice is not null").select("slice", "counts")
-    rows = rows.groupBy("slice", F.spark_partition_id() % 32).applyInArrow(add, kind)
+    rows = rows.mapInArrow(add_read, kind)
     parts = {r["slice"]: r["counts"] for r in rows.groupBy("slice").applyInArrow(add, kind).collect()}
     if not parts:
         return np.zeros(1 << BUCKET_BITS, np.uint8)
@@ -419,7 +431,7 @@ def _pairs_between(n, pos, ids, groups) -> Iterator[tuple[np.ndarray, np.ndarray
 def id_filter(ids: DataFrame) -> np.ndarray:
     """A table of FILTER_BITS bits in which the slot of every id is set."""
     part = 1 << 15
-    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("slot")).distinct()
+    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("slot"))
     parts = slots.groupBy((F.col("slot") / part).cast("int").alias("part")).agg(F.collect_set((F.col("slot") % part).cast("int")).alias("bits"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,34 +444,44 @@ def id_filter(ids: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(packed, pa.binary())], ["part", "packed"])
 
     whole = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in parts.mapInArrow(pack, "part int, packed binary").toLocalIterator():
+    # One job: read partition by partition, each would be a job of its own. The parts are as large as the table, whatever the ids.
+    for row in parts.mapInArrow(pack, "part int, packed binary").collect():
         whole[row["part"] * part // 8 : (row["part"] + 1) * part // 8] = np.frombuffer(row["packed"], np.uint8)
     return whole
 
 
-def fetched(docs: DataFrame, ids: DataFrame, size: int = SIZE) -> DataFrame:
+def fetched(docs: DataFrame, ids: DataFrame, size: int = SIZE, few: int = FEW_IDS) -> DataFrame:
     """id and the whole set (as bytes) of the documents named.
 
-    A filter of fixed size keeps most other texts out of the shuffle; the join decides.
+    Few ids choose the texts in the tasks that read them, and nothing is shuffled. Of many ids, a filter of fixed size
+    keeps most other sets out of the shuffle; the join decides. Filter and sets are worked out in one pass: with one
+    before the join and one behind it, a task could hold two Python processes.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+    named = _documents(docs).filter("doc_id is not null").withColumnRenamed("doc_id", "id")
+    kind = "id bigint, codes binary"
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            bits = sent.value[slot >> 3] >> (7 - (slot & 7)) & 1
-            yield batch.select(["id", "text"]).filter(pa.array(bits.astype(bool)))
+    def sets_of(batch: pa.RecordBatch, known: W.SpacedCodes) -> pa.RecordBatch:
+        sets = [codes.tobytes() for codes in shingle_sets(batch.column("text"), known, size)]
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "codes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = W.SpacedCodes()
         for batch in batches:
-            sets = [codes.tobytes() for codes in shingle_sets(batch.column("text"), known, size)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "codes"])
+            yield sets_of(batch, known)
+
+    if ids.count() <= few:
+        return named.join(F.broadcast(ids), "id", "left_semi").mapInArrow(run, kind)
+    sent = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def run_likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = W.SpacedCodes()
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            likely = sent.value[slot >> 3] >> (7 - (slot & 7)) & 1
+            yield sets_of(batch.filter(pa.array(likely.astype(bool))), known)
 
-    named = _documents(docs).filter("doc_id is not null").withColumnRenamed("doc_id", "id")
     named = named.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)))
-    chosen = named.mapInArrow(likely, "id bigint, text string").join(ids, "id", "left_semi")
-    return chosen.mapInArrow(run, "id bigint, codes binary")
+    return named.mapInArrow(run_likely, kind).join(ids, "id", "left_semi")
 
 
 class Sets:
@@ -498,7 +520,8 @@ def at_most_two_each(named: DataFrame, marks: DataFrame) -> DataFrame:
     """Of the (id, partner) pairs that may link, two for each id, picked by hash."""
     pairs = named.select(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")).filter("a <> b").distinct()
     left = possible(pairs, marks)
-    both = left.select(F.col("a").alias("id"), F.col("b").alias("partner")).union(left.select("b", "a"))
+    ways = [F.struct(F.col(x).alias("id"), F.col(y).alias("partner")) for x, y in ("ab", "ba")]
+    both = left.select(F.inline(F.array(*ways)))
     order = F.xxhash64("id", "partner")
     picked = both.groupBy("id").agg(F.min_by("partner", order).alias("x"), F.max_by("partner", order).alias("y"))
     chosen = picked.select("id", F.explode(F.array("x", "y")).alias("partner"))
