@@ -599,6 +599,7 @@ def links_between_groups(index: DataFrame, groups: DataFrame, led: DataFrame, ma
 
 def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
+    W.bound_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     survey = stored(surveyed(docs, size), "survey")
     table = context.broadcast(classes(survey))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Distinct words whose codes a task keeps; beyond it the store is emptied and filled again.
 KEPT_WORDS = 1 << 18
@@ -22,6 +22,10 @@ KEPT_WORDS = 1 << 18
 #: Bytes of text that a task works on at once.
 CHUNK_CHARS = 4 << 20
 
+#: Bytes of an Arrow batch handed to a task's Python, unless the session names its own number.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _END = np.uint64(0x94D049BB133111EB)
@@ -182,6 +186,16 @@ def with_text(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at BATCH_BYTES in this session.
+
+    By Spark's default a batch has 10,000 rows, or 64 MB. A task holds several copies of one: vectors that double as
+    they grow in the JVM, outside its heap, and what Python has read, in memory that it keeps for its next tasks.
+    """
+    if _BATCH_KEY not in spark.conf.getAll:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def per_text(frame: DataFrame, make: Callable, fields: str, keep_text: bool = False, extra: Sequence[str] = (), store: str = "") -> DataFrame:
     """Add columns worked out from ``text`` alone, in Arrow batches and without a shuffle.
 
@@ -190,6 +204,7 @@ def per_text(frame: DataFrame, make: Callable, fields: str, keep_text: bool = Fa
     ``make`` uses. Batches are cut at ``CHUNK_CHARS`` characters, so a task's memory follows the
     longest text and not the number of rows.
     """
+    bound_batches(frame.sparkSession)
     kept = [f for f in frame.schema if keep_text or f.name != "text"]
     names = [f.name for f in kept]
     schema = T.StructType(kept + T.StructType.fromDDL(fields).fields)

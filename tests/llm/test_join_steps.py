@@ -1,8 +1,9 @@
 """Steps of the join that grew with the number of partitions or held needless memory."""
 
 import numpy as np
+import pyarrow as pa
 
-from parchline.llm import jaccard_join
+from parchline.llm import jaccard_join, words
 
 
 def _word_texts(spark, n):
@@ -42,3 +43,21 @@ def test_pairs_that_may_link_are_worked_out_once(spark):
     plan = chosen._jdf.queryExecution().toString()
     assert plan[plan.index("Physical Plan") :].count("MapInArrow") == 1
     assert {(r["a"], r["b"]) for r in chosen.collect()} == {tuple(sorted((i, (i + 1) % 9))) for i in range(9)}
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    key, held = words._BATCH_KEY, spark.conf.getAll.get(words._BATCH_KEY)
+    spark.conf.unset(key)
+    frame = spark.range(4000, numPartitions=1).selectExpr("id doc_id", "repeat('x ', 2000) text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    words.per_text(words.with_text(frame), lambda: lambda texts: [pa.array([1] * len(texts))], "one bigint")
+    found = [r["n"] for r in frame.mapInArrow(sizes, "n bigint").collect()]
+    assert max(found) < words.BATCH_BYTES + (1 << 16)  # 16 MB before
+    spark.conf.set(key, "1m")
+    words.bound_batches(spark)
+    assert spark.conf.get(key) == "1m"  # a session's own bound stays
+    spark.conf.set(key, held) if held else spark.conf.unset(key)
