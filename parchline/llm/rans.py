@@ -28,6 +28,7 @@ become those tokens.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -39,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from ..session import fresh_dir
 from . import words as W
@@ -195,10 +196,16 @@ class Block:
 # --- tokens
 
 
+#: Words that the pre-tokenizer cuts at each change between letters, digits and signs, and nothing else changes:
+#: lower-case Latin letters, digits, signs but the apostrophe.
+_SIMPLE = re.compile(r"[a-z0-9\xdf-\xf6\xf8-\xff!-&(-/:-@\[-`{-~]+").fullmatch
+_PIECES = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+").findall
+
+
 class _Words(dict):
     """Ids of the words between blanks and line ends, which the tokenizer drops and never crosses.
 
-    A word that is looked up and not there is noted in ``missing`` and gives None.
+    ``pieces`` is the file's model behind a plain split at blanks, for pieces that the other steps leave alone.
     """
 
     def __init__(self, path: str):
@@ -206,10 +213,18 @@ class _Words(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.missing: set[str] = set()
-
-    def __missing__(self, word: str) -> None:
-        self.missing.add(word)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        # No piece is asked for twice, so the model's own cache would only take time.
+        options = {k: model[k] for k in _OPTIONS if model.get(k) is not None}
+        self.pieces = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0, **options))
+        self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        named = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: named(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        suffix = model.get("end_of_word_suffix")
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for t, i in model["vocab"].items() if suffix and t.endswith(suffix)]] = True
 
     def crossed(self, text: str, lower: str) -> bool:
         """Whether the text, or what its words are cut from, holds the name of an added token.
@@ -218,30 +233,56 @@ class _Words(dict):
         """
         return any(a in text or a in lower for a in self.added)
 
-    def learn(self) -> dict[str, bytes]:
-        """Ids of the missing words by the library; all but long ones are kept.
+    def of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; new ones are learnt."""
+        found = list(map(self.get, words))
+        missing = [w for w, x in zip(words, found) if x is None]
+        if not missing:
+            return found
+        if len(self) + len(missing) > KEPT_WORDS:
+            self.clear()
+            missing, found = words, [None] * len(words)
+        fresh = self.learn(missing)
+        return [fresh[w] if x is None else x for w, x in zip(words, found)]
 
-        Words of Latin letters only are one piece each, so many of them are encoded as one text.
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words by the library: of simple ones piece by piece, of the others as they are.
+
+        All but long ones are kept.
         """
-        plain = [w for w in self.missing if w.isalpha() and (w.isascii() or max(w) < "\u0100")]
-        other = list(self.missing.difference(plain))
-        self.missing.clear()
-        fresh: dict[str, bytes] = {}
-        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            fresh[word] = np.array(found.ids, IDS).tobytes()
-        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            data = np.array(found.ids, IDS).tobytes()
-            ends = 2 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(group)))
-            at = 0
-            for word, end in zip(group, ends.tolist()):
-                fresh[word] = data[at:end]
-                at = end
-        if len(self) + len(fresh) > KEPT_WORDS:
-            self.clear()
+        parts = {w: _PIECES(w) for w in words if _SIMPLE(w)}
+        fresh = self._joined(list(set().union(*parts.values()).difference(self)))
+        fresh |= self._alone([w for w in words if w not in parts])
+        for word, cut in parts.items():
+            if word not in fresh:
+                fresh[word] = b"".join([fresh[p] if p in fresh else self[p] for p in cut])
         self.update(fresh if max(map(len, fresh)) <= KEPT_LENGTH else {w: x for w, x in fresh.items() if len(w) <= KEPT_LENGTH})
         return fresh
 
+    def _alone(self, words: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        return {w: np.array(f.ids, IDS).tobytes() for w, f in zip(words, found)}
+
+    def _joined(self, pieces: list[str]) -> dict[str, bytes]:
+        """Many pieces encoded as one text; a piece's last id names the end of a word."""
+        pieces.sort(key=str.isascii)  # only the texts of the others are renamed
+        groups = [pieces[i : i + 512] for i in range(0, len(pieces), 512)]
+        texts = [" ".join(g) for g in groups]
+        texts = [t if t.isascii() else t.translate(self.letters) for t in texts]
+        fresh: dict[str, bytes] = {}
+        for group, found in zip(groups, self.pieces.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, IDS)
+            cuts = [0, *(2 * np.flatnonzero(self.ends[ids]) + 2).tolist()]
+            if len(cuts) != len(group) + 1:  # a vocabulary that does not mark all ends
+                fresh |= self._alone(group)
+                continue
+            data = ids.tobytes()
+            fresh.update(zip(group, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return fresh
+
+
+#: What a model says beside its vocabulary and merges.
+_OPTIONS = ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
 
 #: Ids are held in 16 bits while they are sorted; the tokenizer has fewer than 65,536.
 IDS = "<u2"
@@ -253,37 +294,59 @@ def tokenize(texts: list, path: str, end_id: int) -> list[bytes]:
         loaded[path] = _Words(path)
         if loaded[path].tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("a vocabulary of at most 65,536 ids is needed")
-    known, end, out = loaded[path], struct.pack("<H", end_id), []
-    for start in range(0, len(texts), 512):
-        split, whole = [], {}
-        for i, text in enumerate(texts[start : start + 512]):
-            lower = _lower(text or "")
-            if known.crossed(text or "", lower):
-                whole[i] = [np.array(known.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()]
-                lower = ""
-            split.append(_spaced(lower).replace("\n", " ").split(" ") if lower else [])
-        found = [list(map(known.__getitem__, words)) for words in split]
-        if known.missing:
-            fresh = known.learn()
-            for i, ids in enumerate(found):
-                if None in ids:
-                    found[i] = [fresh[w] if x is None else x for w, x in zip(split[i], ids)]
-        for i, ids in whole.items():
-            found[i] = ids
-        out += [b"".join(ids) + end for ids in found]
-    return out
-
-
-#: A full stop or comma before white space is a piece of its own unless other signs stand before it.
-_AFTER_SIGN = re.compile(r"[^a-z0-9\xe0-\xf6\xf8-\xff \n][.,][ \n]")
-_STOPS = re.compile(r"(?<=[a-z])([.,])(?=[ \n])")
-
-
-def _spaced(text: str) -> str:
-    """The text with blanks before such stops, so that words are met without them."""
-    if _AFTER_SIGN.search(text):
-        return _STOPS.sub(r" \1", text)
-    return text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+    known, end = loaded[path], struct.pack("<H", end_id)
+    lower, whole = [], {}
+    for i, text in enumerate(texts):
+        lower.append(_lower(text or ""))
+        if known.crossed(text or "", lower[i]):
+            whole[i] = np.array(known.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()
+            lower[i] = ""
+    return [whole.get(i, ids) + end for i, ids in enumerate(_by_words(lower, known))]
+
+
+def _by_words(texts: list[str], known: _Words) -> list[bytes]:
+    """Ids of lower-cased texts: each distinct word is looked up once, its ids are put wherever it stands."""
+    words, bounds = _cut(pa.array(texts, pa.large_string()))
+    coded = words.dictionary_encode()
+    data = known.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    pool = np.frombuffer(b"".join(data), IDS)
+    sizes = np.fromiter(map(len, data), np.int64, len(data)) // 2
+    code = coded.indices.to_numpy()
+    counts = sizes[code]
+    after = np.concatenate(([0], np.cumsum(counts)))
+    places = np.repeat((np.cumsum(sizes) - sizes)[code] - after[:-1], counts)
+    places += np.arange(len(places))
+    ids, ends = pool[places], after[bounds].tolist()
+    return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+
+#: By byte: blanks and line ends; full stops and commas; ASCII letters and digits; second bytes of Latin letters after 0xC3.
+_BLANK, _STOP, _LETTER, _SECOND = (
+    np.isin(np.arange(256), list(some)) for some in (b" \n", b".,", b"0123456789abcdefghijklmnopqrstuvwxyz", {*range(0x9F, 0xC0)} - {0xB7})
+)
+
+
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in one array, and the number of the first word of each text (and of all words).
+
+    Words are cut at blanks and line ends, and before a full stop or comma that follows a letter or digit and
+    is followed by white space or nothing: it is a piece of its own there, so that most words are met without it.
+    """
+    _, ends, values = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(values, np.uint8)[: ends[-1]] if values is not None else np.zeros(0, np.uint8)
+    inside = ~_BLANK[data]
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    stops = np.flatnonzero(_STOP[data])
+    stops = stops[(stops > 0) & ~np.append(inside, False)[stops + 1]]
+    before = data[stops - 1]
+    opens[stops[_LETTER[before] | (_SECOND[before] & (data[np.maximum(stops, 2) - 2] == 0xC3))]] = True
+    opens[ends[ends < len(data)]] = True
+    opens &= inside
+    starts = np.append(np.flatnonzero(opens[inside]), np.count_nonzero(inside))
+    words = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(np.flatnonzero(opens), ends)
 
 
 def _lower(text: str) -> str:

@@ -354,6 +354,42 @@ def test_words_are_encoded_as_in_the_text(text):
     assert found == [*whole.encode(text, add_special_tokens=False).ids, 2]
 
 
+@given(st.text("abzéßÿ'.,!<>/w|-09 \n\tA\u00e6\u00aa\u0301", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_pieces_of_words_are_encoded_as_in_the_text(text):
+    path = P.path("word_bpe_49k.json")
+    found = [np.frombuffer(x, rans.IDS).tolist() for x in rans.tokenize([text, None, text + ".", " " + text], path, 2)]
+    whole = words.process_store(rans.STORE)[path].tokenizer
+    assert found == [[*whole.encode(t, add_special_tokens=False).ids, 2] for t in (text, "", text + ".", " " + text)]
+
+
+def test_known_letters_with_new_signs_are_not_encoded_again(monkeypatch):
+    path = P.path("word_bpe_49k.json")
+    words.process_store(rans.STORE).clear()
+    rans.tokenize(["somewordé otherword"], path, 2)
+    store = words.process_store(rans.STORE)[path]
+    whole, asked = store.tokenizer, []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def __getattr__(self, name):
+            def call(texts, **options):
+                asked.extend([texts] if isinstance(texts, str) else texts)
+                return getattr(self.tokenizer, name)(texts, **options)
+
+            return call
+
+    for name, value in list(vars(store).items()):
+        if isinstance(value, Tokenizer):
+            monkeypatch.setattr(store, name, Counted(value))
+    text = "somewordé!!! (otherword), otherword7 somewordé."
+    assert np.frombuffer(rans.tokenize([text], path, 2)[0], rans.IDS).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2]
+    assert not any("word" in x for x in asked)
+    assert "x" * 70 not in store and rans.tokenize(["x" * 70 + "!"], path, 2) and "x" * 70 not in store
+
+
 def test_rans_blocks():
     dice = np.random.default_rng(1)
     ids = dice.zipf(1.3, 5000).clip(0, 40000).astype(np.uint32)
