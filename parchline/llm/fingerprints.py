@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 SKETCH = 64
 
 #: Characters of text fingerprinted at once.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 
 #: Coin-tossing rounds: 64-bit names, then labels below 128, 14, 8 and 6.
 ROUNDS = 4
@@ -55,9 +55,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix (splitmix64's finaliser)."""
     with np.errstate(over="ignore"):
         z = x + _A
-        z = (z ^ (z >> np.uint64(30))) * _B
-        z = (z ^ (z >> np.uint64(27))) * _C
-        return z ^ (z >> np.uint64(31))
+        z ^= z >> np.uint64(30)
+        z *= _B
+        z ^= z >> np.uint64(27)
+        z *= _C
+        z ^= z >> np.uint64(31)
+        return z
 
 
 def _lowest_bit(d: np.ndarray) -> np.ndarray:
@@ -65,30 +68,20 @@ def _lowest_bit(d: np.ndarray) -> np.ndarray:
     return np.bitwise_count((d & (~d + np.uint64(1))) - np.uint64(1)).astype(np.uint64)
 
 
-#: Index of the lowest set bit of each byte (0 has none and never occurs).
-_LOW = np.array([((b & -b).bit_length() - 1) if b else 0 for b in range(256)], dtype=np.int16)
+def _coin(names: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Labels of names (below 128 for 64 bits), each against its left neighbour, which differs."""
+    differs = names ^ left
+    lowest = differs & (~differs + np.uint64(1))
+    found = np.bitwise_count(lowest - np.uint64(1)) << 1
+    found |= (names & lowest) != 0
+    return found
 
-#: Names of the code points of the basic multilingual plane, looked up instead of mixed.
-_PLANE = None
 
+#: Labels of labels below 128, by label and left neighbour (equal ones never meet).
+_LABELS = _coin(np.arange(128, dtype=np.uint64)[:, None], np.arange(128, dtype=np.uint64)).ravel()
 
-def _code_names(codes: np.ndarray) -> np.ndarray:
-    global _PLANE
-    if _PLANE is None:
-        _PLANE = mix(np.arange(1 << 16, dtype=np.uint64))
-    out = _PLANE[np.minimum(codes, (1 << 16) - 1)]
-    wide = codes >= (1 << 16)
-    if wide.any():
-        out[wide] = mix(codes[wide].astype(np.uint64))
-    return out
-
-
-def _first_round(seq: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Labels of 64-bit names (below 128), each against its left neighbour (a text's first: its complement)."""
-    left = np.concatenate((seq[:1], seq[:-1]))
-    left[first] = ~seq[first]
-    k = _lowest_bit(seq ^ left)
-    return (np.uint64(2) * k + ((seq >> k) & np.uint64(1))).astype(np.int16)
+#: Names of a text that are looked at for its sketch first: about so many times ``SKETCH`` of the smallest.
+LOOKED_AT = 2.5
 
 
 def labels(names: np.ndarray) -> np.ndarray:
@@ -131,7 +124,95 @@ def phrase_names(text: str) -> tuple[list[np.ndarray], int | None]:
 
 
 def _sketch_text(names: np.ndarray) -> str:
-    return ",".join(f"{int(v):016x}" for v in names)
+    return names.astype(">u8").tobytes().hex(",", 8)
+
+
+def _runs(seq: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Starts of the runs of equal values within texts, which of them are longer than one, and these lengths."""
+    opens = np.empty(len(seq), bool)
+    np.not_equal(seq[1:], seq[:-1], out=opens[1:])
+    opens[bounds[:-1]] = True
+    if opens.all():
+        return None
+    starts = np.flatnonzero(opens)
+    sizes = np.diff(np.append(starts, len(seq)))
+    long = np.flatnonzero(sizes > 1)
+    return starts, long, sizes[long].astype(np.uint64)
+
+
+def _phrases(seq: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heads and sizes of the phrases of names, and each name's place in its phrase."""
+    first, last = bounds[:-1], bounds[1:] - 1
+    lab = np.empty(len(seq), np.uint8)
+    lab[1:] = _coin(seq[1:], seq[:-1])
+    # A text's first name is tossed against its complement: its label is its lowest bit, in all rounds.
+    lab[first] = tossed = (seq[first] & np.uint64(1)).astype(np.uint8)
+    for _ in range(ROUNDS - 1):
+        pairs = lab.astype(np.intp)
+        pairs[1:] <<= 7
+        pairs[1:] |= lab[:-1]
+        lab = _LABELS[pairs]
+        lab[first] = tossed
+    head = np.empty(len(lab), bool)
+    head[1:] = lab[1:] > lab[:-1]
+    rises = head[last]  # a text's last name has nothing to its right
+    head[:-1] &= lab[:-1] > lab[1:]
+    head[last], head[first] = rises, True
+    heads = np.flatnonzero(head)
+    sizes = np.diff(np.append(heads, len(lab)))
+    return heads, sizes, np.arange(len(lab)) - np.repeat(heads, sizes)
+
+
+class _Level:
+    """Names of one level of many texts in one array; ``docs`` are the texts, ``bounds`` where each starts (and the end)."""
+
+    def __init__(self, seq: np.ndarray, docs: np.ndarray, bounds: np.ndarray):
+        self.seq, self.docs, self.bounds = seq, docs, bounds
+
+    def of(self, where: np.ndarray) -> np.ndarray:
+        """The texts of some places."""
+        return self.docs[np.searchsorted(self.bounds, where, "right") - 1]
+
+    def without(self, lone: np.ndarray, at: np.ndarray) -> None:
+        """Leave out texts of one name each, which stand at these places."""
+        kept = np.flatnonzero(~lone)
+        lengths = np.diff(self.bounds)[kept]
+        self.docs, self.bounds = self.docs[kept], np.append(0, np.cumsum(lengths))
+        self.seq = np.delete(self.seq, at)
+
+
+def _levels(codes: np.ndarray, docs: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(texts, names) of all levels: runs' names, phrases' names and last names, as in ``phrase_names``."""
+    level = _Level(mix(codes.astype(np.uint64)), docs, bounds)
+    while len(level.seq):
+        if found := _runs(level.seq, level.bounds):
+            starts, long, sizes = found
+            level.seq, level.bounds = level.seq[starts], np.searchsorted(starts, level.bounds)
+            level.seq[long] = mix(level.seq[long] ^ mix(sizes * _RUN))
+            yield level.of(long), level.seq[long]
+        lone = np.diff(level.bounds) == 1
+        if lone.any():  # a text with one name left is done; that name is its last
+            at = level.bounds[:-1][lone]
+            yield level.docs[lone], level.seq[at]
+            level.without(lone, at)
+            if not len(level.seq):
+                return
+        heads, sizes, places = _phrases(level.seq, level.bounds)
+        placed = mix(np.arange(sizes.max(), dtype=np.uint64) * _PLACE)
+        summed = np.add.reduceat(mix(level.seq ^ placed[places]), heads)
+        level.seq, level.bounds = mix(summed ^ (sizes.astype(np.uint64) * _SIZE)), np.searchsorted(heads, level.bounds)
+        yield np.repeat(level.docs, np.diff(level.bounds)), level.seq
+
+
+def _smallest(docs: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``SKETCH`` smallest distinct names of each text, ascending by text and name."""
+    order = np.lexsort((names, docs))
+    docs, names = docs[order], names[order]
+    fresh = np.concatenate(([True], (docs[1:] != docs[:-1]) | (names[1:] != names[:-1])))
+    docs, names = docs[fresh], names[fresh]
+    begin = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
+    rank = np.arange(len(docs)) - np.repeat(begin, np.diff(np.append(begin, len(docs))))
+    return docs[rank < SKETCH], names[rank < SKETCH]
 
 
 def fingerprints_of(texts: list[str | None]) -> list[str]:
@@ -139,67 +220,34 @@ def fingerprints_of(texts: list[str | None]) -> list[str]:
 
     Each text is parsed exactly as alone: runs, coin-tossing neighbours and phrase boundaries stop at
     the edges of texts, and a text leaves when one name is left. Equal to ``fingerprint`` text by text.
+    Names are spread evenly, so only those below a bound are sorted; a text with too few distinct names
+    there has all of its names sorted.
     """
     plain = [t or "" for t in texts]
     out = [""] * len(plain)
     lengths = np.array([len(t) for t in plain], dtype=np.int64)
-    if lengths.sum() == 0:
+    some = np.flatnonzero(lengths)
+    if not len(some):
         return out
-    seq = _code_names(np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32))
-    doc = np.repeat(np.arange(len(plain), dtype=np.int64), lengths)
-    kept_doc, kept_name = [], []
-    while len(seq):
-        first = np.concatenate(([True], doc[1:] != doc[:-1]))
-        starts = np.flatnonzero(first | np.concatenate(([True], seq[1:] != seq[:-1])))
-        sizes = np.diff(np.append(starts, len(seq))).astype(np.uint64)
-        seq, doc = seq[starts], doc[starts]
-        runs = sizes > 1
-        if runs.any():
-            seq = np.where(runs, mix(seq ^ mix(sizes * _RUN)), seq)
-            kept_doc.append(doc[runs])
-            kept_name.append(seq[runs])
-        first = np.concatenate(([True], doc[1:] != doc[:-1]))
-        last = np.concatenate((doc[1:] != doc[:-1], [True]))
-        lone = first & last
-        if lone.any():  # a text with one name left is done; that name is its last
-            kept_doc.append(doc[lone])
-            kept_name.append(seq[lone])
-            seq, doc, first, last = seq[~lone], doc[~lone], first[~lone], last[~lone]
-            if not len(seq):
-                break
-        lab = _first_round(seq, first)
-        for _ in range(ROUNDS - 1):
-            # Labels are below 128 now: the lowest differing bit comes from a table.
-            left = np.concatenate((lab[:1], lab[:-1]))
-            left[first] = lab[first] ^ 1
-            k = _LOW[lab ^ left]
-            lab = 2 * k + ((lab >> k) & 1)
-        lab = lab.astype(np.int64)
-        left = np.concatenate(([-1], lab[:-1]))
-        left[first] = -1
-        right = np.concatenate((lab[1:], [-1]))
-        right[last] = -1
-        head = ((lab > left) & (lab > right)) | first
-        heads = np.flatnonzero(head)
-        block = np.cumsum(head) - 1
-        place = (np.arange(len(seq)) - heads[block]).astype(np.uint64)
-        summed = np.add.reduceat(mix(seq ^ mix(place * _PLACE)), heads)
-        size = np.diff(np.append(heads, len(seq))).astype(np.uint64)
-        seq, doc = mix(summed ^ (size * _SIZE)), doc[heads]
-        kept_doc.append(doc)
-        kept_name.append(seq)
-    docs, names = np.concatenate(kept_doc), np.concatenate(kept_name)
-    order = np.lexsort((names, docs))
-    docs, names = docs[order], names[order]
-    fresh = np.concatenate(([True], (docs[1:] != docs[:-1]) | (names[1:] != names[:-1])))
-    docs, names = docs[fresh], names[fresh]
-    group = np.concatenate(([True], docs[1:] != docs[:-1]))
-    begin = np.flatnonzero(group)
-    rank = np.arange(len(docs)) - np.repeat(begin, np.diff(np.append(begin, len(docs))))
-    docs, names = docs[rank < SKETCH], names[rank < SKETCH]
-    bounds = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-    for lo, hi in zip(bounds, np.append(bounds[1:], len(docs))):
-        out[int(docs[lo])] = _sketch_text(names[lo:hi])
+    codes = np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32)
+    parts = list(_levels(codes, some, np.append(0, np.cumsum(lengths[some]))))
+    docs, names = (np.concatenate(p) for p in zip(*parts))
+    counts = np.bincount(docs, minlength=len(plain))
+    bound = np.full(len(plain), np.iinfo(np.uint64).max)
+    many = counts > LOOKED_AT * SKETCH
+    bound[many] = (LOOKED_AT * SKETCH / counts[many] * 2.0**64).astype(np.uint64)
+    low = np.flatnonzero(names <= bound[docs])
+    found = [_smallest(docs[low], names[low])] if len(low) else []
+    short = many.copy()
+    if found:
+        short &= np.bincount(found[0][0], minlength=len(plain)) < SKETCH
+    if short.any():
+        again = np.flatnonzero(short[docs])
+        found.append(_smallest(docs[again], names[again]))
+    for docs, names in found:
+        bounds = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
+        for lo, hi in zip(bounds.tolist(), np.append(bounds[1:], len(docs)).tolist()):
+            out[int(docs[lo])] = _sketch_text(names[lo:hi])
     return out
 
 
@@ -215,8 +263,11 @@ def likeness(a: str | None, b: str | None) -> float:
     if not a or not b:
         return 1.0 if not a and not b else 0.0
     x, y = set(a.split(",")), set(b.split(","))
+    both = x & y
+    if not both:
+        return 0.0
     union = sorted(x | y)[:SKETCH]
-    return sum(1 for v in union if v in x and v in y) / len(union)
+    return len(both.intersection(union)) / len(union)
 
 
 def edited(text: str, following: str) -> str:

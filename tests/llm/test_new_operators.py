@@ -1,10 +1,12 @@
 """Merkle manifest, cross-tokenizer alignment and fingerprints against brute-force versions."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import accumulate
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import xxhash
@@ -263,3 +265,22 @@ def test_batched_fingerprints_equal_single():
     texts = ["", None, "a", "aa", "abab abab abab", "the same passage " * 40, "ünï 😀 ✓ " * 50, "x" * 3000, "ab", "ba"]
     texts += [f"document {i}: " + "word " * (i % 17) + "end" for i in range(200)]
     assert fingerprints.fingerprints_of(texts) == [fingerprints.fingerprint(t) for t in texts]
+
+
+def test_batched_fingerprints_of_long_wide_and_repeated_texts():
+    dice = random.Random(5)
+    wide = ["".join(chr(dice.choice([dice.randrange(0x4E00, 0x9FFF), dice.randrange(0x1F300, 0x1F900)])) for _ in range(n)) for n in (1, 2, 900, 7000)]
+    plain = ["".join(dice.choice("abcdeé  \n") for _ in range(n)) for n in (1, 3, 40, 500, 30000)]
+    # Many names but few distinct ones, so that hardly any of them is small.
+    repeated = ["the same line again\n" * 900, "aab" * 5000, "z" * 70000, "ab" * 2 + "c" * 300]
+    for texts in (wide, plain, repeated, [*repeated, "", *wide, *plain, None], wide[:1], plain[:2]):
+        assert fingerprints.fingerprints_of(texts) == [fingerprints.fingerprint(t) for t in texts]
+
+
+def test_few_names_of_a_long_text_are_sorted(monkeypatch):
+    dice = random.Random(6)
+    text = "".join(dice.choice("abcdefgh ij") for _ in range(60000))
+    wanted, sorted_names, lexsort = fingerprints.fingerprint(text), [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, *a, **k: (sorted_names.append(len(keys[0])), lexsort(keys, *a, **k))[1])
+    assert fingerprints.fingerprints_of([text]) == [wanted]
+    assert sum(sorted_names) < len(text) // 100
